@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tributary.llm import exact_dedup, quality_rules
+from tributary.llm import exact_dedup, language_id, quality_classifier, quality_rules, sharding
 from tributary.llm.shared import documents
 
 
@@ -12,11 +12,23 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(documents(spark, sf_dir))
 
 
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_by_bytes(documents(spark, sf_dir))
+
+
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.classify(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op3_quality_rules, op9_exact_dedup)}
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(documents(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (op3_quality_rules, op7_sharding, op8_quality_classifier, op9_exact_dedup, op10_language_id)}
 
 _STOPS = ", ".join(f"'{w}'" for w in [*quality_rules.STOP_WORDS, *(w.capitalize() for w in quality_rules.STOP_WORDS)])
 
@@ -24,8 +36,8 @@ ORACLE_SQL = {
     "op3_quality_rules": rf"""
         WITH t AS (
             SELECT doc_id, coalesce(text, '') AS text,
-                   list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS w,
-                   list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+                   list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+                   list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
             FROM documents),
         starts AS (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM t),
         grams AS (SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS g FROM starts),
@@ -35,7 +47,7 @@ ORACLE_SQL = {
             SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
                    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
                    (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(r, 0)::BIGINT AS n_repeat_words,
-                   len(l)::BIGINT AS n_lines, len(list_filter(w, x -> rtrim(x, '.,;:?') IN ({_STOPS})))::BIGINT AS n_stop_words
+                   len(l)::BIGINT AS n_lines, len(list_filter(w, lambda x: rtrim(x, '.,;:?') IN ({_STOPS})))::BIGINT AS n_stop_words
             FROM t LEFT JOIN covered USING (doc_id))
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
                n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
