@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tributary.llm import exact_dedup, language_id, quality_classifier, quality_rules, sharding
+from tributary.llm import exact_dedup, language_id, quality_classifier, quality_rules, sharding, simhash
 from tributary.llm.shared import documents
 
 
@@ -12,6 +12,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(documents(spark, sf_dir))
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(documents(spark, sf_dir))
 
@@ -28,7 +32,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op3_quality_rules, op7_sharding, op8_quality_classifier, op9_exact_dedup, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op3_quality_rules, op4_simhash, op7_sharding, op8_quality_classifier, op9_exact_dedup, op10_language_id)}
 
 _STOPS = ", ".join(f"'{w}'" for w in [*quality_rules.STOP_WORDS, *(w.capitalize() for w in quality_rules.STOP_WORDS)])
 
