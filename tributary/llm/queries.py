@@ -4,10 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tributary.llm import exact_dedup, language_id, quality_classifier, quality_rules, sharding, simhash
+from tributary.llm import exact_dedup, language_id, mixing, quality_classifier, quality_rules, sentencepiece_codec, sharding, simhash, token_counts
 from tributary.llm.shared import documents
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(documents(spark, sf_dir))
+
+
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(documents(spark, sf_dir))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(documents(spark, sf_dir))
 
@@ -16,6 +24,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_codec.digest(sentencepiece_codec.encode_documents(documents(spark, sf_dir)))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(documents(spark, sf_dir))
 
@@ -32,7 +44,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op3_quality_rules, op4_simhash, op7_sharding, op8_quality_classifier, op9_exact_dedup, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_token_counts, op3_quality_rules, op4_simhash, op5_sentencepiece, op7_sharding, op8_quality_classifier, op9_exact_dedup, op10_language_id)}
 
 _STOPS = ", ".join(f"'{w}'" for w in [*quality_rules.STOP_WORDS, *(w.capitalize() for w in quality_rules.STOP_WORDS)])
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tributary.plans.lineage import saved
+
+__all__ = ["HOT_SHARE", "SPACES", "SPACE_CLASS", "WORD", "documents", "join_many", "let", "saved", "small_batches", "stripped"]
+
 #: A word is a run of anything but these white-space characters.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -19,14 +21,6 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def saved(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the folder the cluster names; a folder of our own only if none is set."""
-    spark = df.sparkSession
-    if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
-    return df.checkpoint()
-
-
 def small_batches(spark: SparkSession, rows: int = 500) -> None:
     """Bound the rows that go to Python at once, as some texts are very long."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
