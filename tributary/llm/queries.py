@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tributary.llm import exact_dedup, language_id, mixing, quality_classifier, quality_rules, sentencepiece_codec, sharding, simhash, token_counts
+from tributary.llm import exact_dedup, language_id, mixing, quality_classifier, quality_rules, secret_scan, sentencepiece_codec, sharding, simhash, token_counts
 from tributary.llm.shared import documents
 
 
@@ -28,6 +28,10 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.digest(sentencepiece_codec.encode_documents(documents(spark, sf_dir)))
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(documents(spark, sf_dir))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(documents(spark, sf_dir))
 
@@ -44,7 +48,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_token_counts, op3_quality_rules, op4_simhash, op5_sentencepiece, op7_sharding, op8_quality_classifier, op9_exact_dedup, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_token_counts, op3_quality_rules, op4_simhash, op5_sentencepiece, op6_secret_scan, op7_sharding, op8_quality_classifier, op9_exact_dedup, op10_language_id)}
 
 _STOPS = ", ".join(f"'{w}'" for w in [*quality_rules.STOP_WORDS, *(w.capitalize() for w in quality_rules.STOP_WORDS)])
 
