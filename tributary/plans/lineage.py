@@ -4,12 +4,19 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: the one the cluster names in spark.checkpoint.dir, our own only where none is set."""
+    context = spark.sparkContext
+    if not context.getCheckpointDir():
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
+    return spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
 
 
 def saved(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in the folder the cluster names in spark.checkpoint.dir; a folder of our own only where none is set."""
-    spark = df.sparkSession
-    if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
+    """A reliable checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
