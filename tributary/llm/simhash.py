@@ -8,9 +8,9 @@ condition is checked for each longer chain before the full Hamming distance. Whe
 buckets by one segment would be large, the key takes in the second segment of the chain as well: each fingerprint is
 then also sent to the keys whose second segment differs in one bit, and nothing is lost.
 
-A bucket gives a spanning forest of its links, at most one row for each member, found by a search that compares a member only
-with those not reached yet; copies and dense clusters are thus never expanded into pairs. The forests' links are joined to
-components by alternating large-star and small-star steps, each saved with a checkpoint.
+A bucket gives a spanning forest of its links, at most one row for each member, found by a search that compares a member
+only with those not reached yet; copies and dense clusters are thus never expanded into pairs. The forests' links are
+joined to components by rounds of hooking and contraction, each saved with a checkpoint.
 
 Defined results. Texts without words, null ones included, have the fingerprint zero and are linked like any other.
 Fewer than `shingle` words make one shingle. A document without near copies is its own component. Rows that repeat a
@@ -155,24 +155,29 @@ def _bucket(key: tuple | None, held: list[np.ndarray], most: int) -> list[tuple[
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """node and root, the smallest node it is connected with, for every node of the edges (a, b).
+    """node and root for every node of the edges (a, b); nodes share a root exactly when they are connected.
 
-    Large-star links each larger neighbour of a node to its smallest neighbour, small-star each smaller one; when neither changes
-    the links, every node is linked to its component's root. Each step is saved.
+    In each round a node hooks onto the neighbour that comes first in an order drawn anew for the round, if that comes before
+    itself; edges are carried over to what their ends hooked onto, and those within one node go. A round removes a constant share of the
+    nodes that are left on average, whatever the shape, so rounds grow with the logarithm of the largest component and
+    their edges shrink. The rounds' hooks, put together, lead each node to its root.
     """
-    edges = saved(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct())
-    seen = None
-    while True:
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
-        down = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(down, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").unionByName(down.select("a", F.col("m").alias("b"))).distinct()
-        edges = saved(small)
-        state = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-        if state == seen:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        seen = state
+    edges = saved(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    both = lambda e: e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    nodes = both(edges).select(F.col("a").alias("node")).distinct().withColumn("root", F.col("node"))
+    hooks = []
+    while not edges.isEmpty():
+        order = lambda c, k=len(hooks): F.struct(F.xxhash64(F.col(c), F.lit(k)).alias("h"), F.col(c).alias("to"))
+        first = both(edges).groupBy("a").agg(F.min(order("b")).alias("m"))
+        hook = saved(first.filter(F.col("m") < order("a")).select(F.col("a").alias("from"), F.col("m.to").alias("to")))
+        moved = edges
+        for end in ("a", "b"):
+            moved = moved.join(hook.withColumnRenamed("from", end), end, "left").withColumn(end, F.coalesce("to", end)).drop("to")
+        edges = saved(moved.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+        hooks.append(hook)
+    for hook in hooks:
+        nodes = nodes.join(hook.withColumnRenamed("from", "root"), "root", "left").select("node", F.coalesce("to", "root").alias("root"))
+    return nodes
 
 
 def near_duplicates(docs: DataFrame, most: int = MOST, shingle: int = SHINGLE, two_segments: bool | None = None) -> DataFrame:
