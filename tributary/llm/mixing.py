@@ -1,10 +1,9 @@
 """Mixing sources to target weights by fitting subset sums.
 
 Method. A source's target is its weighted share of a budget, capped at a number of times its size; what the caps cut off is
-shared again by weight until no source is above its cap. A source is first taken as often as it fits whole. For the rest,
-documents are counted by exact length; lengths take part in proportion first, and the last words are fitted by a
-bounded-knapsack dynamic program over the lengths still left. Of each length, the documents with the smallest seeded hashes are
-taken. A source's dynamic program sees only its length counts, which grow with the longest text and not with the rows.
+shared again by weight until no source is above its cap. Documents are counted by exact length; lengths take part in
+proportion first, and the remaining budget is fitted by a bounded-knapsack dynamic program over the copies still left. Of
+each length, every document is taken as often as that goes evenly, and those with the smallest seeded hashes once more. A source's dynamic program sees only its length counts, which grow with the longest text and not with the rows.
 
 Defined results. A word is a run of characters other than space and U+0009 to U+000D; null texts have size 0. Null is a source
 of its own, last in the order of weights. Texts of size 0 are taken as often as their source is whole and weigh nothing. A source
@@ -56,23 +55,23 @@ def knapsack(lengths: list[int], left: list[int], budget: int) -> tuple[dict[int
     return taken, total
 
 
-def fit(lengths: list[int], counts: list[int], budget: int, knapsack_words: int = KNAPSACK_WORDS) -> dict[int, int]:
-    """How many documents of each length to take so that their words come to `budget`, or nearly and never above."""
-    total = sum(a * b for a, b in zip(lengths, counts, strict=True))
+def fit(lengths: list[int], counts: list[int], budget: int, most: int = MOST, knapsack_words: int = KNAPSACK_WORDS) -> dict[int, int]:
+    """How many copies of documents of each length to take, at most `most` of each document, so that their words come to `budget` or nearly, and never above."""
+    room = {length: most * n for length, n in zip(lengths, counts, strict=True)}
+    total = sum(length * n for length, n in room.items())
     if budget >= total:
-        return dict(zip(lengths, counts, strict=True))
-    taken, rest = {}, budget
-    above = max(0, budget - knapsack_words)
-    for length, n in zip(lengths, counts, strict=True):
-        taken[length] = n * above // total
-        rest -= taken[length] * length
-    for length, n in sorted(zip(lengths, counts, strict=True), reverse=True):  # what rounding down left above the program's reach
-        more = min(n - taken[length], max(0, rest - knapsack_words) // length if length else 0)
+        return room
+    above, upto, words, taken = max(0, budget - knapsack_words), 0, 0, {}
+    for length, n in sorted(room.items()):  # in proportion; what rounding leaves is carried on to the next length
+        upto += length * n
+        taken[length] = min(n, max(0, above * upto // total - words) // length) if length else 0
+        words += taken[length] * length
+    for length, n in sorted(room.items(), reverse=True):  # only if more is left than the program's reach
+        more = min(n - taken[length], max(0, budget - words - 2 * knapsack_words) // length if length else 0)
         taken[length] += more
-        rest -= more * length
-    small_first = sorted(lengths)
-    left = dict(zip(lengths, counts, strict=True))
-    for length, n in knapsack(small_first, [left[x] - taken[x] for x in small_first], rest)[0].items():
+        words += more * length
+    small_first = sorted(room)
+    for length, n in knapsack(small_first, [room[x] - taken[x] for x in small_first], budget - words)[0].items():
         taken[length] += n
     return taken
 
@@ -98,12 +97,13 @@ def targets(sources: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int
     return weighed.withColumn("target", F.least("cap", F.lit(max(level, 0.0)) * F.col("weight"))).drop("rank", "weight", "cap")
 
 
-def _planned(by_length: pd.DataFrame, knapsack_words: int) -> pd.DataFrame:
+def _planned(by_length: pd.DataFrame, most: int, knapsack_words: int) -> pd.DataFrame:
     size, target = int(by_length["source_size"].iloc[0]), float(by_length["target"].iloc[0])
+    lengths, counts = by_length["size"].tolist(), by_length["n"].tolist()
     whole = int((target + 1e-6) // size) if size else 0
-    taken = fit(by_length["size"].tolist(), by_length["n"].tolist(), int(target + 1e-6) - whole * size, knapsack_words) if size else {}
-    extra = [taken.get(x, 0) for x in by_length["size"].tolist()]
-    return by_length.assign(whole=whole, extra=[0 if x == 0 else e for x, e in zip(by_length["size"].tolist(), extra, strict=True)])
+    taken = fit(lengths, counts, int(target + 1e-6), most, knapsack_words)
+    copies = [whole * n if not length else taken[length] for length, n in zip(lengths, counts, strict=True)]
+    return by_length.assign(whole=[c // n for c, n in zip(copies, counts, strict=True)], extra=[c % n for c, n in zip(copies, counts, strict=True)])
 
 
 def drawn(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST, seed: int = SEED, knapsack_words: int = KNAPSACK_WORDS) -> DataFrame:
@@ -122,7 +122,7 @@ def drawn(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MO
     sources = saved(by_length.groupBy("skey", "source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")))
     aimed = by_length.join(targets(sources, weights, share, most).drop("source"), "skey").drop("source")
     schema = "skey string, size long, n long, source_size long, target double, whole int, extra long"
-    plan = aimed.select("skey", "size", "n", "source_size", "target").groupBy("skey").applyInPandas(lambda f: _planned(f, knapsack_words), schema)
+    plan = aimed.select("skey", "size", "n", "source_size", "target").groupBy("skey").applyInPandas(lambda f: _planned(f, most, knapsack_words), schema)
     earlier = Window.partitionBy("skey", "size").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum("n").over(earlier), F.lit(0))
     quota = parts.drop("source").join(plan.drop("n"), ["skey", "size"]).withColumn("quota", F.greatest(F.lit(0), F.least("n", F.col("extra") - before))).drop("n", "extra")
