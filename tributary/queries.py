@@ -781,9 +781,9 @@ def mount_count_check(t, spark):
     return audit.mount_count_check(contracts(t), runs(t))
 
 
-@query(f"SELECT run_id, round(epsilon, 6) AS epsilon, round(threshold, 6) AS threshold, ok FROM ({GATE})")
+@query(f"SELECT run_id, round(epsilon, 7) AS epsilon, round(threshold, 7) AS threshold, ok FROM ({GATE})")
 def budget_gate(t, spark):
-    return rounded(audit.budget_gate(contracts(t), runs(t)), 6)
+    return rounded(audit.budget_gate(contracts(t), runs(t)), 7)
 
 
 @query(f"""SELECT m.run_id, u.run_id IS NULL AS covered, m.mounts BETWEEN m.providers + 1 AND m.providers + 2 AS mounts_ok, g.ok AS budget_ok, u.run_id IS NULL AND m.mounts BETWEEN m.providers + 1 AND m.providers + 2 AND g.ok AS allowed
