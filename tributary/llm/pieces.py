@@ -53,6 +53,11 @@ class Pieces:
                     del self.ids[s]  # no text is ever encoded with it
         keys = np.array(sorted(self.merges), dtype=np.int64)
         self.merge_keys, self.merge_ranks = keys, np.array([self.merges[k] for k in keys.tolist()], dtype=np.int64)
+        self.maybe = np.zeros(1 << 21, dtype=bool)
+        self.maybe[self._flag(keys)] = True
+        self.raw = [t.encode("utf-8") for t in self.text]
+        for value, i in enumerate(self.byte_ids):
+            self.raw[i] = bytes([value])
         self._pairs: dict[int, bool] = {}
         self._runs: dict[int, list[int]] = {}
         # rank of the merge that made a piece, -1 for single characters; plain lists are faster to look up one by one
@@ -60,6 +65,11 @@ class Pieces:
         self._sides = (n, self.made.tolist(), self.left.tolist(), self.right.tolist(), self.merges)
         self.mark_id = self.ids.get(MARK)
 
+    @staticmethod
+    def _flag(keys: np.ndarray) -> np.ndarray:
+        """Place of a pair in the table of flags that is asked before the sorted keys."""
+        return (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(43)
+
     def simulate(self, word: str) -> tuple[list[int], tuple[int, int]]:
         """Merge by merge, lowest rank first, then leftmost: the ids, and the parts of the last merge. For short words."""
         out, last, n = [self.ids.get(c, UNKNOWN) for c in word], (-1, -1), len(self.text)
@@ -118,10 +128,13 @@ class Pieces:
         until_a, until_b = np.full(len(at), NEVER), np.full(len(at), NEVER)  # ranks at which each side is merged away from the boundary
         while len(at):
             key = a * len(self.text) + b
-            place = np.minimum(np.searchsorted(self.merge_keys, key), len(self.merge_keys) - 1)
-            rank = np.where(self.merge_keys[place] == key, self.merge_ranks[place], NEVER)
-            crossed = (rank < until_a) & (rank <= until_b) & (rank < NEVER)
-            ok[at[crossed]] = False
+            asked = np.flatnonzero(self.maybe[self._flag(key)])  # most pairs do not merge
+            place = np.minimum(np.searchsorted(self.merge_keys, key[asked]), len(self.merge_keys) - 1)
+            rank = self.merge_ranks[place]
+            crossing = asked[(self.merge_keys[place] == key[asked]) & (rank < until_a[asked]) & (rank <= until_b[asked])]
+            crossed = np.zeros(len(at), dtype=bool)
+            crossed[crossing] = True
+            ok[at[crossing]] = False
             made_a, made_b = self.made[a], self.made[b]
             more = ~crossed & ((made_a >= 0) | (made_b >= 0))
             undo_b = made_b >= made_a
@@ -136,23 +149,16 @@ class Pieces:
 
     def decode(self, ids) -> str:
         """The text of a sequence of ids."""
-        first = self.byte_ids[0]
-        out, held = [], bytearray()
-        for i in ids:
-            if first <= i < first + 256:
-                held.append(i - first)
-                continue
-            if held:
-                out.append(held.decode("utf-8", "replace"))
-                held.clear()
-            out.append(self.text[i])
-        out.append(held.decode("utf-8", "replace"))
-        return "".join(out).replace(MARK, " ")[1:]
+        return b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace").replace(MARK, " ")[1:]
 
 
 def words(text: str) -> list[str]:
     """Parts of a text across which nothing merges; the text gets a mark in front, and marks for its blanks."""
-    return _WORDS.findall(MARK + text.replace(" ", MARK)) if text else []
+    if not text:
+        return []
+    if "  " in text or MARK in text or text[0] == " " or text[-1] == " ":
+        return _WORDS.findall(MARK + text.replace(" ", MARK))
+    return [MARK + w for w in text.split(" ")]
 
 
 @lru_cache(maxsize=2)

@@ -31,10 +31,12 @@ from tributary.llm.shared import small_batches
 
 LONG = 48
 #: Words kept from batch to batch in a task.
-MAX_WORDS = 400_000
+MAX_WORDS = 800_000
 #: Words that advance together at most.
 TOGETHER = 20_000
 _P = np.uint64(0x9E3779B97F4A7C15)
+#: Leading bits of a hash that a small table of flags is asked for before the sorted keys are probed.
+_MAYBE_SHIFT = np.uint64(44)
 
 
 def _mixed(points: np.ndarray) -> np.ndarray:
@@ -50,6 +52,10 @@ def _points(some: list[str]) -> np.ndarray:
     return np.frombuffer("".join(some).encode("utf-32-le", "surrogatepass"), dtype="<u4").reshape(len(some), -1)
 
 
+def _packed(ids: list[int]) -> bytes:
+    return np.array(ids, dtype=np.int32).tobytes()
+
+
 class Codec:
     def __init__(self, pieces: Pieces) -> None:
         self.pieces, self.known = pieces, {}
@@ -62,6 +68,8 @@ class Codec:
         keys.sort()
         self.keys, self.key_ids = np.array([k for k, _ in keys], dtype=np.uint64), np.array([i for _, i in keys], dtype=np.int64)
         self.lengths = np.array([max(1, len(t)) for t in pieces.text])
+        self.maybe = np.zeros(1 << (64 - int(_MAYBE_SHIFT)), dtype=bool)
+        self.maybe[self.keys >> _MAYBE_SHIFT] = True
         padded = [(t if t in pieces.ids else "")[: pieces.longest].ljust(pieces.longest, "\0") for t in pieces.text]
         self.points = _points(padded)
         self.inner = {s[k : k + 2] for s in pieces.ids for k in range(len(s) - 1)}
@@ -75,8 +83,8 @@ class Codec:
             h[:, j + 1] = h[:, j] * _P + values[:, j]
         return h
 
-    def _viterbi(self, some: list[str]) -> list[np.ndarray]:
-        """Encodings of distinct words of one length."""
+    def _viterbi(self, some: list[str]) -> list[bytes]:
+        """Encodings of distinct words of one length, as bytes of 32-bit ids."""
         n, length = len(some), len(some[0])
         points = _points(some)
         h = self._hashes(points)
@@ -88,20 +96,23 @@ class Codec:
             spans = np.arange(1, min(j, self.pieces.longest) + 1)
             before = h[:, j - spans]
             probe = h[:, j : j + 1] - before * np.array([powers[s] for s in spans], dtype=np.uint64)
-            place = np.minimum(np.searchsorted(self.keys, probe), len(self.keys) - 1)
-            hit = self.keys[place] == probe
-            row, k = np.nonzero(hit)
-            piece, begin = self.key_ids[place[row, k]], j - spans[k]
+            row, k = np.nonzero(self.maybe[probe >> _MAYBE_SHIFT])  # most substrings are no pieces
+            asked = probe[row, k]
+            place = np.minimum(np.searchsorted(self.keys, asked), len(self.keys) - 1)
+            piece, begin = self.key_ids[place], j - spans[k]
+            hit = (self.keys[place] == asked) & (self.lengths[piece] == spans[k])
+            single = np.zeros(n, dtype=bool)
+            single[row[hit & (k == 0)]] = True
             above = last[row, begin]
-            fits = (self.lengths[piece] == spans[k]) & ((begin == 0) | (above != -1))
+            fits = hit & ((begin == 0) | (above != -1))
             row, k, piece, begin, above = row[fits], k[fits], piece[fits], begin[fits], above[fits]
             fits = self.pieces.may_follow_all(np.where(begin == 0, UNKNOWN, above), piece)
             best = np.zeros(n, dtype=np.int64)  # the backpointer: length and piece of the longest that fits
             np.maximum.at(best, row[fits], (spans[k[fits]] << 32) + piece[fits] + 1)
-            last[:, j] = np.where(best > 0, (best & 0xFFFFFFFF) - 1, np.where(hit[:, 0], -1, UNKNOWN))
+            last[:, j] = np.where(best > 0, (best & 0xFFFFFFFF) - 1, np.where(single, -1, UNKNOWN))
         return self._followed(some, points, last)
 
-    def _followed(self, some: list[str], points: np.ndarray, last: np.ndarray) -> list[np.ndarray]:
+    def _followed(self, some: list[str], points: np.ndarray, last: np.ndarray) -> list[bytes]:
         """Follow the backpointers of all words together and check each piece against the word it was found in."""
         n, length = points.shape
         word, end, steps = np.arange(n), np.full(n, length), []
@@ -119,13 +130,14 @@ class Codec:
             word, end = word[begin > 0], begin[begin > 0]
         order = np.concatenate([w for w, _ in reversed(steps)])
         ids = np.concatenate([p for _, p in reversed(steps)])[np.argsort(order, kind="stable")].astype(np.int32)
-        ends = np.cumsum(np.bincount(order, minlength=n)).tolist()
-        out = [ids[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+        ends = (4 * np.cumsum(np.bincount(order, minlength=n))).tolist()
+        flat = ids.tobytes()
+        out = [flat[a:b] for a, b in zip([0, *ends], ends, strict=False)]
         for i in np.flatnonzero(odd).tolist():
             out[i] = self._backwards(some[i], last[i].tolist())
         return out
 
-    def _backwards(self, word: str, row: list[int]) -> np.ndarray:
+    def _backwards(self, word: str, row: list[int]) -> bytes:
         ids, j = [], len(word)
         while j > 0:
             piece = row[j]
@@ -133,11 +145,11 @@ class Codec:
                 ids += reversed(self.pieces.spelt(word[j - 1]))
                 j -= 1
             elif piece < 0 or not word.endswith(self.pieces.text[piece], 0, j):
-                return np.array(self._plain(word), dtype=np.int32)
+                return _packed(self._plain(word))
             else:
                 ids.append(piece)
                 j -= len(self.pieces.text[piece])
-        return np.array(ids[::-1], dtype=np.int32)
+        return _packed(ids[::-1])
 
     def _plain(self, word: str) -> list[int]:
         made, at, out = self.pieces.simulate(word)[0], 0, []
@@ -162,19 +174,19 @@ class Codec:
         by_length = defaultdict(set)
         for p in chain(plain, *parts.values()):
             by_length[len(p)].add(p)
-        found: dict[str, np.ndarray] = {}
+        found: dict[str, bytes] = {}
         for some in by_length.values():
             some = sorted(some)
             for i in range(0, len(some), TOGETHER):
                 found.update(zip(some[i : i + TOGETHER], self._viterbi(some[i : i + TOGETHER]), strict=True))
         self.known.update((w, found[w]) for w in plain)
         for w, (body, marks) in bodies.items():
-            ids = [i for p in parts[w] for i in found[p].tolist()]
+            ids = [i for p in parts[w] for i in np.frombuffer(found[p], dtype=np.int32).tolist()]
             if not body:
                 ids = self.pieces.run(marks)
             elif marks > 1:  # the last mark belongs to the word unless it stayed alone there
                 ids = self.pieces.run(marks) + ids[1:] if ids[0] == self.pieces.mark_id else self.pieces.run(marks - 1) + ids
-            self.known[w] = np.array(ids, dtype=np.int32)
+            self.known[w] = _packed(ids)
 
     def encode_batch(self, texts: list[str | None]) -> list[np.ndarray | None]:
         split = [words(t) if isinstance(t, str) else None for t in texts]
@@ -183,8 +195,8 @@ class Codec:
             self.known.clear()
             new = set(chain.from_iterable(s for s in split if s))
         self.learn(new)
-        none = np.zeros(0, dtype=np.int32)
-        return [None if s is None else np.concatenate([self.known[w] for w in s]) if s else none for s in split]
+        of = self.known.__getitem__
+        return [None if s is None else np.frombuffer(b"".join(map(of, s)), dtype=np.int32) for s in split]
 
 
 def encode_documents(docs: DataFrame, model_path: str = MODEL_PATH) -> DataFrame:
