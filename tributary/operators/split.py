@@ -61,11 +61,11 @@ def split_exact(df: DataFrame, key: list[str], ratios: tuple[float, float, float
 
 
 def quotas(counts: dict, total: int) -> dict:
-    """total shared in proportion to counts: whole parts, then one each by largest remainder, then by smaller class."""
+    """total shared in proportion to counts: whole parts, then one each by largest remainder, then by smaller class, NULL last."""
     n = sum(counts.values())
     parts = {c: divmod(k * total, n) for c, k in counts.items()}
     left = total - sum(q for q, _ in parts.values())
-    extra = sorted(parts, key=lambda c: (-parts[c][1], c))[:left]
+    extra = sorted(parts, key=lambda c: (-parts[c][1], c is None, 0 if c is None else c))[:left]
     return {c: q + (c in extra) for c, (q, _) in parts.items()}
 
 
