@@ -24,8 +24,9 @@ from pyspark.sql import functions as F
 
 from tributary.llm.shared import small_batches
 
-#: Bounds of the fit: sampled rows of each language, the longest text that may be sampled, and the most languages.
+#: Bounds of the fit: sampled rows of each language and of all, the longest text that may be sampled, and the most languages.
 MAX_FIT_ROWS = 800
+MAX_FIT_TOTAL = 4000
 MAX_FIT_CHARS = 20_000
 MAX_LANGUAGES = 200
 DIMENSIONS = 8192
@@ -77,7 +78,7 @@ def _clusters(x: np.ndarray, k: int) -> np.ndarray:
 
 
 def fit(texts: list[str], languages: list[str]) -> Model:
-    found = [(c, lang) for t, lang in zip(texts, languages, strict=True) if t and (c := counts(t)) is not None]
+    found = [(c.astype(np.float32), lang) for t, lang in zip(texts, languages, strict=True) if t and (c := counts(t)) is not None]
     names = sorted({lang for _, lang in found})
     if not names:
         return Model([], np.zeros((0, DIMENSIONS)), np.zeros(0, int), np.ones(DIMENSIONS), np.zeros(0))
@@ -112,18 +113,19 @@ def held_out(doc_id: Column | str) -> Column:
 def fitted(docs: DataFrame, max_rows: int = MAX_FIT_ROWS, max_chars: int = MAX_FIT_CHARS) -> Model:
     """Fit on at most max_rows documents of each language, none longer than max_chars and none held out."""
     known = docs.select("doc_id", "text", "lang").filter(F.col("lang").isNotNull() & (F.char_length("text") <= max_chars) & ~held_out("doc_id"))
-    # ids first: a bounded list for each language, kept by a partial top-n aggregate, without moving texts
-    ids = known.select("lang", F.xxhash64("doc_id").alias("h"), "doc_id")
-    n = ids.groupBy("lang").count().orderBy("lang").limit(MAX_LANGUAGES).collect()
-    texts, langs = [], []
-    for row in n:
-        share = min(1.0, 1.2 * max_rows / row["count"])
-        below = int(share * 2**63) - 1 if share < 1 else 2**63 - 1  # of the hash without its sign
-        own = known.filter((F.col("lang") == row["lang"]) & (F.xxhash64("doc_id").bitwiseAND(F.lit(2**63 - 1)) <= below))
-        for r in own.orderBy(F.xxhash64("doc_id"), "doc_id", "text").select("text").limit(max_rows).collect():
-            texts.append(r["text"])
-            langs.append(row["lang"])
-    return fit(texts, langs)
+    n = known.groupBy("lang").count().orderBy("lang").limit(MAX_LANGUAGES).collect()
+    rows = max(2 * CENTROIDS, min(max_rows, MAX_FIT_TOTAL // max(len(n), 1)))
+    # a hash limit for each language, a fifth above what is needed, picks the sample in one reading of the texts
+    top = 2**63 - 1
+    limits = docs.sparkSession.createDataFrame([(r["lang"], int(min(1.0, 1.2 * rows / r["count"]) * top) if r["count"] > rows else top) for r in n], "lang string, below long")
+    place = F.xxhash64("doc_id").bitwiseAND(F.lit(top))
+    found = known.join(F.broadcast(limits), "lang").filter(place <= F.col("below")).orderBy(place, "doc_id", "text").limit(2 * rows * max(len(n), 1)).collect()
+    taken: dict[str, list[str]] = {}
+    for r in found:
+        own = taken.setdefault(r["lang"], [])
+        if len(own) < rows:
+            own.append(r["text"])
+    return fit([t for own in taken.values() for t in own], [lang for lang, own in taken.items() for _ in own])
 
 
 def identify(docs: DataFrame) -> DataFrame:

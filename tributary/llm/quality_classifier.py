@@ -116,13 +116,12 @@ def fitted(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS, max
     """Fit on at most max_rows labelled documents of each class, none longer than max_chars and none held out."""
     known = labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out("doc_id")).select("doc_id", F.col("quality").cast("int").alias("quality"))
     n = {r["quality"]: r["count"] for r in known.groupBy("quality").count().collect()}
+    # twice the bound of ids, a table of known size, as some of these rows may be missing or too long; texts are read once
+    by_hash = [F.xxhash64("doc_id"), F.col("doc_id")]
+    ids = [known.filter(F.col("quality") == v).orderBy(*by_hash).limit(2 * max_rows) for v in (0, 1)]
     texts = docs.select("doc_id", "text").filter(F.char_length("text") <= max_chars)
-    sample = []
-    for value in (0, 1):
-        # twice the bound of ids, a table of known size, as some of these rows may be missing or too long
-        ids = known.filter(F.col("quality") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * max_rows)
-        found = texts.join(F.broadcast(ids), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(max_rows)
-        sample += [(r["text"], value) for r in found.select("text").collect()]
+    found = texts.join(F.broadcast(ids[0].unionByName(ids[1])), "doc_id").orderBy(*by_hash, "text", "quality").limit(4 * max_rows).collect()
+    sample = [(r["text"], v) for v in (0, 1) for r in [r for r in found if r["quality"] == v][:max_rows]]
     return fit([t for t, _ in sample], [v for _, v in sample], (n.get(1, 0) + 1) / (sum(n.values()) + 2))
 
 
