@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tributary.plans.lineage import saved
 
@@ -22,11 +23,16 @@ def by_range(df: DataFrame, order: list[Column]) -> DataFrame:
 
 
 def with_offsets(dealt: DataFrame, sums: dict[str, Column]) -> DataFrame:
-    """`dealt` joined with, for each name, the sum of its aggregate over all earlier partitions. One small row a partition."""
-    per_part = dealt.groupBy(PART).agg(*[v.alias(k) for k, v in sums.items()])
-    earlier = per_part.alias("x").join(per_part.alias("y"), F.col(f"y.{PART}") < F.col(f"x.{PART}"), "left")
-    offsets = earlier.groupBy(F.col(f"x.{PART}").alias(PART)).agg(*[F.coalesce(F.sum(f"y.{k}"), F.lit(0)).alias(k) for k in sums])
-    return dealt.join(F.broadcast(offsets), PART)
+    """`dealt` joined with, for each name, the sum of its aggregate over all earlier partitions.
+
+    The driver sees one row of sums for each partition, and nothing else.
+    """
+    per_part = dealt.groupBy(PART).agg(*[F.coalesce(v, F.lit(0)).alias(k) for k, v in sums.items()])
+    before, offsets = [0] * len(sums), []
+    for row in sorted(per_part.collect()):
+        offsets.append((row[0], *(type(v)(x) for x, v in zip(before, row[1:], strict=True))))
+        before = [x + v for x, v in zip(before, row[1:], strict=True)]
+    return dealt.join(F.broadcast(dealt.sparkSession.createDataFrame(offsets, per_part.schema)), PART)
 
 
 def global_rank(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
@@ -54,9 +60,12 @@ def carry(df: DataFrame, order: list[Column], columns: list[str], forward: bool
     best = F.max_by if forward else F.min_by
     key = F.struct(*[o for o in order])
     leaving = dealt.groupBy(PART).agg(*[best(F.struct(F.col(c).alias("v")), F.when(F.col(c).isNotNull(), key)).alias(c) for c in columns])
-    beyond = F.col(f"y.{PART}") < F.col(f"x.{PART}") if forward else F.col(f"y.{PART}") > F.col(f"x.{PART}")
-    pairs = leaving.select(PART).alias("x").join(leaving.alias("y"), beyond, "left")
-    nearest = [best(F.col(f"y.{c}"), F.when(F.col(f"y.{c}").isNotNull(), F.col(f"y.{PART}")))["v"].alias(f"__in_{c}") for c in columns]
-    entering = pairs.groupBy(F.col(f"x.{PART}").alias(PART)).agg(*nearest)
+    last, entering_rows = [None] * len(columns), []
+    for row in sorted(leaving.collect(), key=lambda r: r[0], reverse=not forward):  # one row for each partition
+        entering_rows.append((row[0], *last))
+        last = [old if new is None else new["v"] for old, new in zip(last, row[1:], strict=True)]
+    types = {f.name: f.dataType for f in df.schema.fields}
+    schema = StructType([StructField(PART, IntegerType()), *[StructField(f"__in_{c}", types[c]) for c in columns]])
+    entering = df.sparkSession.createDataFrame(entering_rows, schema)
     out = local.join(F.broadcast(entering), PART)
     return out.select(*[F.coalesce(F.col(f"__{c}"), F.col(f"__in_{c}")).alias(c) if c in columns else F.col(c) for c in df.columns])
