@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.plans.lineage import saved
+from tributary.plans.lineage import saved, shared_folder
 
 __all__ = ["HOT_SHARE", "SPACES", "SPACE_CLASS", "WORD", "documents", "join_many", "let", "saved", "shared_folder", "small_batches", "stripped"]
 
@@ -23,16 +21,6 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: the one the cluster names, else one of our own."""
-    context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not named:
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
-        named = context.getCheckpointDir()
-    return named
-
-
 def small_batches(spark: SparkSession, rows: int = 500) -> None:
     """Bound the rows that go to Python at once, as some texts are very long."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
@@ -62,4 +50,4 @@ def join_many(left: DataFrame, right: DataFrame, keys: list[str], weight: str, t
     cold = right.filter(F.col(weight) * HOT_SHARE <= total)
     by_broadcast = left.join(F.broadcast(hot), keys)
     rest = left.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
-    return by_broadcast.unionByName(rest.join(cold.hint("shuffle_hash"), keys))
+    return by_broadcast.unionByName(rest.join(cold, keys))
