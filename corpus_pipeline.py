@@ -48,10 +48,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over `documents`. What a stage returns is written below the folder that the cluster shares."""
+    """The stages over `documents`. What a stage returns is written below the folder that the cluster shares, and kept until the next stage is written."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     for k, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
         docs = spark.read.parquet(f"{folder}/{k}")
+        if k:
+            _removed(spark, f"{folder}/{k - 1}")
     return docs
+
+
+def _removed(spark: SparkSession, path: str) -> None:
+    """Remove a folder of an earlier stage, in whatever file system it lies."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
