@@ -186,8 +186,8 @@ def near_duplicates(docs: DataFrame, most: int = MOST, shingle: int = SHINGLE, t
     distinct = saved(marked.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")))
     reached = components(links(distinct.select("fp"), most, two_segments))
     rooted = saved(distinct.join(reached, distinct["fp"] == reached["node"], "left").select("fp", "least", "n", F.coalesce("root", "fp").alias("root")))
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_fp = saved(rooted.join(named, "root").select("fp", "n", "component_id"))
+    named = saved(rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("members")))
+    by_fp = saved(join_many(rooted, named, ["root"], "members", rooted.count()).select("fp", "n", "component_id"))
     out = join_many(marked, by_fp, ["fp"], "n", marked.count())
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
