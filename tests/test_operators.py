@@ -83,6 +83,24 @@ def test_link_tables_rules(spark):
     assert link.check_result_columns(out, ["v", "w"]) == {"missing": ["w"], "extra": []}
 
 
+def test_missing_keys_can_be_left_out(spark):
+    df = deidentify.pseudonymise(spark.createDataFrame([(1,), (None,), (None,)], "k long"), ["k"])
+    assert link.without_missing_key(df, "k_hashed").count() == 1
+    assert tuple(link.key_multiplicity({"a": df}, "k_hashed").first()) == ("a", 1, 1, 2)
+
+
+def test_bucketed_tables_join_without_exchange(spark):
+    df = spark.range(200).withColumn("v", F.col("id") * 2)
+    for name in ("left_side", "right_side"):
+        tables.write_bucketed(df, name, "id", 4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    joined = spark.table("left_side").join(spark.table("right_side").withColumnRenamed("v", "w"), "id")
+    assert joined.count() == 200 and "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for name in ("left_side", "right_side"):
+        spark.sql(f"DROP TABLE {name}")
+
+
 @pytest.mark.parametrize("query", ["SELECT 1; SELECT 2", "DROP TABLE x", "INSERT INTO a SELECT 1", "", None, 3, "UPDATE a SET b = 1"])
 def test_query_guard_refuses(query):
     with pytest.raises(ValueError):

@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tributary.operators.deidentify import EMPTY_HASH
+
 _FORBIDDEN = {"insert", "update", "delete", "drop", "alter", "create", "truncate", "merge", "grant", "revoke", "replace", "call", "set", "use", "load", "cache", "uncache", "refresh"}
 
 
@@ -80,6 +82,22 @@ def distinct_rows(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
+def without_missing_key(df: DataFrame, key: str) -> DataFrame:
+    """Rows whose hashed key stands for a value: the hash of a missing key would join all missing keys with each other."""
+    return df.filter(F.col(key).isNotNull() & (F.col(key) != EMPTY_HASH))
+
+
+def key_multiplicity(tables: dict[str, DataFrame], key: str) -> DataFrame:
+    """source, n_keys, most, missing: how often keys repeat in each table, before they are linked; n rows a side fan out to their product."""
+    out = None
+    for name, df in tables.items():
+        counts = df.groupBy(key).agg(F.count("*").alias("n"))
+        unset = F.col(key).isNull() | (F.col(key).cast("string") == EMPTY_HASH)
+        row = counts.agg(F.lit(name).alias("source"), F.count_if(~unset).alias("n_keys"), F.max(F.when(~unset, F.col("n"))).alias("most"), F.coalesce(F.sum(F.when(unset, F.col("n"))), F.lit(0)).alias("missing"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 def inner_link(tables: list[DataFrame], key: str) -> DataFrame:
     """Inner equi-join of several tables on one key; each table is exchanged once, as all joins share the key."""
     out = tables[0]

@@ -226,6 +226,13 @@ def link_tables(t, spark):
     return link.link_tables(spark, providers(t), LINK, drop=["cowin_o_orderpriority"], identifiers=["pk_mobno_hashed"])
 
 
+@query("""SELECT 'orders' AS source, count(o_custkey) AS n_keys, max(n) AS most, 0::BIGINT AS missing FROM (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1)
+    UNION ALL SELECT 'events', count(k), max(CASE WHEN k IS NOT NULL THEN n END), sum(CASE WHEN k IS NULL THEN n ELSE 0 END)::BIGINT FROM (SELECT nullif(user_id, 7) AS k, count(*) AS n FROM events GROUP BY 1)""")
+def key_multiplicity(t, spark):
+    keyed = {"orders": t("orders").select(F.col("o_custkey").alias("k")), "events": t("events").select(F.nullif("user_id", F.lit(7)).alias("k"))}
+    return link.key_multiplicity({name: deidentify.pseudonymise(df, ["k"], {"k": "long"}) for name, df in keyed.items()}, "k_hashed")
+
+
 @query("SELECT c_mktsegment, o_orderpriority, count(*) AS n FROM customer, orders WHERE c_custkey = o_custkey GROUP BY 1, 2")
 def implicit_join(t, spark):
     joined = link.link_tables(spark, {"a": t("customer"), "b": t("orders")}, "SELECT * FROM a, b WHERE a.c_custkey = b.o_custkey", distinct_inputs=True)

@@ -106,6 +106,11 @@ def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def write_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
+    """A table bucketed and sorted by a key, so that later joins and roll-ups on the key need no exchange."""
+    df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).format("parquet").saveAsTable(table)
+
+
 def write_metrics_json(metrics: DataFrame, path: str) -> None:
     """A long table (metric, value) as JSON lines."""
     metrics.select("metric", "value").write.mode("overwrite").json(path)
