@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.shared import small_batches
+from tributary.llm.shared import shared_value, small_batches
 
 #: Bounds of the fit: sampled rows of each language and of all, the longest text that may be sampled, and the most languages.
 MAX_FIT_ROWS = 800
@@ -132,12 +132,13 @@ def identify(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, held_out, lang_pred, score, rejected."""
     spark = docs.sparkSession
     small_batches(spark)
-    shared = spark.sparkContext.broadcast(fitted(docs))  # bounded: MAX_LANGUAGES * CENTROIDS rows of DIMENSIONS
+    fit_once = shared_value(spark, fitted(docs))  # bounded: MAX_LANGUAGES * CENTROIDS rows of DIMENSIONS
 
     @F.pandas_udf("lang_pred string, score double, rejected boolean")
     def guess(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        model = fit_once()
         for batch in batches:
-            parts = [predict(batch.iloc[i : i + 64].tolist(), shared.value) for i in range(0, len(batch), 64)]
+            parts = [predict(batch.iloc[i : i + 64].tolist(), model) for i in range(0, len(batch), 64)]
             yield pd.DataFrame({name: [v for p in parts for v in p[k]] for k, name in enumerate(("lang_pred", "score", "rejected"))})
 
     return docs.select("doc_id", F.coalesce(held_out("doc_id"), F.lit(False)).alias("held_out"), guess("text").alias("g")).select("doc_id", "held_out", "g.*")

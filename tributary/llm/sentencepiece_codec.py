@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tributary.llm.pieces import MARK, MODEL_PATH, UNKNOWN, Pieces, load, words
-from tributary.llm.shared import small_batches
+from tributary.llm.shared import shared_value, small_batches
 
 LONG = 48
 #: Words kept from batch to batch in a task.
@@ -190,10 +190,10 @@ class Codec:
 
     def encode_batch(self, texts: list[str | None]) -> list[np.ndarray | None]:
         split = [words(t) if isinstance(t, str) else None for t in texts]
-        new = set(chain.from_iterable(s for s in split if s)).difference(self.known)
+        new = set().union(*(s for s in split if s)).difference(self.known)
         if len(self.known) + len(new) > MAX_WORDS:
             self.known.clear()
-            new = set(chain.from_iterable(s for s in split if s))
+            new = set().union(*(s for s in split if s))
         self.learn(new)
         of = self.known.__getitem__
         return [None if s is None else np.frombuffer(b"".join(map(of, s)), dtype=np.int32) for s in split]
@@ -203,14 +203,14 @@ def encode_documents(docs: DataFrame, model_path: str = MODEL_PATH) -> DataFrame
     """`docs` with ids (array of int), n_pieces and decoded, the text that the ids give back."""
     spark = docs.sparkSession
     small_batches(spark)
-    shared = spark.sparkContext.broadcast(load(model_path))  # one table of the model's pieces
+    pieces = shared_value(spark, load(model_path))  # one table of the model's pieces
 
     @F.pandas_udf("ids array<int>, n_pieces long, decoded string")
     def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        codec = Codec(shared.value)
+        codec = Codec(pieces())
         for batch in batches:
             ids = codec.encode_batch(batch.tolist())
-            back = [None if x is None else shared.value.decode(x.tolist()) for x in ids]
+            back = [None if x is None else codec.pieces.decode(x.tolist()) for x in ids]
             yield pd.DataFrame({"ids": ids, "n_pieces": [0 if x is None else len(x) for x in ids], "decoded": pd.Series(back, dtype=object)})
 
     kept = [c for c in docs.columns if c.lower() not in {"ids", "n_pieces", "decoded"}]
@@ -220,4 +220,4 @@ def encode_documents(docs: DataFrame, model_path: str = MODEL_PATH) -> DataFrame
 def digest(encoded: DataFrame) -> DataFrame:
     """doc_id, n_pieces, a checksum of the ids, and whether decoding gave the text back."""
     same = F.translate("text", MARK, " ").eqNullSafe(F.col("decoded"))
-    return encoded.select("doc_id", "n_pieces", F.crc32(F.encode(F.array_join("ids", " "), "UTF-8")).alias("ids_crc32"), same.alias("round_trip"))
+    return encoded.select("doc_id", "n_pieces", F.xxhash64("ids").alias("ids_xxhash64"), same.alias("round_trip"))

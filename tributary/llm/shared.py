@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tributary.plans.lineage import saved, shared_folder
 
-__all__ = ["HOT_SHARE", "SPACES", "SPACE_CLASS", "WORD", "documents", "join_many", "let", "saved", "shared_folder", "small_batches", "stripped"]
+__all__ = ["HOT_SHARE", "SPACES", "SPACE_CLASS", "WORD", "documents", "join_many", "let", "saved", "shared_folder", "shared_value", "small_batches", "stripped"]
 
 #: A word is a run of anything but these white-space characters.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
@@ -21,6 +22,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def shared_value(spark: SparkSession, value):
+    """A function that gives `value`, of bounded size, in tasks. It is broadcast with the code of its classes."""
+    packed = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: cloudpickle.loads(packed.value)
+
+
 def small_batches(spark: SparkSession, rows: int = 500) -> None:
     """Bound the rows that go to Python at once, as some texts are very long."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tributary.llm.pieces import MARK, MODEL_PATH, UNKNOWN, Pieces, load, words
-from tributary.llm.shared import small_batches
+from tributary.llm.shared import shared_value, small_batches
 
 MAX_NODES = 1_000_000
 
@@ -94,11 +94,11 @@ def count_tokens(docs: DataFrame, model_path: str = MODEL_PATH) -> DataFrame:
     """One row per document: doc_id, n_tokens."""
     spark = docs.sparkSession
     small_batches(spark)
-    shared = spark.sparkContext.broadcast(load(model_path))  # one table of the model's pieces
+    pieces = shared_value(spark, load(model_path))  # one table of the model's pieces
 
     @F.pandas_udf("long")
     def counted(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        trie = CountTrie(shared.value)
+        trie = CountTrie(pieces())
         for batch in batches:
             yield pd.Series([sum(trie.count(w) * n for w, n in Counter(words(t)).items()) if isinstance(t, str) else 0 for t in batch], dtype="int64")
 
