@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tributary.llm import exact_dedup, mixing, quality_classifier, sentencepiece_codec, simhash
+from tributary.llm import exact_dedup, mixing, near_copies, quality_classifier, sentencepiece_codec
 from tributary.llm.shared import shared_folder
 
 
@@ -21,8 +21,8 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    return simhash.drop_near_duplicates(docs)
+    """One document of each group of near copies, by 5-word shingles and a similarity of 0.8."""
+    return near_copies.drop_near_copies(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

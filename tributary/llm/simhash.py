@@ -40,18 +40,27 @@ TWO_SEGMENTS_FROM = 1 << 24
 SEED = 42
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
-    """The fingerprint of one whole text, as an unsigned number."""
+def shingle_hashes(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
+    """A hash of each shingle of one whole text, in order; none without words."""
     words = (text or "").encode("utf-8", "replace").lower().split()  # on bytes both touch ASCII only
     if not words:
-        return 0
+        return np.zeros(0, dtype=">u8")
     joined = b" ".join(words)
     ends = np.cumsum([len(x) + 1 for x in words]) - 1
     n = max(1, len(words) - shingle + 1)
     starts = [0, *(ends[: n - 1] + 1).tolist()]
     stops = ends[min(shingle, len(words)) - 1 :].tolist()
-    hashes = np.fromiter((xxh64_intdigest(joined[a:b], SEED) for a, b in zip(starts, stops, strict=True)), dtype=">u8", count=n)
-    ones = np.zeros(64, dtype=np.int64)
+    return np.fromiter((xxh64_intdigest(joined[a:b], SEED) for a, b in zip(starts, stops, strict=True)), dtype=">u8", count=n)
+
+
+def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
+    """The fingerprint of one whole text, as an unsigned number."""
+    return folded(shingle_hashes(text, shingle))
+
+
+def folded(hashes: np.ndarray) -> int:
+    """The bits that more than half of the hashes have."""
+    n, ones = len(hashes), np.zeros(64, dtype=np.int64)
     for i in range(0, n, 65536):
         part = hashes[i : i + 65536]
         ones += np.unpackbits(part.view(np.uint8)).reshape(-1, 64).sum(axis=0, dtype=np.int64)
