@@ -11,7 +11,7 @@ documents: candidates of a provider's own format or assigned to a key word are s
 one character are not. At most MAX_FIT_ROWS of either, by hash, are used, and the context of half of
 the positives is blanked so that the forest doesn't learn the labelling rule alone.
 
-Defined results. A candidate is at least LEAST characters long; candidates do not overlap within a text. Position is the 1-based number of the candidate in
+Defined results. A candidate is at least LEAST characters long and holds a digit, or holds a provider's format; candidates do not overlap within a text. Position is the 1-based number of the candidate in
 its text. Null and empty texts have none. The result has one row per candidate, repeated rows of documents included. With findings of one class only, that class's share
 is the score of all. Only doc_id and text are read.
 """
@@ -33,6 +33,7 @@ TREES, DEPTH, SEED = 20, 6, 11
 CUT = 0.5
 #: Provider formats, fixed by their issuers.
 FORMATS = [r"AKIA[0-9A-Z]{16}", r"gh[pousr]_[A-Za-z0-9]{36}", r"sk_live_[A-Za-z0-9]{24}", r"xox[abp]-[A-Za-z0-9-]{10,48}", r"AIza[A-Za-z0-9_-]{35}", r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"]
+ANY_FORMAT = "|".join(FORMATS)
 KEY_WORDS = r"(?i)(key|token|secret|passw|pwd|credential|auth|bearer)"
 #: A run that could be a secret.
 RUN = r"[A-Za-z0-9_+/.\-]{%d,}={0,2}" % LEAST
@@ -44,24 +45,24 @@ FEATURES = ["length", "upper", "lower", "digit", "other", "transitions", "distin
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """doc_id, position, before, candidate, after. Only words that hold a digit are looked at."""
+    """doc_id, position, before, candidate, after. Only words that hold a digit or a provider's format are looked at."""
     words = F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), SPACE_CLASS + "+")
 
     def long_ones(w: Column) -> Column:
         near = lambda i: F.concat_ws(" ", *[F.get(w, i - k) for k in range(NEIGHBOURS, 0, -1)])
-        picked = F.transform(w, lambda x, i: F.when((F.length(x) >= LEAST) & x.rlike("[0-9]") & x.rlike(RUN), F.struct(x.alias("word"), near(i).alias("near"))))
+        picked = F.transform(w, lambda x, i: F.when(((F.length(x) >= LEAST) & x.rlike("[0-9]") & x.rlike(RUN)) | x.rlike(ANY_FORMAT), F.struct(x.alias("word"), near(i).alias("near"))))
         return F.filter(picked, lambda x: x.isNotNull())
 
     def runs(found: Column) -> Column:
         """Each run of each long word, with the rest of its word on either side."""
         of = lambda f: F.transform(
-            F.regexp_extract_all(f["word"], F.lit(f"({RUN})"), F.lit(1)),
+            F.regexp_extract_all(f["word"], F.lit(f"({RUN}|{ANY_FORMAT})"), F.lit(1)),
             lambda c: F.struct(
                 F.concat_ws(" ", f["near"], F.call_function("substring_index", f["word"], c, F.lit(1))).alias("before"), c.alias("candidate"),
                 F.substring(F.call_function("substring_index", f["word"], c, F.lit(-1)), 1, 1).alias("after"),
             ),
         )
-        return F.filter(F.flatten(F.transform(found, of)), lambda x: x["candidate"].rlike("[0-9]"))
+        return F.filter(F.flatten(F.transform(found, of)), lambda x: x["candidate"].rlike("[0-9]") | x["candidate"].rlike(ANY_FORMAT))
 
     each = docs.select(F.col("doc_id").alias("doc_id"), F.posexplode(let(let(words, long_ones), runs)).alias("at", "found"))
     return each.select("doc_id", (F.col("at") + 1).alias("position"), "found.*")
