@@ -1,38 +1,44 @@
 """Language identification by nearest centroids of normalised TF-IDF character n-grams.
 
-Method. A text is lower-cased, runs of other characters become one blank, and its 1- to 3-grams are hashed into DIMENSIONS bins.
-Bin counts, dampened by a logarithm and weighted by inverse document frequency, are normalised to length 1. For each
-language a few centroids are clustered from a bounded sample (spherical k-means); a text gets the language of the centroid
-with the largest cosine. Below the REJECT_QUANTILE quantile of the cosines that the winning language's sample texts have
-with their own centroid the row is marked as rejected; lang_pred then still names the nearest language.
-
-Defined results. A null text, or one without a letter, gets `und` with score 0, as does every text if there is nothing to
-learn from. Score is the cosine, from 0 to 1. Ties go to the language first in code point order. Repeated rows get equal
-results; no documents give no rows. Only doc_id and text are read to predict.
+Method. A text is lower-cased, runs of characters other than letters become one blank, and its 1- to 3-grams are hashed into
+DIMENSIONS bins. Bin counts, dampened by a logarithm and weighted by inverse document frequency, are normalised to length 1.
+For each language a few centroids are clustered from a bounded sample (spherical k-means); a text gets the language of the
+centroid with the largest cosine. Below the REJECT_QUANTILE quantile of the cosines that the winning language's sample texts
+have with their own centroid the row is marked as rejected; lang_pred then still names the nearest language.
+
+Every language that has a labelled text with a letter is learned, however many there are: with many, fewer rows of each are
+sampled, one at least. Texts of any length are sampled whole, as their bin counts are taken in tasks and only these come to
+the driver. The model is a table of CENTROIDS x DIMENSIONS numbers (96 kB) for each language.
+
+Defined results. A letter is a character of Unicode category L. A null text, or one without a letter, gets `und` with score 0,
+as does every text if there is nothing to learn from. Score is the cosine, from 0 to 1. Ties go to the language first in code
+point order. A very long text is counted in pieces of PIECE code points, whose grams overlap, so memory doesn't grow with it.
+Repeated rows get equal results; no documents give no rows. Only doc_id and text are read to predict.
 """
 
 from __future__ import annotations
 
-import re
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tributary.llm.shared import shared_value, small_batches
 
-#: Bounds of the fit: sampled rows of each language and of all, the longest text that may be sampled, and the most languages.
+#: Bounds of the fit: sampled rows of each language, and of all unless there are more languages than that.
 MAX_FIT_ROWS = 800
 MAX_FIT_TOTAL = 4000
-MAX_FIT_CHARS = 20_000
-MAX_LANGUAGES = 200
 DIMENSIONS = 8192
 CENTROIDS = 3
 REJECT_QUANTILE = 0.01
-_OTHER = re.compile(r"[\W\d_]+")
+#: Code points of a text that are counted at once.
+PIECE = 1 << 20
+_OTHER = regex.compile(r"\P{L}+")
 UNDEFINED = "und"
 
 
@@ -45,17 +51,26 @@ class Model:
     least: np.ndarray  # cosine below which a text of the language is rejected
 
 
+def _binned(letters: str) -> np.ndarray:
+    """Counts of the 1- to 3-grams that end in `letters`, whose first two characters are only looked back to."""
+    p = np.frombuffer(letters.encode("utf-32-le", "replace"), dtype="<u4").astype(np.uint32, copy=False)
+    one = p * np.uint32(2654435761)
+    two = one[:-1] * np.uint32(31) + p[1:] * np.uint32(1000003)
+    three = two[:-1] * np.uint32(131) + p[2:] * np.uint32(97561)
+    grams = np.concatenate((one[2:], two[1:], three))
+    return np.bincount((grams >> np.uint32(19)), minlength=DIMENSIONS)  # the leading 13 bits
+
+
 def counts(text: str) -> np.ndarray | None:
     """Hashed n-gram counts of one whole text; None if it has no letter."""
     cleaned = _OTHER.sub(" ", text.lower()).strip()
     if not cleaned:
         return None
-    p = np.frombuffer(f" {cleaned} ".encode("utf-32-le", "replace"), dtype="<u4").astype(np.uint32, copy=False)
-    one = p * np.uint32(2654435761)
-    two = one[:-1] * np.uint32(31) + p[1:] * np.uint32(1000003)
-    three = two[:-1] * np.uint32(131) + p[2:] * np.uint32(97561)
-    grams = np.concatenate((one, two, three))
-    return np.bincount((grams >> np.uint32(19)), minlength=DIMENSIONS)  # the leading 13 bits
+    padded = f"   {cleaned} "
+    found = _binned(padded[: PIECE + 2])
+    for i in range(PIECE, len(padded) - 2, PIECE):
+        found += _binned(padded[i : i + PIECE + 2])
+    return found
 
 
 def vectors(found: list[np.ndarray], idf: np.ndarray) -> np.ndarray:
@@ -77,21 +92,21 @@ def _clusters(x: np.ndarray, k: int) -> np.ndarray:
     return c
 
 
-def fit(texts: list[str], languages: list[str]) -> Model:
-    found = [(c.astype(np.float32), lang) for t, lang in zip(texts, languages, strict=True) if t and (c := counts(t)) is not None]
-    names = sorted({lang for _, lang in found})
-    if not names:
-        return Model([], np.zeros((0, DIMENSIONS)), np.zeros(0, int), np.ones(DIMENSIONS), np.zeros(0))
-    df = np.sum([c > 0 for c, _ in found], axis=0)
-    idf = np.log((1 + len(found)) / (1 + df)) + 0.1
-    centroids, owner, least = [], [], []
+def fit(samples: dict[str, list[np.ndarray]]) -> Model:
+    """A model from bin counts of sampled texts of each language."""
+    names, total = sorted(samples), sum(map(len, samples.values()))
+    df = np.zeros(DIMENSIONS)
+    for found in samples.values():
+        df += np.sum([c > 0 for c in found], axis=0)
+    idf = np.log((1 + total) / (1 + df)) + 0.1
+    centroids, owner, least = [np.zeros((0, DIMENSIONS), dtype=np.float32)], [], []
     for j, name in enumerate(names):
-        x = vectors([c for c, lang in found if lang == name], idf)
+        x = vectors(samples[name], idf)
         own = _clusters(x, CENTROIDS)
         centroids.append(own.astype(np.float32))
         owner += [j] * len(own)
         least.append(np.quantile((x @ own.T).max(axis=1), REJECT_QUANTILE))
-    return Model(names, np.vstack(centroids), np.array(owner), idf, np.array(least))
+    return Model(names, np.vstack(centroids), np.array(owner, dtype=int), idf, np.array(least))
 
 
 def predict(texts: list[str | None], model: Model) -> tuple[list[str], list[float], list[bool]]:
@@ -110,34 +125,46 @@ def held_out(doc_id: Column | str) -> Column:
     return F.crc32(F.encode(F.col(doc_id).cast("string"), "UTF-8")) % 3 == 1
 
 
-def fitted(docs: DataFrame, max_rows: int = MAX_FIT_ROWS, max_chars: int = MAX_FIT_CHARS) -> Model:
-    """Fit on at most max_rows documents of each language, none longer than max_chars and none held out."""
-    known = docs.select("doc_id", "text", "lang").filter(F.col("lang").isNotNull() & (F.char_length("text") <= max_chars) & ~held_out("doc_id"))
-    n = known.groupBy("lang").count().orderBy("lang").limit(MAX_LANGUAGES).collect()
-    rows = max(2 * CENTROIDS, min(max_rows, MAX_FIT_TOTAL // max(len(n), 1)))
-    # a hash limit for each language, a fifth above what is needed, picks the sample in one reading of the texts
+def fitted(docs: DataFrame, max_rows: int = MAX_FIT_ROWS, max_total: int = MAX_FIT_TOTAL) -> Model:
+    """Fit on at most max_rows documents of each language and max_total of all (or one of each language), none held out."""
+    known = docs.select("doc_id", "text", "lang").filter(F.col("lang").isNotNull() & ~held_out("doc_id") & F.col("text").rlike(r"\p{L}"))
+    n = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    if not n:
+        return fit({})
+    rows = max(1, min(max_rows, max_total // len(n)))
+    # a hash limit for each language, above what is needed, picks the sample in one reading of the texts
     top = 2**63 - 1
-    limits = docs.sparkSession.createDataFrame([(r["lang"], int(min(1.0, 1.2 * rows / r["count"]) * top) if r["count"] > rows else top) for r in n], "lang string, below long")
+    limits = docs.sparkSession.createDataFrame([(lang, min(top, int((1.2 * rows + 20) / count * top))) for lang, count in n.items()], "lang string, below long")
     place = F.xxhash64("doc_id").bitwiseAND(F.lit(top))
-    found = known.join(F.broadcast(limits), "lang").filter(place <= F.col("below")).orderBy(place, "doc_id", "text").limit(2 * rows * max(len(n), 1)).collect()
-    taken: dict[str, list[str]] = {}
+
+    @F.pandas_udf("bins array<int>, amounts array<int>")
+    def binned(batch: pd.Series) -> pd.DataFrame:
+        made = [counts(t) for t in batch]
+        bins = [np.flatnonzero(c) if c is not None else np.zeros(0, dtype=int) for c in made]
+        return pd.DataFrame({"bins": [b.astype(np.int32) for b in bins], "amounts": [c[b].astype(np.int32) if c is not None else b.astype(np.int32) for c, b in zip(made, bins, strict=True)]})
+
+    order = [F.col("place") / F.col("below"), F.col("place"), F.col("doc_id"), F.col("digest")]  # languages keep an even pace
+    picked = known.join(F.broadcast(limits), "lang").withColumn("place", place).filter("place <= below").withColumn("digest", F.xxhash64("text"))
+    found = picked.select("lang", "doc_id", "place", "below", "digest", binned("text").alias("c")).orderBy(*order).limit(3 * rows * len(n)).select("lang", "c.*").collect()
+    samples: dict[str, list[np.ndarray]] = defaultdict(list)
     for r in found:
-        own = taken.setdefault(r["lang"], [])
-        if len(own) < rows:
-            own.append(r["text"])
-    return fit([t for own in taken.values() for t in own], [lang for lang, own in taken.items() for _ in own])
+        if r["bins"] and len(samples[r["lang"]]) < rows:
+            row = np.zeros(DIMENSIONS, dtype=np.float32)
+            row[r["bins"]] = r["amounts"]
+            samples[r["lang"]].append(row)
+    return fit({lang: some for lang, some in samples.items() if some})
 
 
 def identify(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, held_out, lang_pred, score, rejected."""
     spark = docs.sparkSession
     small_batches(spark)
-    fit_once = shared_value(spark, fitted(docs))  # bounded: MAX_LANGUAGES * CENTROIDS rows of DIMENSIONS
+    fit_once = shared_value(spark, fitted(docs))  # CENTROIDS rows of DIMENSIONS numbers for each language
 
     @F.pandas_udf("lang_pred string, score double, rejected boolean")
     def guess(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = fit_once()
-        for batch in batches:
+        for batch in batches:  # few texts at once, as a row of bins takes 64 kB
             parts = [predict(batch.iloc[i : i + 64].tolist(), model) for i in range(0, len(batch), 64)]
             yield pd.DataFrame({name: [v for p in parts for v in p[k]] for k, name in enumerate(("lang_pred", "score", "rejected"))})
 
