@@ -1,39 +1,43 @@
 """Near copies of texts: SimHash links first, MinHash buckets for what fingerprints cannot reach, each pair checked exactly.
 
 Method. Two texts are near copies if the sets of their SHINGLE-word shingles have a Jaccard similarity of LEAST or more. At 0.8
-some ten of 64 fingerprint bits differ, with a wide spread, so no radius that can be dealt out finds all of them. SimHash
-links (tributary.llm.simhash) therefore only join dense groups early. All rows are then dealt out by BANDS bands of
-BAND_ROWS MinHash values; a pair of similarity 0.8 shares no bucket with a probability of (1 - 0.8^4)^30, about 1 in 7 million.
-Within a bucket only rows of different components are compared: in rounds with one row drawn for each bucket as long as there
-are many such pairs and rounds link something, then every pair that is left. Each pair is checked by its shingle sets.
+some ten of 64 fingerprint bits differ, with a wide spread, so no radius that can be dealt out finds all of them. Rows of equal
+sets are made one first. SimHash links (tributary.llm.simhash, by its pigeonring search) propose pairs, and so do BANDS bands of BAND_ROWS
+MinHash values: a pair of similarity 0.8 shares no bucket with a probability of (1 - 0.8^4)^30, about 1 in 7 million. Buckets with the same members count once.
+
+Dense groups are joined early: each row is checked against the first row of its bucket in a few bands. Only buckets that then still hold
+several components are searched, in tasks: rows come with their shingle sets, and a member is compared with those that its component
+hasn't reached yet, by MinHash agreement first (pairs at 0.8 fall short of it once in some 3 million), then exactly. Only links leave a task, never
+all pairs; a bucket over BUCKET rows is cut into blocks, and each pair of blocks is searched by itself.
 
 Defined results. Words are as in op4: ASCII is lower-cased, white space divides. Fewer than SHINGLE words make one shingle,
 and all texts without words, null ones included, are equal. Components are transitive. Of each component exactly one row stays: the one with
-the smallest doc_id, null ones last, then by the SHA-256 of its text. Only doc_id and text are read; the columns stay.
+the smallest doc_id, null ones last, then by the SHA-256 of its text. Only doc_id and text are read; the columns stay, whatever their names.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh64_intdigest
+from xxhash import xxh64_intdigest, xxh128_digest
 
 from tributary.llm import simhash
-from tributary.llm.shared import join_many, saved, shared_folder, small_batches
+from tributary.llm.shared import few, join_many, one_of_each, saved, small_batches, written
 
 SHINGLE = 5
 #: The least Jaccard similarity, as a fraction.
 LEAST = (4, 5)
 BANDS, BAND_ROWS, SEED = 30, 4, 7
-#: Rounds with one drawn row for each bucket go on while there are more pairs than this for each bucket entry.
-PAIRS_AN_ENTRY = 8
-#: Up to so many row numbers (8 bytes each) are broadcast; more are joined by a shuffle.
-BROADCAST_ROWS = 1_000_000
+#: Bands of a round; rounds go on while more bucket entries than this for each row are left, ROUNDS at most.
+ROUND_BANDS, ENTRIES_A_ROW, ROUNDS = 5, 0.5, 3
+#: MinHash values of BANDS * BAND_ROWS that must agree before two sets are compared: five deviations below 0.8.
+AGREE = 74
+#: Rows that are searched as one bucket.
+BUCKET = 2000
 _DRAWN = np.random.default_rng(SEED).integers(0, 2**63, size=(2, BANDS * BAND_ROWS, 1), dtype=np.uint64)
 _FACTORS, _OFFSETS = _DRAWN[0] * np.uint64(2) + np.uint64(1), _DRAWN[1]
 
@@ -44,11 +48,17 @@ def shingle_set(hashes: np.ndarray) -> np.ndarray:
     return found if len(found) else np.array([xxh64_intdigest(b"", SEED)], dtype=np.uint64)
 
 
-def bands(hashes: np.ndarray) -> list[int]:
-    """The bucket of a shingle set in each band, as a signed number."""
+def sketch(hashes: np.ndarray) -> np.ndarray:
+    """The MinHash values of a shingle set."""
     least = np.full(len(_FACTORS), 2**64 - 1, dtype=np.uint64)
     for i in range(0, len(hashes), 2048):
         least = np.minimum(least, (_FACTORS * hashes[i : i + 2048] + _OFFSETS).min(axis=1))
+    return least
+
+
+def bands(hashes: np.ndarray) -> list[int]:
+    """The bucket of a shingle set in each band, as a signed number."""
+    least = sketch(hashes)
     values = np.array([xxh64_intdigest(least[k * BAND_ROWS : (k + 1) * BAND_ROWS].tobytes(), k) for k in range(BANDS)], dtype=np.uint64)
     return values.view(np.int64).tolist()
 
@@ -57,37 +67,102 @@ def _strings(batch: pd.Series) -> list[str | None]:
     return [t if isinstance(t, str) else None for t in batch]
 
 
-def _written(df: DataFrame) -> DataFrame:
-    """`df` written to the shared folder and read again. A checkpoint keeps the size estimated for its plan, a product that gains digits with each join of a round."""
-    path = f"{shared_folder(df.sparkSession)}/near-copies-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
-def _few(ids: DataFrame) -> DataFrame:
-    """Saved row numbers, broadcast if there are few."""
-    ids = _written(ids)
-    return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
-
-
 def _alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of the distinct pairs a, b whose sets are similar enough. b may repeat in very many pairs."""
-    pairs = saved(pairs)
+    """Those of the saved, distinct pairs a, b whose sets are similar enough. b may repeat in very many pairs."""
     often = pairs.groupBy("b").agg(F.count("*").alias("n"))
     of_b = saved(often.join(sets.select(F.col("row").alias("b"), F.col("hashes").alias("hashes_b")), "b"))
     both = join_many(pairs, of_b, ["b"], "n", pairs.count()).join(sets.select(F.col("row").alias("a"), F.col("hashes").alias("hashes_a")), "a")
     common = F.size(F.array_intersect("hashes_a", "hashes_b"))
-    return _written(both.filter(common * LEAST[1] >= (F.size("hashes_a") + F.size("hashes_b") - common) * LEAST[0]).select("a", "b"))
+    return written(both.filter(common * LEAST[1] >= (F.size("hashes_a") + F.size("hashes_b") - common) * LEAST[0]).select("a", "b"))
+
+
+def alike(one: np.ndarray, other: np.ndarray) -> bool:
+    """Whether two sorted sets have the least similarity."""
+    small, large = (one, other) if len(one) <= len(other) else (other, one)
+    if len(small) * LEAST[1] < len(large) * LEAST[0]:
+        return False
+    place = np.minimum(np.searchsorted(large, small), len(large) - 1)
+    common = int(np.count_nonzero(large[place] == small))
+    return common * LEAST[1] >= (len(one) + len(other) - common) * LEAST[0]
+
+
+def forest(rows: list[int], roots: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Links that connect what near copies connect among rows, beyond what their roots connect already."""
+    label = np.unique(np.array(roots), return_inverse=True)[1]
+    sketches, size = np.array([sketch(s) for s in sets]), np.array([len(s) for s in sets])
+    reached, out = np.zeros(len(rows), dtype=bool), []
+    for i in range(len(rows)):
+        if reached[i]:
+            continue
+        frontier = np.flatnonzero(label == label[i]).tolist()
+        reached[frontier] = True
+        while frontier:
+            j = frontier.pop()
+            rest = np.flatnonzero(~reached)
+            rest = rest[(size[rest] * LEAST[1] >= size[j] * LEAST[0]) & (size[j] * LEAST[1] >= size[rest] * LEAST[0])]
+            rest = rest[(sketches[rest] == sketches[j]).sum(axis=1) >= AGREE]
+            for k in rest.tolist():
+                if not reached[k] and alike(sets[j], sets[k]):
+                    out.append((rows[j], rows[k]))
+                    others = np.flatnonzero(label == label[k]).tolist()
+                    reached[others] = True
+                    frontier += others
+    return out
+
+
+def _searched(live: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links a, b of live buckets (band, value, n, row, root), searched in tasks."""
+    blocks = F.ceil(F.col("n") / BUCKET).cast("long")
+    own = F.pmod(F.xxhash64("row"), F.col("blocks"))
+    pairs = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda j: F.least(F.col("own"), j) * F.col("blocks") + F.greatest(F.col("own"), j))
+    cut = live.withColumn("blocks", blocks).withColumn("own", own).select("band", "value", F.explode(pairs).alias("block"), "row", "root")
+    at = ["band", "value", "block"]
+    dealt = cut.join(sets, "row").repartition(*at).sortWithinPartitions(*at, "row")
+
+    def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, held = None, ([], [], [])
+        for batch in batches:
+            out = []
+            for band, value, block, row, root, hashes in zip(*(batch[c].tolist() for c in (*at, "row", "root", "hashes")), strict=True):
+                if key != (band, value, block):
+                    out += forest(*held) if key else []
+                    key, held = (band, value, block), ([], [], [])
+                for kept, v in zip(held, (row, root, np.sort(np.asarray(hashes, dtype=np.int64).view(np.uint64))), strict=True):
+                    kept.append(v)
+            yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+        yield pd.DataFrame(forest(*held) if key else [], columns=["a", "b"], dtype="int64")
+
+    return dealt.mapInPandas(found, "a long, b long")
 
 
-def _simhash_pairs(marked: DataFrame) -> DataFrame:
+def _simhash_pairs(unique: DataFrame) -> DataFrame:
     """Pairs of rows that SimHash links: each row with the first of its fingerprint, and the first ones of linked fingerprints."""
-    first = saved(marked.groupBy("fp").agg(F.min("row").alias("first"), F.count("*").alias("n")))
-    same = join_many(marked.select("row", "fp"), first.filter("n > 1"), ["fp"], "n", marked.count()).select(F.col("row").alias("a"), F.col("first").alias("b")).filter("a <> b")
+    first = saved(unique.groupBy("fp").agg(F.min("row").alias("first"), F.count("*").alias("n")))
+    same = join_many(unique.select("row", "fp"), first.filter("n > 1"), ["fp"], "n", unique.count()).select(F.col("row").alias("a"), F.col("first").alias("b")).filter("a <> b")
     near = simhash.links(first.select("fp"))
     for end in ("a", "b"):
         near = near.join(first.select(F.col("fp").alias(end), F.col("first").alias(f"{end}_row")), end)
-    return same.unionByName(near.select(F.col("a_row").alias("a"), F.col("b_row").alias("b"))).distinct()
+    return same.unionByName(near.select(F.col("a_row").alias("a"), F.col("b_row").alias("b")))
+
+
+def _drawn(unique: DataFrame, k: int) -> DataFrame:
+    """Distinct pairs a, b of each row with the first row, in an order drawn for the round, of its bucket in the round's bands."""
+    out, n = None, unique.count()
+    for band in range(k * ROUND_BANDS, (k + 1) * ROUND_BANDS):
+        rows = unique.select("row", "root", F.get("buckets", band).alias("value"))
+        order = F.struct(F.xxhash64("row", F.lit(k)).alias("h"), F.col("row").alias("b"), F.col("root").alias("b_root"))
+        first = saved(rows.groupBy("value").agg(F.min(order).alias("p"), F.count("*").alias("m")).filter("m > 1"))
+        pairs = join_many(rows, first, ["value"], "m", n).filter("root <> p.b_root").select(F.col("row").alias("a"), F.col("p.b").alias("b"))
+        out = pairs if out is None else out.unionByName(pairs)
+    return out.distinct()
+
+
+def _mixed(unique: DataFrame) -> DataFrame:
+    """band, value, n of the buckets that hold several roots; of buckets with the same rows one is kept."""
+    entries = unique.select("row", "root", F.posexplode("buckets").alias("band", "value"))
+    members = [F.bit_xor(F.xxhash64("row", F.lit(k))).alias(f"who{k}") for k in (0, 1)]
+    mixed = entries.groupBy("band", "value").agg(F.count("*").alias("n"), F.min("root").alias("least"), F.max("root").alias("most"), *members).filter("least < most")
+    return saved(mixed.groupBy("n", "who0", "who1").agg(F.min(F.struct("band", "value")).alias("at")).select("n", "at.*"))
 
 
 def near_copy_components(rows: DataFrame) -> DataFrame:
@@ -95,12 +170,13 @@ def near_copy_components(rows: DataFrame) -> DataFrame:
     spark = rows.sparkSession
     small_batches(spark)
 
-    @F.pandas_udf("fp long, buckets array<long>")
+    @F.pandas_udf("fp long, digest binary, buckets array<long>")
     def marks(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = [simhash.shingle_hashes(t, SHINGLE) for t in _strings(batch)]
             fps = np.fromiter(map(simhash.folded, found), dtype=np.uint64, count=len(batch))
-            yield pd.DataFrame({"fp": fps.view(np.int64), "buckets": [bands(shingle_set(h)) for h in found]})
+            sets = [shingle_set(h) for h in found]
+            yield pd.DataFrame({"fp": fps.view(np.int64), "digest": [xxh128_digest(x.tobytes()) for x in sets], "buckets": [bands(x) for x in sets]})
 
     @F.pandas_udf("array<long>")
     def hashes(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -108,47 +184,34 @@ def near_copy_components(rows: DataFrame) -> DataFrame:
             yield pd.Series([shingle_set(simhash.shingle_hashes(t, SHINGLE)).view(np.int64) for t in _strings(batch)])
 
     marked = saved(rows.select("row", marks("text").alias("m")).select("row", "m.*"))
-    entries = marked.select("row", F.posexplode("buckets").alias("band", "value"))
-    shared = saved(entries.groupBy("band", "value").agg(F.count("*").alias("n")).filter("n > 1"))
-    kept = saved(join_many(entries, shared, ["band", "value"], "n", marked.count() * BANDS).select("band", "value", "row"))
-    start = saved(_simhash_pairs(marked))
-    asked = kept.select("row").union(start.select("a")).union(start.select("b")).distinct()
-    sets = saved(rows.join(_few(asked), "row", "left_semi").select("row", hashes("text").alias("hashes")))
-    edges = _alike(start, sets)
-    n_entries, rounds = kept.count(), 0
-    while True:
-        reached = _written(simhash.components(edges).select(F.col("node").alias("row"), "root"))
-        state = saved(kept.join(reached, "row", "left").withColumn("root", F.coalesce("root", "row")))
-        by_root = state.groupBy("band", "value", "root").agg(F.count("*").alias("c"))
-        per = by_root.groupBy("band", "value").agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.col("c")).alias("within"), F.count("*").alias("roots"))
-        per = saved(per.filter("roots > 1"))
-        left = per.agg(F.sum((F.col("n") * F.col("n") - F.col("within")) / 2)).first()[0] or 0
-        if not left:
-            return reached
-        live = saved(join_many(state, per.select("band", "value", "n"), ["band", "value"], "n", n_entries))
-        final = left <= PAIRS_AN_ENTRY * n_entries or rounds < 0
-        if final:
-            one, other = live.alias("one"), live.alias("other")
-            met = one.join(other, (F.col("one.band") == F.col("other.band")) & (F.col("one.value") == F.col("other.value")) & (F.col("one.root") < F.col("other.root")))
-            pairs = met.select(F.col("one.row").alias("a"), F.col("other.row").alias("b"))
-        else:
-            drawn = F.min(F.struct(F.xxhash64("row", F.lit(rounds)).alias("h"), F.col("row").alias("b"), F.col("root").alias("b_root")))
-            pivots = saved(live.groupBy("band", "value").agg(drawn.alias("p"), F.count("*").alias("m")).select("band", "value", "m", "p.b", "p.b_root"))
-            pairs = join_many(live.drop("n"), pivots, ["band", "value"], "m", n_entries).filter("root <> b_root").select(F.col("row").alias("a"), "b")
-        more = _alike(pairs.distinct(), sets)
-        edges = _written(edges.unionByName(more))
-        if final:
-            return simhash.components(edges).select(F.col("node").alias("row"), "root")
-        rounds = -1 if more.isEmpty() else rounds + 1  # a round without a link: compare all that is left
+    groups = saved(marked.groupBy("digest").agg(F.min("row").alias("root"), F.count("*").alias("n")).filter("n > 1"))
+    copies = written(join_many(marked.select("row", "digest"), groups, ["digest"], "n", marked.count()).select("row", "root"))
+    unique = saved(marked.join(few(copies.filter("row <> root").select("row")), "row", "left_anti").drop("digest"))
+    n_rows, edges, root = unique.count(), None, unique.withColumn("root", F.col("row"))
+
+    def sets(asked: DataFrame) -> DataFrame:
+        return saved(rows.join(few(asked.distinct()), "row", "left_semi").select("row", hashes("text").alias("hashes")))
+
+    for k in range(ROUNDS):
+        pairs = saved(_drawn(root, k) if k else _drawn(root, k).unionByName(_simhash_pairs(unique)).distinct())
+        more = _alike(pairs, sets(pairs.select(F.col("a").alias("row")).union(pairs.select("b"))))
+        edges = more if edges is None else edges.unionByName(more)
+        reached = written(simhash.components(edges).select(F.col("node").alias("row"), "root"))
+        root = saved(unique.join(reached, "row", "left").withColumn("root", F.coalesce("root", "row")))
+        mixed = _mixed(root)
+        left = mixed.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        if left <= ENTRIES_A_ROW * n_rows:
+            break
+    if left:
+        live = saved(join_many(root.select("row", "root", F.posexplode("buckets").alias("band", "value")), mixed, ["band", "value"], "n", n_rows * BANDS))
+        more = written(_searched(live, sets(live.select("row"))))
+        reached = written(simhash.components(edges.unionByName(more)).select(F.col("node").alias("row"), "root"))
+    # rows of equal sets follow the one that stood for them
+    of_copies = copies.withColumnRenamed("root", "stood").join(reached.withColumnRenamed("row", "stood"), "stood", "left").select("row", F.coalesce("root", "stood").alias("root"))
+    alone = reached.join(copies.select("row"), "row", "left_anti")
+    return of_copies.unionByName(alone)
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """`docs` with one row of each component of near copies."""
-    numbered = saved(docs.withColumn("__row", F.monotonically_increasing_id()))
-    rows = numbered.select(F.col("__row").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    reached = _written(near_copy_components(rows))
-    members = rows.join(_few(reached.select("row")), "row", "left_semi").select("row", "doc_id", F.sha2(F.encode(F.coalesce("text", F.lit("")), "UTF-8"), 256).alias("sha"))
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "sha", "row")
-    stays = members.join(reached, "row").groupBy("root").agg(F.min(order).alias("s")).select("s.row")
-    dropped = reached.select("row").join(stays, "row", "left_anti").select(F.col("row").alias("__row"))
-    return numbered.join(_few(dropped), "__row", "left_anti").select(*docs.columns)
+    return one_of_each(docs, near_copy_components)

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tributary.plans.lineage import saved, shared_folder
 
-__all__ = ["HOT_SHARE", "SPACES", "SPACE_CLASS", "WORD", "documents", "join_many", "let", "saved", "shared_folder", "shared_value", "small_batches", "stripped"]
+__all__ = [
+    "HOT_SHARE", "SPACES", "SPACE_CLASS", "WORD", "documents", "few", "join_many", "let", "one_of_each", "saved", "shared_folder", "shared_value", "small_batches", "stripped", "written",
+]
 
 #: A word is a run of anything but these white-space characters.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
@@ -16,6 +21,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
 #: A key that holds more than one row in HOT_SHARE counts as hot; there are fewer than HOT_SHARE of them.
 HOT_SHARE = 1000
+#: Up to so many row numbers (8 bytes each) are broadcast; more are joined by a shuffle.
+BROADCAST_ROWS = 1_000_000
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,3 +65,31 @@ def join_many(left: DataFrame, right: DataFrame, keys: list[str], weight: str, t
     by_broadcast = left.join(F.broadcast(hot), keys)
     rest = left.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
     return by_broadcast.unionByName(rest.join(cold, keys))
+
+
+def written(df: DataFrame) -> DataFrame:
+    """`df` written to the shared folder and read again. A checkpoint keeps the size estimated for its plan, a product that gains digits with each join of a round."""
+    path = f"{shared_folder(df.sparkSession)}/written-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def few(ids: DataFrame) -> DataFrame:
+    """Row numbers, written, and broadcast if there are few."""
+    ids = written(ids)
+    return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
+
+
+def one_of_each(docs: DataFrame, components: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """`docs` with one row of each component: the smallest doc_id, null ones last, then by the SHA-256 of its text. Columns of any name stay.
+
+    components: from saved rows (row, doc_id, text) to (row, root) of the rows that are in a component with others.
+    """
+    numbered = saved(docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc")))
+    rows = numbered.select("row", F.col("doc.doc_id").cast("long").alias("doc_id"), F.col("doc.text").cast("string").alias("text"))
+    reached = written(components(rows))
+    members = rows.join(few(reached.select("row")), "row", "left_semi").select("row", "doc_id", F.sha2(F.encode(F.coalesce("text", F.lit("")), "UTF-8"), 256).alias("sha"))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "sha", "row")
+    stays = members.join(reached, "row").groupBy("root").agg(F.min(order).alias("s")).select("s.row")
+    dropped = reached.select("row").join(stays, "row", "left_anti")
+    return numbered.join(few(dropped), "row", "left_anti").select("doc.*")

@@ -4,9 +4,10 @@ Method. The 64 fingerprint bits form a ring of SEGMENTS segments. If two fingerp
 some segment starts a chain in which, for every length l, the first l segments together differ in at most
 l * most / SEGMENTS bits (rounded down). Fingerprints are first reduced to distinct ones, then dealt out by
 (segment, its value), as a chain's first segment must agree when most < SEGMENTS. Within such a bucket the chain
-condition is checked for each longer chain before the full Hamming distance. When there are so many fingerprints that
-buckets by one segment would be large, the key takes in the second segment of the chain as well: each fingerprint is
-then also sent to the keys whose second segment differs in one bit, and nothing is lost.
+condition is checked for each longer chain before the full Hamming distance. Buckets are counted first. Where one holds more than
+BUCKET fingerprints, its keys take in the second segment of the chain as well: each of its fingerprints is then also sent to the keys
+whose second segment differs in one bit, and nothing is lost. A bucket that is still larger is cut into blocks, and
+each pair of blocks is a bucket of its own, so no task holds or searches more than 2 * BUCKET fingerprints at once.
 
 A bucket gives a spanning forest of its links, at most one row for each member, found by a search that compares a member
 only with those not reached yet; copies and dense clusters are thus never expanded into pairs. The forests' links are
@@ -15,7 +16,8 @@ joined to components by rounds of hooking and contraction, each saved with a che
 Defined results. Texts without words, null ones included, have the fingerprint zero and are linked like any other.
 Fewer than `shingle` words make one shingle. A document without near copies is its own component. Rows that repeat a
 doc_id each get a row, by their own text. A component is named by its smallest doc_id that is not null, and is null if it
-has none. No documents give no rows. Only doc_id and text are read.
+has none. No documents give no rows. A very long text is folded in parts of 65,536 shingles. Only doc_id and text are read.
+drop_near_duplicates keeps one row of each component: the one with the smallest doc_id, null ones last, then by the SHA-256 of its text.
 """
 
 from __future__ import annotations
@@ -28,15 +30,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from tributary.llm.shared import join_many, saved, small_batches
+from tributary.llm.shared import join_many, one_of_each, saved, small_batches
 
 SEGMENTS = 5
 #: First bit and width of each segment of the ring.
 RING = [(0, 13), (13, 13), (26, 13), (39, 13), (52, 12)]
 MOST = 4
 SHINGLE = 4
-#: From so many distinct fingerprints on, keys hold two segments of a chain.
-TWO_SEGMENTS_FROM = 1 << 24
+#: Fingerprints that a bucket may hold before its keys get longer or it is cut into blocks.
+BUCKET = 8192
+#: Up to so many keys of large buckets are broadcast; more are joined by a shuffle.
+BROADCAST_KEYS = 500_000
 SEED = 42
 
 
@@ -85,18 +89,51 @@ def _segment(fp: Column, i: int) -> Column:
     return F.shiftrightunsigned(fp, first).bitwiseAND(F.lit((1 << width) - 1))
 
 
-def keyed(fps: DataFrame, two_segments: bool) -> DataFrame:
-    """fp, start, key: a fingerprint and the buckets in which its chains may start."""
-    keys = []
+def _first_keys(fps: DataFrame) -> DataFrame:
+    """fp, start, key: the bucket of each segment in which a chain may start."""
+    keys = [F.struct(F.lit(i).alias("start"), _segment(F.col("fp"), i).alias("key")) for i in range(SEGMENTS)]
+    return fps.select("fp", F.explode(F.array(*keys)).alias("k")).select("fp", "k.*")
+
+
+def _second_keys(rows: DataFrame) -> DataFrame:
+    """fp, start, key: keys with the second segment of the chain, and with each of its bits turned."""
+    by_start = F.lit(None)
     for i in range(SEGMENTS):
-        first = _segment(F.col("fp"), i)
-        if not two_segments:
-            keys.append(F.struct(F.lit(i).alias("start"), first.alias("key")))
-            continue
         second, width = _segment(F.col("fp"), i + 1), RING[(i + 1) % SEGMENTS][1]
-        for flip in [0, *(1 << b for b in range(width))]:
-            keys.append(F.struct(F.lit(i).alias("start"), (F.shiftleft(first, 13) + second.bitwiseXOR(F.lit(flip))).alias("key")))
-    return fps.select("fp", F.explode(F.array(*keys)).alias("k")).select("fp", "k.*")
+        longer = (F.shiftleft("key", 13) + (1 << 30)).cast("long")  # apart from keys of one segment
+        flips = F.array(*[longer + second.bitwiseXOR(F.lit(flip)) for flip in [0, *(1 << b for b in range(width))]])
+        by_start = F.when(F.col("start") == i, flips).otherwise(by_start)
+    return rows.select("fp", "start", F.explode(by_start).alias("key"))
+
+
+def _large(rows: DataFrame, bucket: int) -> tuple[DataFrame, bool]:
+    """start, key, n of buckets with more than `bucket` rows, and whether there are any."""
+    found = saved(rows.groupBy("start", "key").agg(F.count("*").alias("n")).filter(F.col("n") > bucket))
+    n = found.count()
+    return (F.broadcast(found) if n <= BROADCAST_KEYS else found), n > 0
+
+
+def keyed(fps: DataFrame, two_segments: bool | None = None, bucket: int = BUCKET) -> DataFrame:
+    """fp, start, key, block: the buckets of a fingerprint. two_segments: for all buckets, for none, or (None) for large ones."""
+    rows, at = _first_keys(fps), ["start", "key"]
+    if two_segments:
+        rows = _second_keys(rows)
+    elif two_segments is None:
+        large, any_large = _large(rows, bucket)
+        if any_large:
+            longer = _second_keys(rows.join(large.drop("n"), at, "left_semi"))
+            rows = rows.join(large.drop("n"), at, "left_anti").select("fp", *at).unionByName(longer)
+        else:
+            return rows.withColumn("block", F.lit(0).cast("long"))
+    large, any_large = _large(rows, bucket)
+    if not any_large:
+        return rows.withColumn("block", F.lit(0).cast("long"))
+    blocks = F.ceil(F.col("n") / bucket).cast("int")
+    own = F.pmod(F.xxhash64("fp"), F.col("blocks"))
+    cut = rows.join(large, at).withColumn("blocks", blocks).withColumn("own", own)
+    pairs = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1), lambda j: F.least(F.col("own"), j) * F.col("blocks") + F.greatest(F.col("own"), j))
+    cut = cut.select("fp", *at, F.explode(pairs).alias("block"))
+    return rows.join(large.drop("n"), at, "left_anti").select("fp", *at, F.lit(0).cast("long").alias("block")).unionByName(cut)
 
 
 def _near(one: np.uint64, others: np.ndarray, start: int, most: int) -> np.ndarray:
@@ -127,27 +164,26 @@ def forest(values: np.ndarray, start: int, most: int = MOST) -> list[tuple[int,
     return links
 
 
-def links(fps: DataFrame, most: int = MOST, two_segments: bool | None = None) -> DataFrame:
+def links(fps: DataFrame, most: int = MOST, two_segments: bool | None = None, bucket: int = BUCKET) -> DataFrame:
     """Links a, b (signed fingerprints) that connect every pair of `fps` (column fp, distinct) with at most `most` differing bits."""
     if not 0 <= most < SEGMENTS:
         raise ValueError(f"most must lie between 0 and {SEGMENTS - 1}")
-    if two_segments is None:
-        two_segments = fps.count() >= TWO_SEGMENTS_FROM
-    dealt = keyed(fps, two_segments).repartition("start", "key").sortWithinPartitions("start", "key", "fp")
+    at = ["start", "key", "block"]
+    dealt = keyed(fps, two_segments, bucket).repartition(*at).sortWithinPartitions(*at, "fp")
 
     def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Rows come sorted; a bucket ends where the next begins, across batches."""
         key, held = None, []
         for batch in batches:
-            start, own, fp = (batch[c].to_numpy() for c in ("start", "key", "fp"))
-            cuts = [0, *(np.flatnonzero((own[1:] != own[:-1]) | (start[1:] != start[:-1])) + 1).tolist(), len(batch)]
+            place, fp = np.column_stack([batch[c].to_numpy() for c in at]), batch["fp"].to_numpy()
+            cuts = [0, *(np.flatnonzero((place[1:] != place[:-1]).any(axis=1)) + 1).tolist(), len(batch)]
             out = []
             for a, b in zip(cuts, cuts[1:], strict=False):
                 if a == b:
                     continue
-                if key != (start[a], own[a]):
+                if key != tuple(place[a]):
                     out += _bucket(key, held, most)
-                    key, held = (start[a], own[a]), []
+                    key, held = tuple(place[a]), []
                 held.append(fp[a:b])
             yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
         yield pd.DataFrame(_bucket(key, held, most), columns=["a", "b"], dtype="int64")
@@ -202,6 +238,13 @@ def near_duplicates(docs: DataFrame, most: int = MOST, shingle: int = SHINGLE, t
 
 
 def drop_near_duplicates(docs: DataFrame, most: int = MOST, shingle: int = SHINGLE) -> DataFrame:
-    """`docs` with one document of each component, the one with the smallest doc_id; the columns stay."""
-    kept = near_duplicates(docs, most, shingle).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(F.col("__kept")), "left_semi").dropDuplicates(["doc_id", "text"])
+    """`docs` with one row of each component; the columns stay."""
+
+    def reached(rows: DataFrame) -> DataFrame:
+        marked = saved(fingerprints(rows.select(F.col("row").alias("doc_id"), "text"), shingle).withColumnRenamed("doc_id", "row"))
+        distinct = saved(marked.groupBy("fp").agg(F.count("*").alias("n")))
+        found = components(links(distinct.select("fp"), most))
+        rooted = saved(distinct.join(found, distinct["fp"] == found["node"], "left").filter("n > 1 OR node IS NOT NULL").select("fp", "n", F.coalesce("root", "fp").alias("root")))
+        return join_many(marked, rooted, ["fp"], "n", marked.count()).select("row", "root")
+
+    return one_of_each(docs, reached)
