@@ -9,6 +9,8 @@ the tokenizer's own encoding, where the best sum of scores would not.
 from __future__ import annotations
 
 import re
+from array import array
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
 
@@ -58,12 +60,13 @@ class Pieces:
         self.raw = [t.encode("utf-8") for t in self.text]
         for value, i in enumerate(self.byte_ids):
             self.raw[i] = bytes([value])
-        self._pairs: dict[int, bool] = {}
+        self.known_pairs: dict[int, bool] = {}
         self._runs: dict[int, list[int]] = {}
         # rank of the merge that made a piece, -1 for single characters; plain lists are faster to look up one by one
         self.made = np.where(self.left >= 0, self.rank, -1)
         self._sides = (n, self.made.tolist(), self.left.tolist(), self.right.tolist(), self.merges)
         self.mark_id = self.ids.get(MARK)
+        self.inner = {s[k : k + 2] for s in self.ids for k in range(len(s) - 1)}
 
     @staticmethod
     def _flag(keys: np.ndarray) -> np.ndarray:
@@ -99,10 +102,10 @@ class Pieces:
             return True
         n, made, left, right, merges = self._sides
         key = a * n + b
-        found = self._pairs.get(key)
+        found = self.known_pairs.get(key)
         if found is None:
-            if len(self._pairs) > 2_000_000:
-                self._pairs.clear()
+            if len(self.known_pairs) > 2_000_000:
+                self.known_pairs.clear()
             until_a = until_b = NEVER
             while True:
                 rank = merges.get(a * n + b, NEVER)
@@ -117,7 +120,7 @@ class Pieces:
                     until_b, b = made_b, left[b]
                 else:
                     until_a, a = made_a, right[a]
-            self._pairs[key] = found
+            self.known_pairs[key] = found
         return found
 
     def may_follow_all(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -143,6 +146,56 @@ class Pieces:
             at, a, b, until_a, until_b = at[more], a[more], b[more], until_a[more], until_b[more]
         return ok
 
+    def sections(self, word: str, size: int) -> Iterator[str]:
+        """The word in sections of about `size` characters, which end where no piece holds the two characters that meet."""
+        start = 0
+        while start < len(word):
+            end = min(len(word), start + size)
+            while end < len(word) and word[end - 1 : end + 1] in self.inner:
+                end += 1
+            yield word[start:end]
+            start = end
+
+    def cut(self, word: str) -> list[str]:
+        """The word cut wherever no piece holds the two characters that meet; nothing merges across a cut."""
+        cuts = [0, *(k + 1 for k in range(len(word) - 1) if word[k : k + 2] not in self.inner), len(word)]
+        return [word[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+
+    def forward(self, word: str) -> Iterator[tuple[int, int, int]]:
+        """For each prefix of a word of any length: the last piece of its encoding, its tokens, and its first piece.
+
+        Only as many prefixes as the longest piece has characters are looked back to, and kept.
+        """
+        n, get = self.longest + 1, self.ids.get
+        ring: list = [(None, 0, None)] * n
+        for j in range(1, len(word) + 1):
+            c = word[j - 1]
+            if c not in self.ids:
+                _, tokens, first = ring[(j - 1) % n]
+                found = UNKNOWN, tokens + len(c.encode("utf-8", "replace")), UNKNOWN if j == 1 else first
+            else:
+                for i in range(j - 1, max(-1, j - n), -1):
+                    piece = get(word[i:j])
+                    if piece is not None and (i == 0 or self.may_follow(ring[i % n][0], piece)):
+                        found = piece, ring[i % n][1] + 1 if i else 1, ring[i % n][2] if i else piece
+                        break
+            ring[j % n] = found
+            yield found
+
+    def encode_long(self, word: str) -> bytes:
+        """The ids of one long word as 32-bit numbers, with four bytes of backpointers for each character."""
+        last, j, out = array("i", (f[0] for f in self.forward(word))), len(word), array("i")
+        while j:
+            piece = last[j - 1]
+            if piece == UNKNOWN:
+                out.extend(reversed(self.spelt(word[j - 1])))
+                j -= 1
+            else:
+                out.append(piece)
+                j -= len(self.text[piece])
+        out.reverse()
+        return out.tobytes()
+
     def spelt(self, character: str) -> list[int]:
         """Ids of a character without a piece."""
         return [self.byte_ids[x] for x in character.encode("utf-8", "replace")]

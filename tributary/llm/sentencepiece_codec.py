@@ -1,17 +1,18 @@
 """SentencePiece encoding and decoding by a batched numpy Viterbi.
 
 Method. The distinct words of a batch are grouped by length, and all words of a length advance together, one character a
-step. At each step the hashes of the substrings that end there, differences of prefix hashes, probe the sorted
+step (tributary.llm.advance). At each step the hashes of the substrings that end there, differences of prefix hashes, probe the sorted
 hashes of the pieces; a hit may end the prefix if it may follow the last piece of the prefix before it (see
 tributary.llm.pieces, which says why this stands where a unigram model has a sum of scores). The longest allowed
 piece, taken by a vectorised maximum over all lengths, is the backpointer. An exact check compares the pieces' texts with each word;
 a word that a hash collision spoilt is encoded merge by merge. Words over LONG characters are first cut where no piece
-holds the two characters that meet.
+holds the two characters that meet; a part that is still over PART characters is encoded by itself, with four bytes of backpointers a character.
+A Python worker keeps the encodings of short words from task to task, up to KNOWN_BYTES; those of long words are not kept.
 
 Decoding joins the pieces' texts, turns byte pieces back into characters and marks into blanks, and drops the blank in front.
 
 Defined results. Null gives null ids and null text; an empty text gives no ids. Decoding an encoded text gives the text
-back, except that U+2581 becomes a blank, as in the public library. Repeated rows get equal results; no rows give no rows.
+back, except that U+2581 becomes a blank, as in the public library. A word of many megabytes is encoded whole, in sections. Repeated rows get equal results; no rows give no rows.
 Only the text column is read; encode_documents keeps the others, and a column of its result's names is replaced.
 """
 
@@ -19,119 +20,36 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tributary.llm.advance import Forward
 from tributary.llm.pieces import MARK, MODEL_PATH, UNKNOWN, Pieces, load, words
-from tributary.llm.shared import shared_value, small_batches
+from tributary.llm.shared import kept, shared_value, small_batches
 
-LONG = 48
-#: Words kept from batch to batch in a task.
-MAX_WORDS = 800_000
+LONG, PART, SECTION = 48, 1024, 1 << 20
+#: Bytes of words and their encodings that a worker keeps, and what an entry takes besides its characters.
+KNOWN_BYTES, ENTRY_BYTES = 200_000_000, 230
 #: Words that advance together at most.
 TOGETHER = 20_000
-_P = np.uint64(0x9E3779B97F4A7C15)
-#: Leading bits of a hash that a small table of flags is asked for before the sorted keys are probed.
-_MAYBE_SHIFT = np.uint64(44)
-
-
-def _mixed(points: np.ndarray) -> np.ndarray:
-    """A 64-bit value for each code point."""
-    x = (points.astype(np.uint64) + np.uint64(1)) * np.uint64(0xBF58476D1CE4E5B9)
-    x ^= x >> np.uint64(29)
-    x *= np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(32))
-
-
-def _points(some: list[str]) -> np.ndarray:
-    """Code points of words of one length, as a matrix."""
-    return np.frombuffer("".join(some).encode("utf-32-le", "surrogatepass"), dtype="<u4").reshape(len(some), -1)
-
-
 def _packed(ids: list[int]) -> bytes:
     return np.array(ids, dtype=np.int32).tobytes()
 
 
 class Codec:
     def __init__(self, pieces: Pieces) -> None:
-        self.pieces, self.known = pieces, {}
-        keys: list[tuple[int, int]] = []
-        by_length = defaultdict(list)
-        for s in pieces.ids:
-            by_length[len(s)].append(s)
-        for some in by_length.values():
-            keys += zip(self._hashes(_points(some))[:, -1].tolist(), (pieces.ids[s] for s in some), strict=True)
-        keys.sort()
-        self.keys, self.key_ids = np.array([k for k, _ in keys], dtype=np.uint64), np.array([i for _, i in keys], dtype=np.int64)
-        self.lengths = np.array([max(1, len(t)) for t in pieces.text])
-        self.maybe = np.zeros(1 << (64 - int(_MAYBE_SHIFT)), dtype=bool)
-        self.maybe[self.keys >> _MAYBE_SHIFT] = True
-        padded = [(t if t in pieces.ids else "")[: pieces.longest].ljust(pieces.longest, "\0") for t in pieces.text]
-        self.points = _points(padded)
-        self.inner = {s[k : k + 2] for s in pieces.ids for k in range(len(s) - 1)}
-
-    @staticmethod
-    def _hashes(points: np.ndarray) -> np.ndarray:
-        """Hashes of all prefixes: h[j] = h[j - 1] * P + value[j]."""
-        h = np.zeros((points.shape[0], points.shape[1] + 1), dtype=np.uint64)
-        values = _mixed(points)
-        for j in range(points.shape[1]):
-            h[:, j + 1] = h[:, j] * _P + values[:, j]
-        return h
+        self.pieces, self.forward, self.known, self.held = pieces, Forward(pieces), {}, 0
 
     def _viterbi(self, some: list[str]) -> list[bytes]:
-        """Encodings of distinct words of one length, as bytes of 32-bit ids."""
-        n, length = len(some), len(some[0])
-        points = _points(some)
-        h = self._hashes(points)
-        powers = [np.uint64(1)]
-        for _ in range(self.pieces.longest):
-            powers.append(np.uint64(int(powers[-1]) * int(_P) % 2**64))
-        last = np.full((n, length + 1), -1, dtype=np.int64)  # -1: no encoding known
-        for j in range(1, length + 1):
-            spans = np.arange(1, min(j, self.pieces.longest) + 1)
-            before = h[:, j - spans]
-            probe = h[:, j : j + 1] - before * np.array([powers[s] for s in spans], dtype=np.uint64)
-            row, k = np.nonzero(self.maybe[probe >> _MAYBE_SHIFT])  # most substrings are no pieces
-            asked = probe[row, k]
-            place = np.minimum(np.searchsorted(self.keys, asked), len(self.keys) - 1)
-            piece, begin = self.key_ids[place], j - spans[k]
-            hit = (self.keys[place] == asked) & (self.lengths[piece] == spans[k])
-            single = np.zeros(n, dtype=bool)
-            single[row[hit & (k == 0)]] = True
-            above = last[row, begin]
-            fits = hit & ((begin == 0) | (above != -1))
-            row, k, piece, begin, above = row[fits], k[fits], piece[fits], begin[fits], above[fits]
-            fits = self.pieces.may_follow_all(np.where(begin == 0, UNKNOWN, above), piece)
-            best = np.zeros(n, dtype=np.int64)  # the backpointer: length and piece of the longest that fits
-            np.maximum.at(best, row[fits], (spans[k[fits]] << 32) + piece[fits] + 1)
-            last[:, j] = np.where(best > 0, (best & 0xFFFFFFFF) - 1, np.where(single, -1, UNKNOWN))
-        return self._followed(some, points, last)
-
-    def _followed(self, some: list[str], points: np.ndarray, last: np.ndarray) -> list[bytes]:
-        """Follow the backpointers of all words together and check each piece against the word it was found in."""
-        n, length = points.shape
-        word, end, steps = np.arange(n), np.full(n, length), []
-        odd = np.zeros(n, dtype=bool)  # words with unknown characters or a collision
-        while len(word):
-            piece = last[word, end]
-            odd[word[piece < 0]] = True
-            word, end, piece = word[piece >= 0], end[piece >= 0], piece[piece >= 0]
-            size = self.lengths[piece]
-            begin = end - size
-            for t in range(int(size.max(initial=0))):
-                within = t < size
-                odd[word[within][points[word[within], begin[within] + t] != self.points[piece[within], t]]] = True
-            steps.append((word, piece))
-            word, end = word[begin > 0], begin[begin > 0]
-        order = np.concatenate([w for w, _ in reversed(steps)])
-        ids = np.concatenate([p for _, p in reversed(steps)])[np.argsort(order, kind="stable")].astype(np.int32)
-        ends = (4 * np.cumsum(np.bincount(order, minlength=n))).tolist()
-        flat = ids.tobytes()
+        """Encodings of sorted, distinct words of one length, as bytes of 32-bit ids."""
+        points, last, _ = self.forward.run(some)
+        order, ids, odd = self.forward.followed(points, np.full(len(some), points.shape[1]), last)
+        odd[order[ids == UNKNOWN]] = True  # to be spelt in bytes
+        ends = (4 * np.cumsum(np.bincount(order, minlength=len(some)))).tolist()
+        flat = ids.astype(np.int32).tobytes()
         out = [flat[a:b] for a, b in zip([0, *ends], ends, strict=False)]
         for i in np.flatnonzero(odd).tolist():
             out[i] = self._backwards(some[i], last[i].tolist())
@@ -158,44 +76,54 @@ class Codec:
             at += 1 if i == UNKNOWN else len(self.pieces.text[i])
         return out
 
-    def _cut(self, word: str) -> list[str]:
-        if len(word) <= LONG:
-            return [word]
-        cuts = [0, *(k + 1 for k in range(len(word) - 1) if word[k : k + 2] not in self.inner), len(word)]
-        return [word[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
-
-    def learn(self, distinct: set[str]) -> None:
-        """Encode words that are not known yet."""
-        plain, others = [], []
-        for w in distinct:  # most words have one mark and are short
-            (plain if len(w) <= LONG and w[0] == MARK and w[1:2] not in ("", MARK) else others).append(w)
-        bodies = {w: (w.lstrip(MARK), len(w) - len(w.lstrip(MARK))) for w in others}
-        parts = {w: self._cut(MARK * min(marks, 1) + body) if body else [] for w, (body, marks) in bodies.items()}
-        by_length = defaultdict(set)
-        for p in chain(plain, *parts.values()):
-            by_length[len(p)].add(p)
-        found: dict[str, bytes] = {}
+    def _encoded(self, parts: set[str]) -> dict[str, bytes]:
+        """Encodings of distinct parts of words, those of one length together."""
+        found, by_length = {}, defaultdict(list)
+        for p in parts:
+            if len(p) > PART:
+                found[p] = self.pieces.encode_long(p)
+            else:
+                by_length[len(p)].append(p)
         for some in by_length.values():
-            some = sorted(some)
+            some.sort()
             for i in range(0, len(some), TOGETHER):
                 found.update(zip(some[i : i + TOGETHER], self._viterbi(some[i : i + TOGETHER]), strict=True))
-        self.known.update((w, found[w]) for w in plain)
-        for w, (body, marks) in bodies.items():
-            ids = [i for p in parts[w] for i in np.frombuffer(found[p], dtype=np.int32).tolist()]
-            if not body:
-                ids = self.pieces.run(marks)
-            elif marks > 1:  # the last mark belongs to the word unless it stayed alone there
-                ids = self.pieces.run(marks) + ids[1:] if ids[0] == self.pieces.mark_id else self.pieces.run(marks - 1) + ids
-            self.known[w] = _packed(ids)
+        return found
+
+    def _long(self, word: str) -> bytes:
+        """The encoding of a word that is long, or has other than one mark in front."""
+        body = word.lstrip(MARK)
+        marks = len(word) - len(body)
+        if not body:
+            return _packed(self.pieces.run(marks))
+        word = MARK * min(marks, 1) + body
+        packed = self.known.get(word)
+        if packed is None:
+            out = []
+            for section in self.pieces.sections(word, SECTION):
+                parts = self.pieces.cut(section)
+                found = self._encoded(set(parts))
+                out += map(found.__getitem__, parts)
+            packed = b"".join(out)
+        if marks > 1:  # the last mark belongs to the word unless it stayed alone there
+            if np.frombuffer(packed[:4], dtype=np.int32)[0] == self.pieces.mark_id:
+                return _packed(self.pieces.run(marks)) + packed[4:]
+            return _packed(self.pieces.run(marks - 1)) + packed
+        return packed
 
     def encode_batch(self, texts: list[str | None]) -> list[np.ndarray | None]:
         split = [words(t) if isinstance(t, str) else None for t in texts]
-        new = set().union(*(s for s in split if s)).difference(self.known)
-        if len(self.known) + len(new) > MAX_WORDS:
-            self.known.clear()
-            new = set().union(*(s for s in split if s))
-        self.learn(new)
-        of = self.known.__getitem__
+        if self.held > KNOWN_BYTES:
+            self.known, self.held = {}, 0
+        plain, others = set(), set()
+        for w in set().union(*(s for s in split if s)).difference(self.known):  # most words have one mark and are short
+            (plain if len(w) <= LONG and w[0] == MARK and w[1:2] not in ("", MARK) else others).add(w)
+        plain |= {MARK + body for w in others if (body := w.lstrip(MARK)) and len(body) < LONG and w[0] == MARK}
+        new = self._encoded(plain.difference(self.known))
+        self.held += sum(len(w) + len(ids) for w, ids in new.items()) + ENTRY_BYTES * len(new)
+        self.known.update(new)
+        rare = {w: self._long(w) for w in others}
+        of = (lambda w: rare[w] if w in rare else self.known[w]) if rare else self.known.__getitem__
         return [None if s is None else np.frombuffer(b"".join(map(of, s)), dtype=np.int32) for s in split]
 
 
@@ -207,14 +135,14 @@ def encode_documents(docs: DataFrame, model_path: str = MODEL_PATH) -> DataFrame
 
     @F.pandas_udf("ids array<int>, n_pieces long, decoded string")
     def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        codec = Codec(pieces())
+        codec = kept(f"pieces codec {model_path}", lambda: Codec(pieces()))
         for batch in batches:
             ids = codec.encode_batch(batch.tolist())
             back = [None if x is None else codec.pieces.decode(x.tolist()) for x in ids]
             yield pd.DataFrame({"ids": ids, "n_pieces": [0 if x is None else len(x) for x in ids], "decoded": pd.Series(back, dtype=object)})
 
-    kept = [c for c in docs.columns if c.lower() not in {"ids", "n_pieces", "decoded"}]
-    return docs.select(*kept, encoded("text").alias("__e")).select(*kept, "__e.*")
+    others = F.struct(*[c for c in docs.columns if c.lower() not in {"ids", "n_pieces", "decoded"}])
+    return docs.select(others.alias("others"), encoded("text").alias("made")).select("others.*", "made.*")
 
 
 def digest(encoded: DataFrame) -> DataFrame:

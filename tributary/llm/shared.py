@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import sys
 import uuid
 from collections.abc import Callable
+from types import ModuleType
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +14,7 @@ from pyspark.sql import functions as F
 from tributary.plans.lineage import saved, shared_folder
 
 __all__ = [
-    "HOT_SHARE", "SPACES", "SPACE_CLASS", "WORD", "documents", "few", "join_many", "let", "one_of_each", "saved", "shared_folder", "shared_value", "small_batches", "stripped", "written",
+    "HOT_SHARE", "SPACES", "SPACE_CLASS", "WORD", "documents", "few", "join_many", "kept", "let", "one_of_each", "saved", "shared_folder", "shared_value", "small_batches", "stripped", "written",
 ]
 
 #: A word is a run of anything but these white-space characters.
@@ -35,6 +37,14 @@ def shared_value(spark: SparkSession, value):
     return lambda: cloudpickle.loads(packed.value)
 
 
+def kept(name: str, make: Callable):
+    """What a Python worker keeps from task to task, of bounded size: the first task that asks for `name` makes it."""
+    store = sys.modules.setdefault("_kept_from_task_to_task", ModuleType("_kept_from_task_to_task")).__dict__
+    if name not in store:
+        store[name] = make()
+    return store[name]
+
+
 def small_batches(spark: SparkSession, rows: int = 500) -> None:
     """Bound the rows that go to Python at once, as some texts are very long."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

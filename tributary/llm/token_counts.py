@@ -1,13 +1,16 @@
 """Token counts by a dynamic program over a trie of distinct pre-tokens.
 
-Method. A text falls into pre-tokens across which nothing merges. Each task inserts the distinct ones into a trie; a
-node's forward value, the last piece and the number of pieces of its prefix, is computed once however many pre-tokens share the
-prefix, and a terminal node stores the count of its pre-token. See tributary.llm.pieces for why the forward value is the last
-piece and not a sum of unigram scores: the public models at hand are of the BPE kind. A trie that has grown to MAX_NODES is
-dropped and begun anew, which bounds a task's memory and changes no count.
+Method. A text falls into pre-tokens across which nothing merges. The distinct ones of a batch that a worker hasn't met are sorted, so that
+they form a trie, and its nodes are computed level by level (tributary.llm.advance): a node's forward value, the last piece and the number of
+tokens of its prefix, is computed once however many pre-tokens share the prefix. The count of each terminal is kept by pre-token, from task to task. See
+tributary.llm.pieces for why the forward value is the last piece and not a sum of unigram scores: the public models at hand are of the BPE kind.
+
+Memory. A trie holds at most TOGETHER pre-tokens of at most LONG characters. Longer ones are cut where no piece holds the two characters
+that meet, section by section. A part that is still over LONG characters isn't inserted: its forward values are computed in a row, with only
+as many kept as the longest piece has characters. Terminals are forgotten when they take KNOWN_BYTES, which changes no count.
 
 Defined results. Null and empty texts have 0 tokens. Characters without a piece count one token for each UTF-8 byte.
-Repeated rows get equal counts; no rows give no rows. Only doc_id and text are read.
+A word of many megabytes is counted whole. Repeated rows get equal counts; no rows give no rows. Only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -15,79 +18,89 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.pieces import MARK, MODEL_PATH, UNKNOWN, Pieces, load, words
-from tributary.llm.shared import shared_value, small_batches
+from tributary.llm.advance import Forward
+from tributary.llm.pieces import MARK, MODEL_PATH, Pieces, load, words
+from tributary.llm.shared import kept, shared_value, small_batches
 
-MAX_NODES = 1_000_000
+LONG, SECTION = 48, 1 << 20
+#: Pre-tokens of one trie.
+TOGETHER = 20_000
+#: Bytes of pre-tokens and counts that a worker keeps, and what an entry takes besides its characters.
+KNOWN_BYTES, ENTRY_BYTES = 200_000_000, 160
 
 
 class CountTrie:
-    """Pre-tokens to token counts. A node is [children, parent, character, last piece, tokens so far]."""
-
-    def __init__(self, pieces: Pieces, max_nodes: int = MAX_NODES) -> None:
-        self.pieces, self.max_nodes = pieces, max_nodes
-        self._clear()
-
-    def _clear(self) -> None:
-        self.root: list = [{}, None, "", None, 0]
-        self.nodes, self.terminals = 1, {}
-
-    def _grow(self, parent: list, c: str) -> list:
-        """The node below `parent`: one forward step from the nodes above it."""
-        p = self.pieces
-        node = parent[0][c] = [{}, parent, c, None, 0]
-        self.nodes += 1
-        if c not in p.ids:
-            node[3], node[4] = UNKNOWN, parent[4] + len(c.encode("utf-8", "replace"))
-            return node
-        suffix, above = c, parent
-        while above is not None:
-            piece = p.ids.get(suffix)
-            if piece is not None and (above[3] is None or p.may_follow(above[3], piece)):
-                node[3], node[4] = piece, above[4] + 1
-                break
-            if above[1] is None or len(suffix) >= p.longest:
-                break
-            suffix, above = above[2] + suffix, above[1]
-        return node
+    """Pre-tokens to token counts."""
+
+    def __init__(self, pieces: Pieces, known_bytes: int = KNOWN_BYTES) -> None:
+        self.pieces, self.forward, self.known_bytes = pieces, Forward(pieces), known_bytes
+        self.terminals: dict[str, int] = {}
+        self.held = 0
+
+    def inserted(self, parts: set[str]) -> dict[str, int]:
+        """Counts of distinct parts of at most LONG characters, by tries of their own."""
+        out, some = {}, sorted(parts)
+        for i in range(0, len(some), TOGETHER):
+            part = some[i : i + TOGETHER]
+            points, last, tokens = self.forward.run(part)
+            size = np.array([len(w) for w in part])
+            counts = tokens[np.arange(len(part)), size].tolist()
+            for k in np.flatnonzero(self.forward.followed(points, size, last)[2]).tolist():
+                counts[k] = self.in_a_row(part[k])[0]
+            out.update(zip(part, counts, strict=True))
+        return out
+
+    def in_a_row(self, part: str) -> tuple[int, int]:
+        """Tokens and first piece of one part, prefix by prefix."""
+        for _, tokens, first in self.pieces.forward(part):  # noqa: B007
+            pass
+        return tokens, first
+
+    def learn(self, words: set[str]) -> None:
+        """Insert pre-tokens that are no terminals yet; those that are stay, so the bound is asked between batches only."""
+        some = {MARK + body for w in words if 0 < len(body := w.lstrip(MARK)) < LONG and w[0] == MARK}.difference(self.terminals)
+        self.terminals |= self.inserted(some)
+        self.held += sum(map(len, some)) + ENTRY_BYTES * len(some)
 
     def count(self, word: str) -> int:
+        if word not in self.terminals:
+            self.learn({word})
         found = self.terminals.get(word)
         if found is not None:
             return found
-        if self.nodes > self.max_nodes:
-            self._clear()
         body = word.lstrip(MARK)
         marks = len(word) - len(body)
         if not body:
-            total = len(self.pieces.run(marks))
-        else:
-            node, first = self.root, None
-            for c in MARK * min(marks, 1) + body:
-                node = node[0].get(c) or self._grow(node, c)
-            total = node[4]
-            if marks > 1:  # the last mark belongs to the word unless it stayed alone there
-                first = node
-                while first[1][1] is not None:
-                    first = first[1]
-                alone = self._first_is_mark(node)
-                total += len(self.pieces.run(marks)) - 1 if alone else len(self.pieces.run(marks - 1))
-        self.terminals[word] = total
+            return len(self.pieces.run(marks))
+        single = MARK * min(marks, 1) + body
+        total = self.terminals.get(single)
+        if total is None:
+            total = 0
+            for section in self.pieces.sections(single, SECTION):
+                parts = Counter(self.pieces.cut(section))
+                counts = self.inserted({p for p in parts if len(p) <= LONG})
+                total += sum(n * (counts[p] if p in counts else self.in_a_row(p)[0]) for p, n in parts.items())
+        if marks > 1:  # the last mark belongs to the word unless it stayed alone there
+            begin = self.pieces.cut(next(self.pieces.sections(single, SECTION)))[0]
+            total += len(self.pieces.run(marks)) - 1 if self.in_a_row(begin)[1] == self.pieces.mark_id else len(self.pieces.run(marks - 1))
         return total
 
-    def _first_is_mark(self, node: list) -> bool:
-        """Whether the encoding that ends at `node` begins with a single mark."""
-        while True:
-            length = 1 if node[3] == UNKNOWN else len(self.pieces.text[node[3]])
-            last = node[3]
-            for _ in range(length):
-                node = node[1]
-            if node[1] is None:
-                return last == self.pieces.mark_id
+    def totals(self, texts: list[str | None]) -> list[int]:
+        """Counts of whole texts."""
+        if self.held > self.known_bytes:
+            self.terminals, self.held = {}, 0
+        split = [words(t) if isinstance(t, str) else [] for t in texts]
+        new = set().union(*split).difference(self.terminals)
+        self.learn(new)
+        rare = {w: self.count(w) for w in new if w not in self.terminals}
+        if rare:
+            return [sum(rare[w] if w in rare else self.terminals[w] for w in s) for s in split]
+        return [sum(map(self.terminals.__getitem__, s)) for s in split]
 
 
 def count_tokens(docs: DataFrame, model_path: str = MODEL_PATH) -> DataFrame:
@@ -98,8 +111,8 @@ def count_tokens(docs: DataFrame, model_path: str = MODEL_PATH) -> DataFrame:
 
     @F.pandas_udf("long")
     def counted(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        trie = CountTrie(pieces())
+        trie = kept(f"token counts {model_path}", lambda: CountTrie(pieces()))
         for batch in batches:
-            yield pd.Series([sum(trie.count(w) * n for w, n in Counter(words(t)).items()) if isinstance(t, str) else 0 for t in batch], dtype="int64")
+            yield pd.Series(trie.totals(batch.tolist()), dtype="int64")
 
     return docs.select("doc_id", counted("text").alias("n_tokens"))
