@@ -5,7 +5,7 @@ some ten of 64 fingerprint bits differ, with a wide spread, so no radius that ca
 sets are made one first. SimHash links (tributary.llm.simhash, by its pigeonring search) propose pairs, and so do BANDS bands of BAND_ROWS
 MinHash values: a pair of similarity 0.8 shares no bucket with a probability of (1 - 0.8^4)^30, about 1 in 7 million. Buckets with the same members count once.
 
-Dense groups are joined early: each row is checked against the first row of its bucket in a few bands. Only buckets that then still hold
+Dense groups are joined early: each row is checked against one row, the first of those that come first in its buckets. Only buckets that then still hold
 several components are searched, in tasks: rows come with their shingle sets, and a member is compared with those that its component
 hasn't reached yet, by MinHash agreement first (pairs at 0.8 fall short of it once in some 3 million), then exactly. Only links leave a task, never
 all pairs; a bucket over BUCKET rows is cut into blocks, and each pair of blocks is searched by itself.
@@ -32,8 +32,6 @@ SHINGLE = 5
 #: The least Jaccard similarity, as a fraction.
 LEAST = (4, 5)
 BANDS, BAND_ROWS, SEED = 30, 4, 7
-#: Bands of a round; rounds go on while more bucket entries than this for each row are left, ROUNDS at most.
-ROUND_BANDS, ENTRIES_A_ROW, ROUNDS = 5, 0.5, 3
 #: MinHash values of BANDS * BAND_ROWS that must agree before two sets are compared: five deviations below 0.8.
 AGREE = 74
 #: Rows that are searched as one bucket.
@@ -111,22 +109,22 @@ def forest(rows: list[int], roots: list[int], sets: list[np.ndarray]) -> list[tu
 
 
 def _searched(live: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links a, b of live buckets (band, value, n, row, root), searched in tasks."""
+    """Links a, b of live buckets (value, n, row, root), searched in tasks."""
     blocks = F.ceil(F.col("n") / BUCKET).cast("long")
     own = F.pmod(F.xxhash64("row"), F.col("blocks"))
     pairs = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda j: F.least(F.col("own"), j) * F.col("blocks") + F.greatest(F.col("own"), j))
-    cut = live.withColumn("blocks", blocks).withColumn("own", own).select("band", "value", F.explode(pairs).alias("block"), "row", "root")
-    at = ["band", "value", "block"]
+    cut = live.withColumn("blocks", blocks).withColumn("own", own).select("value", F.explode(pairs).alias("block"), "row", "root")
+    at = ["value", "block"]
     dealt = cut.join(sets, "row").repartition(*at).sortWithinPartitions(*at, "row")
 
     def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key, held = None, ([], [], [])
         for batch in batches:
             out = []
-            for band, value, block, row, root, hashes in zip(*(batch[c].tolist() for c in (*at, "row", "root", "hashes")), strict=True):
-                if key != (band, value, block):
+            for value, block, row, root, hashes in zip(*(batch[c].tolist() for c in (*at, "row", "root", "hashes")), strict=True):
+                if key != (value, block):
                     out += forest(*held) if key else []
-                    key, held = (band, value, block), ([], [], [])
+                    key, held = (value, block), ([], [], [])
                 for kept, v in zip(held, (row, root, np.sort(np.asarray(hashes, dtype=np.int64).view(np.uint64))), strict=True):
                     kept.append(v)
             yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
@@ -145,24 +143,18 @@ def _simhash_pairs(unique: DataFrame) -> DataFrame:
     return same.unionByName(near.select(F.col("a_row").alias("a"), F.col("b_row").alias("b")))
 
 
-def _drawn(unique: DataFrame, k: int) -> DataFrame:
-    """Distinct pairs a, b of each row with the first row, in an order drawn for the round, of its bucket in the round's bands."""
-    out, n = None, unique.count()
-    for band in range(k * ROUND_BANDS, (k + 1) * ROUND_BANDS):
-        rows = unique.select("row", "root", F.get("buckets", band).alias("value"))
-        order = F.struct(F.xxhash64("row", F.lit(k)).alias("h"), F.col("row").alias("b"), F.col("root").alias("b_root"))
-        first = saved(rows.groupBy("value").agg(F.min(order).alias("p"), F.count("*").alias("m")).filter("m > 1"))
-        pairs = join_many(rows, first, ["value"], "m", n).filter("root <> p.b_root").select(F.col("row").alias("a"), F.col("p.b").alias("b"))
-        out = pairs if out is None else out.unionByName(pairs)
-    return out.distinct()
+def _drawn(kept: DataFrame, n: int) -> DataFrame:
+    """Pairs a, b of each row with the first row of its buckets (value, row), in an order drawn by hash that all buckets share."""
+    first = saved(kept.groupBy("value").agg(F.min(F.struct(F.xxhash64("row").alias("h"), F.col("row").alias("b"))).alias("p"), F.count("*").alias("m")))
+    met = join_many(kept.select("value", "row"), first, ["value"], "m", n).groupBy("row").agg(F.min("p").alias("p"))
+    return met.select(F.col("row").alias("a"), F.col("p.b").alias("b")).filter("a <> b")
 
 
-def _mixed(unique: DataFrame) -> DataFrame:
-    """band, value, n of the buckets that hold several roots; of buckets with the same rows one is kept."""
-    entries = unique.select("row", "root", F.posexplode("buckets").alias("band", "value"))
+def _mixed(state: DataFrame) -> DataFrame:
+    """value, n of the buckets that hold several roots; of buckets with the same rows one is kept."""
     members = [F.bit_xor(F.xxhash64("row", F.lit(k))).alias(f"who{k}") for k in (0, 1)]
-    mixed = entries.groupBy("band", "value").agg(F.count("*").alias("n"), F.min("root").alias("least"), F.max("root").alias("most"), *members).filter("least < most")
-    return saved(mixed.groupBy("n", "who0", "who1").agg(F.min(F.struct("band", "value")).alias("at")).select("n", "at.*"))
+    mixed = state.groupBy("value").agg(F.count("*").alias("n"), F.min("root").alias("least"), F.max("root").alias("most"), *members).filter("least < most")
+    return saved(mixed.groupBy("n", "who0", "who1").agg(F.min("value").alias("value")).select("value", "n"))
 
 
 def near_copy_components(rows: DataFrame) -> DataFrame:
@@ -183,28 +175,23 @@ def near_copy_components(rows: DataFrame) -> DataFrame:
         for batch in batches:
             yield pd.Series([shingle_set(simhash.shingle_hashes(t, SHINGLE)).view(np.int64) for t in _strings(batch)])
 
-    marked = saved(rows.select("row", marks("text").alias("m")).select("row", "m.*"))
+    marked = written(rows.select("row", marks("text").alias("m")).select("row", "m.*"))
     groups = saved(marked.groupBy("digest").agg(F.min("row").alias("root"), F.count("*").alias("n")).filter("n > 1"))
     copies = written(join_many(marked.select("row", "digest"), groups, ["digest"], "n", marked.count()).select("row", "root"))
-    unique = saved(marked.join(few(copies.filter("row <> root").select("row")), "row", "left_anti").drop("digest"))
-    n_rows, edges, root = unique.count(), None, unique.withColumn("root", F.col("row"))
-
-    def sets(asked: DataFrame) -> DataFrame:
-        return saved(rows.join(few(asked.distinct()), "row", "left_semi").select("row", hashes("text").alias("hashes")))
-
-    for k in range(ROUNDS):
-        pairs = saved(_drawn(root, k) if k else _drawn(root, k).unionByName(_simhash_pairs(unique)).distinct())
-        more = _alike(pairs, sets(pairs.select(F.col("a").alias("row")).union(pairs.select("b"))))
-        edges = more if edges is None else edges.unionByName(more)
-        reached = written(simhash.components(edges).select(F.col("node").alias("row"), "root"))
-        root = saved(unique.join(reached, "row", "left").withColumn("root", F.coalesce("root", "row")))
-        mixed = _mixed(root)
-        left = mixed.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-        if left <= ENTRIES_A_ROW * n_rows:
-            break
-    if left:
-        live = saved(join_many(root.select("row", "root", F.posexplode("buckets").alias("band", "value")), mixed, ["band", "value"], "n", n_rows * BANDS))
-        more = written(_searched(live, sets(live.select("row"))))
+    unique = marked.join(few(copies.filter("row <> root").select("row")), "row", "left_anti").drop("digest")
+    entries = unique.select("row", F.explode("buckets").alias("value"))  # a band's number is part of the value's hash
+    shared = saved(entries.groupBy("value").agg(F.count("*").alias("n")).filter("n > 1"))
+    kept = saved(join_many(entries, shared, ["value"], "n", unique.count() * BANDS).select("value", "row"))
+    n_kept = kept.count()
+    pairs = saved(_drawn(kept, n_kept).unionByName(_simhash_pairs(saved(unique.select("row", "fp")))).distinct())
+    asked = kept.select("row").union(pairs.select("a")).union(pairs.select("b")).distinct()
+    sets = written(rows.join(few(asked), "row", "left_semi").select("row", hashes("text").alias("hashes")))
+    edges = _alike(pairs, sets)
+    reached = written(simhash.components(edges).select(F.col("node").alias("row"), "root"))
+    state = saved(kept.join(reached, "row", "left").withColumn("root", F.coalesce("root", "row")))
+    live = saved(join_many(state, _mixed(state), ["value"], "n", n_kept))
+    if not live.isEmpty():
+        more = written(_searched(live, sets))
         reached = written(simhash.components(edges.unionByName(more)).select(F.col("node").alias("row"), "root"))
     # rows of equal sets follow the one that stood for them
     of_copies = copies.withColumnRenamed("root", "stood").join(reached.withColumnRenamed("row", "stood"), "stood", "left").select("row", F.coalesce("root", "stood").alias("root"))
