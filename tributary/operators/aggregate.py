@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.functions.columns import late_flag, payment_diff, status_past_due
+from tributary.functions.columns import credit_to_income, income_per_person, late_flag, payment_diff, status_past_due
 
 NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
 
@@ -28,6 +28,18 @@ def multi_agg(df: DataFrame, key: str, spec: dict[str, list[str]]) -> DataFrame:
     return df.filter(F.col(key).isNotNull()).groupBy(key).agg(*aggregates)
 
 
+def app_learn(
+    df: DataFrame, key: str = "SK_ID_CURR", target: str = "TARGET", income: str = "AMT_INCOME_TOTAL", children: str = "CNT_CHILDREN", credit: str = "AMT_CREDIT",
+) -> DataFrame:
+    """Key, target, two ratios and the text columns, of the rows without any missing value."""
+    texts = [c for c, t in df.dtypes if t == "string" and c not in (key, target)]
+    ratios = [
+        income_per_person(F.col(income), F.col(children)).alias("INCOME_PER_PERSON"),
+        credit_to_income(F.col(credit), F.col(income)).alias("CREDIT_TO_INCOME"),
+    ]
+    return df.na.drop("any").select(key, target, *ratios, *texts)
+
+
 def prev_app_agg(df: DataFrame, key: str = "SK_ID_CURR") -> DataFrame:
     return multi_agg(df, key, {"AMT_APPLICATION": ["count", "mean", "sum"], "AMT_CREDIT": ["mean", "max"], "AMT_DOWN_PAYMENT": ["mean"], "CNT_PAYMENT": ["mean"]})
 

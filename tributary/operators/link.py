@@ -33,10 +33,32 @@ def query_guard(query: str) -> str:
 
 
 def refuse_products(df: DataFrame) -> DataFrame:
-    """`df`, unless its plan multiplies two tables without a condition."""
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    if re.search(r"(?m)^[\s:+\-|]*Join (Inner|Cross)(?!,)", plan):
-        raise ValueError("a join without a condition")
+    """`df`, unless it joins two tables without an equality between them: then every row of one would meet every row of the other."""
+    plan = df._jdf.queryExecution().sparkPlan().toString()
+    if re.search(r"CartesianProduct|BroadcastNestedLoopJoin", plan):
+        raise ValueError("a join without a condition of equality between its sides")
+    return df
+
+
+#: Leaves of an analysed plan that read something.
+_READS = re.compile(r"^(Relation|LogicalRDD|HiveTableRelation|InMemoryRelation|DataSourceV2|StreamingRelation|UnresolvedRelation|LogicalQueryStage)")
+
+
+def refuse_foreign(df: DataFrame, views: list[str]) -> DataFrame:
+    """`df`, unless its analysed plan reads anything but the given views (other tables, files named by path) or calls into the JVM."""
+    above: list[tuple[int, bool]] = []  # depth of each node on the way down, and whether it stands inside one of the views
+    for line in df._jdf.queryExecution().analyzed().toString().splitlines():
+        depth = re.match(r"[\s:+\-|]*", line).end()
+        while above and above[-1][0] >= depth:
+            above.pop()
+        node = line[depth:]
+        view = re.match(r"View \(`?([^`,]+)`?", node)
+        inside = bool(above and above[-1][1]) or bool(view and view.group(1) in views)
+        if _READS.match(node) and not inside:
+            raise ValueError("a query may read the tables of its own run only")
+        if not inside and re.search(r"\b(?:try_)?reflect\(|\bjava_method\(", node):
+            raise ValueError("a query may not call into the JVM")
+        above.append((depth, inside))
     return df
 
 
@@ -115,18 +137,25 @@ def left_star(base: DataFrame, others: list[DataFrame], key: str) -> DataFrame:
     return out
 
 
-def link_tables(spark: SparkSession, tables: dict[str, DataFrame], query: str, drop: list[str] = (), identifiers: list[str] = (), distinct_inputs: bool = False) -> DataFrame:
+def link_tables(
+    spark: SparkSession, tables: dict[str, DataFrame], query: str, drop: list[str] = (), identifiers: list[str] = (), distinct_inputs: bool = False, without_missing: list[str] = (),
+) -> DataFrame:
     """Run a guarded join query over named tables; then full-row distinct, first-named columns, drop columns and identifiers.
 
+    The query may read these tables only, and each join needs an equality between its sides.
     distinct_inputs: the caller states that inputs hold no equal rows and the query keeps all their columns; a join of
     such inputs is distinct, so the wide exchange is left out. Identifiers are removed before anything is written.
+    without_missing: hashed keys whose missing values are left out of every table that has them, as they would all match each other.
     """
     tag = uuid.uuid4().hex[:8]
     query_guard(query)
     for name, df in tables.items():
+        for key in without_missing:
+            df = without_missing_key(df, key) if key in df.columns else df
         df.createOrReplaceTempView(f"{name}_{tag}")
     try:
-        return _clean(spark.sql(_aliased(query, list(tables), tag)), drop, identifiers, distinct_inputs)
+        found = refuse_foreign(spark.sql(_aliased(query, list(tables), tag)), [f"{name}_{tag}" for name in tables])
+        return _clean(found, drop, identifiers, distinct_inputs)
     finally:
         for name in tables:
             spark.catalog.dropTempView(f"{name}_{tag}")
@@ -135,8 +164,8 @@ def link_tables(spark: SparkSession, tables: dict[str, DataFrame], query: str, d
 def _aliased(query: str, names: list[str], tag: str) -> str:
     """The query over the run's own views, each known by its plain name in a leading WITH."""
     views = ", ".join(f"`{n}` AS (SELECT * FROM `{n}_{tag}`)" for n in names)
-    if re.match(r"\s*with\b", query, re.I):
-        return re.sub(r"(?i)^\s*with\b", f"WITH {views},", query, count=1)
+    if begin := re.match(r"(?i)\s*with\b(\s+recursive\b)?", query):
+        return f"WITH{begin.group(1) or ''} {views},{query[begin.end():]}"
     return f"WITH {views} {query}"
 
 

@@ -6,10 +6,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tributary.operators.rank import running_sums
+from tributary.plans.lineage import saved
+
+#: Classes of which a full grid of pairs is made.
+MAX_GRID = 1000
 
 
 def predict_label(score: Column, threshold: float = 0.5) -> Column:
@@ -26,15 +32,23 @@ def accuracy(df: DataFrame) -> DataFrame:
     return df.agg(F.avg((F.col("label") == F.col("pred")).cast("double")).alias("accuracy"))
 
 
-def confusion_matrix(df: DataFrame) -> DataFrame:
+def confusion_pairs(df: DataFrame) -> DataFrame:
+    """label, pred, n of the pairs of classes that occur."""
+    return df.groupBy("label", "pred").agg(F.count("*").alias("n"))
+
+
+def confusion_matrix(df: DataFrame, max_classes: int = MAX_GRID) -> DataFrame:
     """label, pred, n for all pairs of classes seen as label or prediction; pairs that never occur have 0.
 
-    The grid joins the few classes with themselves, not rows with rows.
+    The grid joins the classes with themselves, not rows with rows. More than max_classes classes are an error: their grid would hold
+    a million pairs and more, nearly all 0; confusion_pairs gives the others.
     """
-    counts = df.groupBy("label", "pred").agg(F.count("*").alias("n"))
+    counts = saved(confusion_pairs(df))
     classes = counts.select(F.col("label").alias("c")).union(counts.select("pred")).distinct()
-    listed = classes.agg(F.array_sort(F.collect_set("c")).alias("cs"))
-    grid = listed.select(F.explode("cs").alias("label"), "cs").select("label", F.explode("cs").alias("pred"))
+    found = classes.limit(max_classes + 1).agg(F.array_sort(F.collect_set("c")).alias("cs"))
+    if found.select(F.size("cs")).first()[0] > max_classes:
+        raise ValueError(f"more than {max_classes} classes; use confusion_pairs")
+    grid = found.select(F.explode("cs").alias("label"), "cs").select("label", F.explode("cs").alias("pred"))
     return grid.join(counts, ["label", "pred"], "left").select("label", "pred", F.coalesce("n", F.lit(0)).alias("n"))
 
 
@@ -44,7 +58,11 @@ def _ratio(a: Column, b: Column) -> Column:
 
 def class_scores(df: DataFrame) -> DataFrame:
     """class, support, n_pred, hits, precision, recall, f1 over labels and predictions; a zero divisor gives 0."""
-    counts = df.groupBy("label", "pred").agg(F.count("*").alias("n"))
+    return scores_of_pairs(confusion_pairs(df))
+
+
+def scores_of_pairs(counts: DataFrame) -> DataFrame:
+    """class_scores from the counts of pairs."""
     hit = F.when(F.col("label") == F.col("pred"), F.col("n")).otherwise(0)
     true = counts.select(F.col("label").alias("class"), F.col("n").alias("support"), F.lit(0).alias("n_pred"), hit.alias("hits"))
     made = counts.select(F.col("pred").alias("class"), F.lit(0).alias("support"), F.col("n").alias("n_pred"), F.lit(0).alias("hits"))
@@ -55,10 +73,16 @@ def class_scores(df: DataFrame) -> DataFrame:
 
 def averaged(df: DataFrame, average: str | None = None) -> DataFrame:
     """precision, recall, f1 as one row: `binary` (class 1) if there are exactly two labels, else `macro`; or micro, weighted."""
-    scores = class_scores(df)
+    return averages_of(class_scores(df), average)
+
+
+def averages_of(scores: DataFrame, average: str | None = None) -> DataFrame:
+    """averaged, from class_scores."""
     if average is None:
         average = "binary" if scores.filter("support > 0").count() == 2 else "macro"
     names = ("precision", "recall", "f1")
+    if average not in ("binary", "micro", "macro", "weighted"):
+        raise ValueError(f"unknown average: {average}")
     if average == "binary":
         return scores.agg(*[F.coalesce(F.max(F.when(F.col("class") == 1, F.col(c))), F.lit(0.0)).alias(c) for c in names])
     if average == "micro":
@@ -70,7 +94,11 @@ def averaged(df: DataFrame, average: str | None = None) -> DataFrame:
 
 def classification_report(df: DataFrame) -> DataFrame:
     """class, precision, recall, f1, support for each class, and rows `accuracy`, `macro avg`, `weighted avg`."""
-    scores = class_scores(df)
+    return report_of(saved(class_scores(df)))
+
+
+def report_of(scores: DataFrame) -> DataFrame:
+    """classification_report, from class_scores."""
     n = F.sum("support")
     each = scores.select(F.col("class").cast("string").alias("class"), "precision", "recall", "f1", "support")
     right = _ratio(F.sum("hits"), n)
@@ -85,8 +113,8 @@ def by_score(df: DataFrame, bins: int | None = None) -> DataFrame:
     """score, pos, neg, tp, fp: rows are first counted by score (or by bin of score), then summed from the highest score down."""
     score = F.round(F.col("score") * bins) / bins if bins else F.col("score")
     positive = (F.col("label") == 1).cast("long")
-    counts = df.groupBy(score.cast("double").alias("score")).agg(F.sum(positive).alias("pos"), F.sum(1 - positive).alias("neg"))
-    return running_sums(counts, [F.col("score").desc()], {"tp": "pos", "fp": "neg"})
+    counts = saved(df.groupBy(score.cast("double").alias("score")).agg(F.sum(positive).alias("pos"), F.sum(1 - positive).alias("neg")))
+    return running_sums(counts, [-F.col("score")], {"tp": "pos", "fp": "neg"})
 
 
 def roc_auc(df: DataFrame, bins: int | None = None) -> DataFrame:
@@ -96,19 +124,33 @@ def roc_auc(df: DataFrame, bins: int | None = None) -> DataFrame:
     return above.agg((won / F.nullif(F.sum("pos").cast("double") * F.sum("neg"), F.lit(0.0))).alias("roc_auc"))
 
 
-def roc_auc_multiclass(df: DataFrame) -> DataFrame:
-    """The mean of one-against-rest AUC over the classes that are labels; df (label, scores).
+def roc_auc_multiclass(df: DataFrame, multi_class: str = "ovr") -> DataFrame:
+    """The mean AUC of (label, scores): `ovr`, each class that is a label against the rest; `ovo`, each pair of such classes, both ways.
 
-    All classes are ranked in one pass, by (class, score).
+    All classes, or ordered pairs of classes, are ranked in one pass, by (class, score).
     """
     each = df.select("label", F.posexplode("scores").alias("class", "score"))
     positive = (F.col("label") == F.col("class")).cast("long")
-    counts = each.groupBy("class", F.col("score").cast("double").alias("score")).agg(F.sum(positive).alias("pos"), F.sum(1 - positive).alias("neg"))
-    summed = running_sums(counts, [F.col("class"), F.col("score").desc()], {"tp": "pos"})
-    # running sums go on from class to class: what earlier classes had is taken off again
-    total = summed.groupBy("class").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"), F.min(F.col("tp") - F.col("pos")).alias("base"))
+    if multi_class == "ovr":
+        cells = each.select(F.col("class").alias("side"), F.col("score").cast("double").alias("score"), positive.alias("pos"), (1 - positive).alias("neg"))
+    elif multi_class == "ovo":  # of class a: its own rows against those of each other label b, by the score of a
+        labels = [r[0] for r in df.select("label").distinct().limit(MAX_GRID + 1).collect()]
+        if len(labels) > MAX_GRID:
+            raise ValueError(f"more than {MAX_GRID} classes are compared with each other")
+        others = F.filter(F.array(*[F.lit(x) for x in labels]), lambda x: x != F.col("class"))
+        against = F.when(positive == 1, others).otherwise(F.array(F.col("label")))
+        # rows of a are counted once for each score, and only then set against each other label
+        counted = each.filter(F.col("class").isin(labels)).groupBy("class", "label", "score").agg(F.count("*").alias("m"))
+        met = counted.select("class", F.explode(against).alias("b"), F.col("score").cast("double").alias("score"), (positive * F.col("m")).alias("pos"), ((1 - positive) * F.col("m")).alias("neg"))
+        cells = met.select(F.struct("class", "b").alias("side"), "score", "pos", "neg")
+    else:
+        raise ValueError(f"unknown multi_class: {multi_class}")
+    counts = saved(cells.groupBy("side", "score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")))
+    summed = running_sums(counts, [F.col("side"), -F.col("score")], {"tp": "pos"})
+    # running sums go on from side to side: what earlier ones had is taken off again
+    total = summed.groupBy("side").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"), F.min(F.col("tp") - F.col("pos")).alias("base"))
     won = F.sum(F.col("neg") * (F.col("tp") - F.col("base") - F.col("pos") + F.col("pos") / 2.0))
-    aucs = summed.join(total, "class").groupBy("class", "p", "n").agg(won.alias("won")).filter("p > 0 AND n > 0")
+    aucs = summed.join(total, "side").groupBy("side", "p", "n").agg(won.alias("won")).filter("p > 0 AND n > 0")
     return aucs.agg(F.avg(F.col("won") / (F.col("p") * F.col("n"))).alias("roc_auc"))
 
 
@@ -155,6 +197,16 @@ def segmentation(df: DataFrame, threshold: float = 0.5) -> DataFrame:
 def hausdorff_each(df: DataFrame, threshold: float = 0.5) -> DataFrame:
     """image_id, distance: the larger directed distance between the two masks of each image; infinity if one is empty."""
 
+    def directed(one: np.ndarray, other: np.ndarray, block: int = 512) -> float:
+        """The largest distance from a point of one to its nearest of the other, blocks against blocks."""
+        most = 0
+        for i in range(0, len(one), block):
+            nearest = np.full(len(one[i : i + block]), np.iinfo(np.int64).max)
+            for j in range(0, len(other), block):
+                nearest = np.minimum(nearest, ((one[i : i + block, None] - other[None, j : j + block]) ** 2).sum(-1).min(1))
+            most = max(most, int(nearest.max()))
+        return most**0.5
+
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = []
@@ -163,11 +215,7 @@ def hausdorff_each(df: DataFrame, threshold: float = 0.5) -> DataFrame:
                 if not len(a) or not len(b):
                     found.append(np.inf)
                     continue
-                directed = []
-                for one, other in ((a, b), (b, a)):  # in blocks, so that large masks don't make one large matrix
-                    nearest = [np.sqrt(((one[i : i + 512, None] - other[None]) ** 2).sum(-1)).min(1).max() for i in range(0, len(one), 512)]
-                    directed.append(max(nearest))
-                found.append(float(max(directed)))
+                found.append(float(max(directed(a, b), directed(b, a))))
             yield pd.DataFrame({"image_id": batch["image_id"], "distance": found})
 
     return df.select("image_id", "pred", "truth", "width").mapInPandas(each, "image_id long, distance double")
@@ -186,25 +234,75 @@ def default_metrics(task: str) -> list[str]:
     return defaults[task]
 
 
-def evaluate(df: DataFrame, names: list[str], average: str | None = None) -> DataFrame:
-    """metric, value (double), note: a long table of scalar metrics of (label, score, pred); unknown names get a note."""
+SCALARS = ("accuracy", "precision", "recall", "f1_score", "roc_auc", "mse", "mae", "rmse", "r2_score", "dice_score", "jaccard_index", "hausdorff_distance")
+TABLES = {"confusion_matrix": confusion_matrix, "classification_report": classification_report, "roc_curve": roc_curve, "precision_recall_curve": precision_recall_curve}
+
+
+def evaluation_tables(df: DataFrame, names: list[str]) -> dict[str, DataFrame]:
+    """Those of the named metrics that are tables: confusion_matrix, classification_report, roc_curve, precision_recall_curve."""
+    return {name: TABLES[name](df) for name in names if name in TABLES}
+
+
+class _Measures:
+    """The values that metrics share, each read from the predictions once."""
+
+    def __init__(self, df: DataFrame) -> None:
+        self.df, self.made = df, {}
+
+    def once(self, name: str, make):
+        if name not in self.made:
+            self.made[name] = make()
+        return self.made[name]
+
+    def pairs(self) -> DataFrame:
+        return self.once("pairs", lambda: saved(confusion_pairs(self.df)))
+
+    def values(self, name: str, params: dict) -> dict[str, float | None]:
+        """The value of a scalar metric, or each cell of a report or matrix."""
+        if name == "accuracy":
+            right = F.sum(F.when(F.col("label") == F.col("pred"), F.col("n")).otherwise(0)) / F.sum("n")
+            return {name: self.once(name, lambda: self.pairs().agg(right).first()[0])}
+        if name in ("precision", "recall", "f1_score"):
+            average = params.get("average")
+            row = self.once(f"average {average}", lambda: averages_of(scores_of_pairs(self.pairs()), average).first())
+            return {name: row["f1" if name == "f1_score" else name]}
+        if name == "roc_auc" and "multi_class" in params:
+            return {name: roc_auc_multiclass(self.df, params["multi_class"]).first()[0]}
+        if name == "roc_auc":
+            return {name: self.once(name, lambda: roc_auc(self.df, params.get("bins")).first()[0])}
+        if name in ("mse", "mae", "rmse", "r2_score"):
+            return {name: self.once("regression", lambda: regression(self.df).first())[name]}
+        if name in ("dice_score", "jaccard_index"):
+            threshold = params.get("threshold", 0.5)
+            return {name: self.once(f"masks {threshold}", lambda: segmentation(self.df, threshold).first())[name]}
+        if name == "hausdorff_distance":
+            return {name: hausdorff_distance(self.df, params.get("threshold", 0.5)).first()[0]}
+        if name == "classification_report":
+            rows = report_of(scores_of_pairs(self.pairs())).orderBy("class").limit(MAX_GRID + 4).collect()
+            if len(rows) > MAX_GRID + 3:
+                raise ValueError(f"more than {MAX_GRID} classes; see evaluation_tables")
+            return {f"{name}.{r['class']}.{c}": r[c] for r in rows for c in ("precision", "recall", "f1", "support")}
+        raise ValueError("unknown metric" if name not in TABLES else "a table, see evaluation_tables")
+
+
+def evaluate(df: DataFrame, metrics: list[str | dict], average: str | None = None) -> DataFrame:
+    """metric, value (double), note: a long table of metrics of (label, score, pred), (label, scores, pred) or masks (pred, truth, width).
+
+    A metric is a name or {"name", "params"}; params are average, multi_class, bins or threshold. A report gives a row for each of its cells; curves and the
+    confusion matrix are tables of their own (evaluation_tables). Unknown metrics, and those that fail on these
+    predictions, become a row with a note, and the others still come. What metrics share (counts of pairs, moments) is read once.
+    """
     if df.isEmpty():
         raise ValueError("no predictions")
-    groups = {
-        "accuracy": lambda: accuracy(df), "roc_auc": lambda: roc_auc(df),
-        **dict.fromkeys(("precision", "recall", "f1_score"), lambda: averaged(df, average).withColumnRenamed("f1", "f1_score")),
-        **dict.fromkeys(("mse", "mae", "rmse", "r2_score"), lambda: regression(df)),
-    }
-    made, out = {}, None
-    for name in names:
-        if name in groups:
-            build = groups[name]
-            table = made.setdefault(id(build), build())  # one pass for all metrics of a group
-            row = table.select(F.lit(name).alias("metric"), F.col(name).cast("double").alias("value"), F.when(F.col(name).isNull(), "undefined: one class only").alias("note"))
-        else:
-            row = df.sparkSession.createDataFrame([(name, None, "unknown metric")], "metric string, value double, note string")
-        out = row if out is None else out.unionByName(row)
-    return out
+    measures, rows = _Measures(df), []
+    for metric in metrics:
+        name, params = (metric, {}) if isinstance(metric, str) else (metric["name"], metric.get("params") or {})
+        try:
+            found = measures.values(name, ({"average": average} if average else {}) | params)
+            rows += [(k, None if v is None else float(v), "undefined: one class only" if v is None else None) for k, v in found.items()]
+        except (PySparkException, Py4JError, ValueError, TypeError) as e:
+            rows.append((name, None, str(e).splitlines()[0][:300]))
+    return df.sparkSession.createDataFrame(rows, "metric string, value double, note string")
 
 
 def utility_loss(baseline: DataFrame, private: DataFrame) -> DataFrame:

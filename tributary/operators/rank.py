@@ -1,31 +1,66 @@
 """Global ranks, running sums and carried values without a window over all rows in one task.
 
-Rows are dealt out by range and each partition keeps its number. A partition's own counts, one row for each
-partition, are summed up into offsets; rows get their offset by a broadcast join of that table. The dealt rows are saved first, as a range
-exchange samples and could place rows elsewhere if it ran again.
+Rows are dealt out by range. The borders are drawn once, from a sample of the order columns, and put into the plan as
+literals: a row's part follows from its own order columns, so a plan that runs again deals the same way, and nothing has to be saved. A part's own
+sums, one row for each part, are added up into offsets; rows get their offset by a broadcast join of that table.
+
+`order` holds columns that sort ascending, NULL first; negate a number to sort it downwards. Together they are a total order where a
+result depends on it. The input is computed several times: save it first if it is dear.
 """
 
 from __future__ import annotations
 
+from math import isqrt
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from tributary.plans.lineage import saved
-
 PART = "__part"
+#: Sampled rows for each part.
+SAMPLED = 20
+#: From so many borders on, they are searched in two steps.
+ONE_STEP = 32
+
+
+def _borders(df: DataFrame, order: list[Column], parts: int) -> tuple[list, str]:
+    """At most parts - 1 rows of the order columns that cut the rows into even parts, and their type."""
+    keys = df.select(F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)]).alias("k"))
+    by_hash = F.xxhash64("k")  # equal keys fall together, and count once
+    drawn = keys.select("k", by_hash.alias("h")).orderBy("h").limit(SAMPLED * parts).select("k").orderBy("k").collect()
+    found = [r["k"] for r in drawn]
+    cuts = [found[len(found) * i // parts] for i in range(1, parts)] if found else []
+    return [c for i, c in enumerate(cuts) if i == 0 or c != cuts[i - 1]], keys.schema["k"].dataType.simpleString()
+
+
+def _literal(value) -> Column:
+    """A value, or a row of values, as a literal."""
+    return F.struct(*[_literal(v).alias(f"o{i}") for i, v in enumerate(value)]) if isinstance(value, tuple) else F.lit(value)
 
 
 def by_range(df: DataFrame, order: list[Column]) -> DataFrame:
-    """`df` with the number of its range partition; rows equal in `order` share one."""
+    """`df` with the number of its range; rows equal in `order` share one."""
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return saved(df.repartitionByRange(parts, *order).withColumn(PART, F.spark_partition_id()))
+    cuts, kind = _borders(df, order, parts)
+    if not cuts:
+        return df.withColumn(PART, F.lit(0))
+    key = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])
+    literal = lambda some: F.array(*[_literal(c) for c in some]).cast(f"array<{kind}>")
+    below = lambda some, k: F.size(F.filter(some, lambda c: c < k))
+    keyed = df.withColumn("__key", key)
+    if len(cuts) <= ONE_STEP:
+        return keyed.withColumn(PART, below(literal(cuts), F.col("__key"))).drop("__key")
+    wide = isqrt(len(cuts))
+    groups = [cuts[i : i + wide] for i in range(0, len(cuts), wide)]
+    first = below(literal([g[-1] for g in groups]), F.col("__key"))  # groups of borders that lie below altogether
+    inside = F.get(F.array(*[literal(g) for g in groups], F.array().cast(f"array<{kind}>")), first)
+    return keyed.withColumn("__group", first).withColumn(PART, F.col("__group") * wide + below(inside, F.col("__key"))).drop("__key", "__group")
 
 
 def with_offsets(dealt: DataFrame, sums: dict[str, Column]) -> DataFrame:
-    """`dealt` joined with, for each name, the sum of its aggregate over all earlier partitions.
+    """`dealt` joined with, for each name, the sum of its aggregate over all earlier parts.
 
-    The driver sees one row of sums for each partition, and nothing else.
+    The driver sees one row of sums for each part, and nothing else.
     """
     per_part = dealt.groupBy(PART).agg(*[F.coalesce(v, F.lit(0)).alias(k) for k, v in sums.items()])
     before, offsets = [0] * len(sums), []
@@ -56,12 +91,12 @@ def carry(df: DataFrame, order: list[Column], columns: list[str], forward: bool
     place = Window.partitionBy(PART).orderBy(*order)
     frame = place.rowsBetween(Window.unboundedPreceding, 0) if forward else place.rowsBetween(0, Window.unboundedFollowing)
     local = dealt.withColumns({f"__{c}": pick(c, ignorenulls=True).over(frame) for c in columns})
-    # of each partition the value that leaves it, found among its own rows by their order
+    # of each part the value that leaves it, found among its own rows by their order
     best = F.max_by if forward else F.min_by
     key = F.struct(*[o for o in order])
     leaving = dealt.groupBy(PART).agg(*[best(F.struct(F.col(c).alias("v")), F.when(F.col(c).isNotNull(), key)).alias(c) for c in columns])
     last, entering_rows = [None] * len(columns), []
-    for row in sorted(leaving.collect(), key=lambda r: r[0], reverse=not forward):  # one row for each partition
+    for row in sorted(leaving.collect(), key=lambda r: r[0], reverse=not forward):  # one row for each part
         entering_rows.append((row[0], *last))
         last = [old if new is None else new["v"] for old, new in zip(last, row[1:], strict=True)]
     types = {f.name: f.dataType for f in df.schema.fields}

@@ -5,18 +5,57 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tributary.operators.rank import running_sums
+from tributary.plans.lineage import saved
+
+
+QUARTILES = (0.25, 0.5, 0.75)
+
+
+def quartiles(df: DataFrame, columns: list[str]) -> list[list[float] | None]:
+    """The exact quartiles of each column, between neighbours by linear interpolation; None for a column without values.
+
+    Values are counted first, then summed up in order by range, so no task holds all values of a column; the driver sees a few rows a column.
+    """
+    stacked = df.select(F.inline(F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).cast("double").alias("v")) for i, c in enumerate(columns)])))
+    counts = saved(stacked.filter("v IS NOT NULL").groupBy("i", "v").agg(F.count("*").alias("n")))
+    upto = running_sums(counts, [F.col("i"), F.col("v")], {"upto": "n"})
+    totals = {r["i"]: r["n"] for r in counts.groupBy("i").agg(F.sum("n").alias("n")).collect()}
+    base, places = 0, []  # 0-based places over all columns that are asked for
+    for i in range(len(columns)):
+        for q in QUARTILES if i in totals else ():
+            low = int((totals[i] - 1) * q)
+            places += [base + low, base + min(low + 1, totals[i] - 1)]
+        base += totals.get(i, 0)
+    asked = F.array(*[F.lit(p).cast("long") for p in sorted(set(places))]) if places else F.array().cast("array<long>")
+    inside = F.filter(asked, lambda p: (p >= F.col("upto") - F.col("n")) & (p < F.col("upto")))
+    at = {r["p"]: r["v"] for r in upto.select("v", F.explode(inside).alias("p")).collect()}
+    out, base = [], 0
+    for i in range(len(columns)):
+        n = totals.get(i, 0)
+        found = []
+        for q in QUARTILES if n else ():
+            low, share = divmod((n - 1) * q, 1)
+            a, b = at[base + int(low)], at[base + min(int(low) + 1, n - 1)]
+            found.append(a + (b - a) * share)
+        out.append(found or None)
+        base += n
+    return out
+
 
 def _fit(train: DataFrame, columns: list[str], method: str, approximate: bool) -> list[tuple[float, float]]:
-    """(shift, divisor) of each column from one pass over the training rows."""
-    quartiles = (lambda c: F.percentile_approx(c, [0.25, 0.5, 0.75], 10_000)) if approximate else (lambda c: F.percentile(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))))
-    aggregate = {
-        "standard": lambda c: F.struct(F.avg(c), F.stddev_pop(c)),
-        "minmax": lambda c: F.struct(F.min(c).cast("double"), (F.max(c) - F.min(c)).cast("double")),
-        "robust": quartiles,
-    }[method]
-    row = train.agg(*[aggregate(F.col(c)).alias(f"c{i}") for i, c in enumerate(columns)]).first()
-    pairs = [(r[1], r[2] - r[0]) if method == "robust" and r[0] is not None else (r[0], r[1]) if r and r[0] is not None else (0.0, 1.0) for r in row]
-    return [(shift, width if width else 1.0) for shift, width in pairs]
+    """(shift, divisor) of each column."""
+    if method == "robust" and not approximate:
+        row = [q and (q[1], q[2] - q[0]) for q in quartiles(train, columns)]
+    else:
+        aggregate = {
+            "standard": lambda c: F.struct(F.avg(c), F.stddev_pop(c)),
+            "minmax": lambda c: F.struct(F.min(c).cast("double"), (F.max(c) - F.min(c)).cast("double")),
+            "robust": lambda c: F.percentile_approx(c, list(QUARTILES), 10_000),
+        }[method]
+        row = train.agg(*[aggregate(F.col(c)).alias(f"c{i}") for i, c in enumerate(columns)]).first()
+        row = [(r[1], r[2] - r[0]) if method == "robust" and r else r for r in row]
+    return [(r[0], r[1] or 1.0) if r and r[0] is not None else (0.0, 1.0) for r in row]
 
 
 def scale(df: DataFrame, columns: list[str], method: str, train: Column | None = None, approximate: bool = False) -> DataFrame:

@@ -8,10 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: the one the cluster names in spark.checkpoint.dir, our own only where none is set."""
+    """The folder that driver and executors share: the one the cluster names in spark.checkpoint.dir.
+
+    Where none is named, a folder of our own is made, but on a local master only: executors elsewhere would not see it.
+    """
     context = spark.sparkContext
     if not context.getCheckpointDir():
         named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
     return spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
 

@@ -69,11 +69,13 @@ def read_by_format(t, spark):
     return tables.read_by_format(spark, path).groupBy("o_orderpriority").agg(F.count("*").alias("n"), F.sum(F.col("o_custkey").cast("long")).alias("keys"))
 
 
-@query("SELECT label AS target, count(*) AS n, round(sum(embedding[1]::DOUBLE), 3) AS first_sum, max(len(embedding))::INTEGER AS width FROM embeddings GROUP BY 1")
+@query("""SELECT label AS target, count(*) AS n, round(sum(list_sum(list_transform(embedding, lambda x: x::DOUBLE))), 3) AS total,
+    max(len(embedding))::INTEGER AS width FROM embeddings GROUP BY 1""")
 def read_feature_target(t, spark):
     path = _written(t("embeddings"), spark, "parquet", tables.write_parquet)
     pairs = tables.read_feature_target(spark, path, "embedding", "label")
-    return pairs.groupBy("target").agg(F.count("*").alias("n"), r(F.sum(F.get("features", 0).cast("double")), 3).alias("first_sum"), F.max(F.size("features")).alias("width"))
+    own = F.aggregate("features", F.lit(0.0), lambda a, x: a + x.cast("double"))
+    return pairs.groupBy("target").agg(F.count("*").alias("n"), r(F.sum(own), 3).alias("total"), F.max(F.size("features")).alias("width"))
 
 
 @query("SELECT 'rows' AS metric, count(*)::DOUBLE AS value FROM orders UNION ALL SELECT 'customers', count(DISTINCT o_custkey)::DOUBLE FROM orders")
@@ -239,6 +241,33 @@ def implicit_join(t, spark):
     return joined.groupBy("c_mktsegment", "o_orderpriority").agg(F.count("*").alias("n"))
 
 
+@query("""SELECT 'missing' AS kind, 'target' AS "column", 0::BIGINT AS cells UNION ALL SELECT 'extra', 'c_name', count(c_name) FROM customer
+    UNION ALL SELECT 'extra', 'o_orderkey', count(*) FROM customer JOIN orders ON c_custkey = o_custkey""".replace("count(c_name) FROM customer\n", "count(c_name) FROM customer JOIN orders ON c_custkey = o_custkey\n"))
+def check_result_columns(t, spark):
+    """Columns that a result lacks, and those that it should not have, with how many values they would give away."""
+    linked = t("customer").select("c_custkey", "c_name").join(t("orders").select("o_custkey", "o_orderkey", "o_orderstatus"), F.col("c_custkey") == F.col("o_custkey")).drop("o_custkey")
+    found = [(kind, name) for kind, names in link.check_result_columns(linked, ["c_custkey", "o_orderstatus", "target"]).items() for name in names]
+    cells = linked.agg(*[(F.count(name) if name in linked.columns else F.lit(0).cast("long")).alias(name) for _, name in found])
+    return cells.select(F.inline(F.array(*[F.struct(F.lit(kind).alias("kind"), F.lit(name).alias("column"), F.col(name).alias("cells")) for kind, name in found])))
+
+
+@query("""WITH RECURSIVE s(k) AS (SELECT 1 UNION ALL SELECT k + 1 FROM s WHERE k < 3)
+    SELECT o_orderstatus AS status, k, count(*) AS n FROM orders JOIN s ON o_orderkey % 3 + 1 = k GROUP BY 1, 2 UNION ALL SELECT 'refused', 0, 5""")
+def query_guard(t, spark):
+    """A recursive query that may run, and how many others are refused: two statements, a change, another table by path, a call into the JVM, a product."""
+    views = {"o": t("orders").select("o_orderkey", "o_orderstatus"), "c": t("customer").select("c_custkey")}
+    path = _written(t("region"), spark, "parquet", tables.write_parquet)
+    refused = 0
+    for bad in ("SELECT 1; SELECT 2", "DROP TABLE o", f"SELECT * FROM parquet.`{path}`", "SELECT reflect('java.lang.System', 'getProperty', 'user.home') AS x FROM o", "SELECT * FROM o, c WHERE o_orderkey + c_custkey > 0"):
+        try:
+            link.link_tables(spark, views, bad)
+        except ValueError:
+            refused += 1
+    good = "WITH RECURSIVE s(k) AS (SELECT 1 UNION ALL SELECT k + 1 FROM s WHERE k < 3) SELECT o_orderstatus AS status, k, count(*) AS n FROM o JOIN s ON o_orderkey % 3 + 1 = k GROUP BY 1, 2"
+    counted = link.link_tables(spark, views, good)
+    return counted.unionByName(counted.select(F.lit("refused").alias("status"), F.lit(0).alias("k"), F.lit(refused).cast("long").alias("n")).limit(1))
+
+
 @query("""SELECT c_mktsegment, c_nationkey, o.*, e.* EXCLUDE (user_id) FROM customer
     LEFT JOIN (SELECT o_custkey, count(o_totalprice) AS o_totalprice_count, round(avg(o_totalprice), 4) AS o_totalprice_mean, round(sum(o_totalprice), 2) AS o_totalprice_sum FROM orders GROUP BY 1) o ON c_custkey = o_custkey
     LEFT JOIN (SELECT user_id, round(max(value), 4) AS value_max, round(avg(value), 4) AS value_mean FROM events GROUP BY 1) e ON c_custkey = user_id""".replace("o.*,", "o.* EXCLUDE (o_custkey),"))
@@ -393,14 +422,14 @@ def late_flag(t, spark):
     return installments(t).groupBy(c.late_flag(F.col("DAYS_ENTRY_PAYMENT")).alias("late")).agg(F.count("*").alias("n"))
 
 
-@query("""SELECT c_custkey, (c_acctbal < 0)::INTEGER AS "TARGET", round(c_acctbal / (CASE WHEN c_nationkey % 3 = 0 THEN 1 ELSE c_nationkey % 3 END + 1), 4) AS income_per_person,
-    round(5000.0 / CASE WHEN c_acctbal = 0 THEN 1 ELSE c_acctbal END, 4) AS credit_to_income, c_mktsegment FROM customer WHERE c_nationkey <> 7""")
+@query("""SELECT c_custkey AS "SK_ID_CURR", (c_acctbal < 0)::INTEGER AS "TARGET", round(c_acctbal / (CASE WHEN c_nationkey % 3 = 0 THEN 1 ELSE c_nationkey % 3 END + 1), 4) AS "INCOME_PER_PERSON",
+    round(5000.0 / CASE WHEN c_acctbal = 0 THEN 1 ELSE c_acctbal END, 4) AS "CREDIT_TO_INCOME", c_mktsegment FROM customer WHERE c_nationkey <> 7""")
 def app_learn(t, spark):
-    base = missing.missing_drop(t("customer").withColumn("children", F.nullif("c_nationkey", F.lit(7))))
-    return base.select(
-        "c_custkey", (F.col("c_acctbal") < 0).cast("int").alias("TARGET"), r(c.income_per_person(F.col("c_acctbal"), F.col("children") % 3)).alias("income_per_person"),
-        r(c.credit_to_income(F.lit(5000.0), F.col("c_acctbal"))).alias("credit_to_income"), "c_mktsegment",
+    base = t("customer").select(
+        F.col("c_custkey").alias("SK_ID_CURR"), (F.col("c_acctbal") < 0).cast("int").alias("TARGET"), F.col("c_acctbal").alias("AMT_INCOME_TOTAL"),
+        (F.nullif("c_nationkey", F.lit(7)) % 3).alias("CNT_CHILDREN"), F.lit(5000.0).alias("AMT_CREDIT"), "c_mktsegment",
     )
+    return rounded(aggregate.app_learn(base))
 
 
 @query("SELECT c_custkey, replace(c_name, 'Customer#', '') AS identifier FROM customer")
@@ -427,10 +456,15 @@ def wide(t):
     return t("embeddings").select("vec_id", F.transform("embedding", lambda x: F.round(x.cast("double") * 100)).alias("e"))
 
 
-@query(f"SELECT vec_id, list_sum(list_transform(e, lambda x: trunc((x - list_min(e)) / (list_max(e) - list_min(e)) * 255)::BIGINT))::BIGINT AS total FROM ({WIDE}) WHERE list_max(e) > 0 AND list_max(e) > list_min(e)")
+#: Every third row is pushed below zero, where pixels stay as they are.
+SUNK = f"SELECT vec_id, list_transform(e, lambda x: CASE WHEN vec_id % 3 = 0 THEN x - 1000 ELSE x END) AS e FROM ({WIDE})"
+
+
+@query(f"""SELECT vec_id, CASE WHEN list_max(e) > 0 AND list_max(e) > list_min(e) THEN list_sum(list_transform(e, lambda x: trunc((x - list_min(e)) / (list_max(e) - list_min(e)) * 255)::BIGINT))
+    ELSE list_sum(list_transform(e, lambda x: trunc(x)::BIGINT)) END::BIGINT AS total FROM ({SUNK})""")
 def minmax_uint8(t, spark):
-    df = wide(t).filter((F.array_max("e") > 0) & (F.array_max("e") > F.array_min("e")))
-    return df.select("vec_id", F.aggregate(c.minmax_uint8(F.col("e")), F.lit(0).cast("long"), lambda a, x: a + x).alias("total"))
+    sunk = wide(t).withColumn("e", F.transform("e", lambda x: F.when(F.col("vec_id") % 3 == 0, x - 1000).otherwise(x)))
+    return sunk.select("vec_id", F.aggregate(c.minmax_uint8(F.col("e")), F.lit(0).cast("long"), lambda a, x: a + x).alias("total"))
 
 
 @query(f"SELECT vec_id, round(list_sum(list_transform(e, lambda x: x / 255.0)), 4) AS total FROM ({WIDE})")
@@ -438,9 +472,12 @@ def to_unit_interval(t, spark):
     return wide(t).select("vec_id", r(F.aggregate(c.to_unit_interval(F.col("e")), F.lit(0.0), lambda a, x: a + x)).alias("total"))
 
 
-@query(f"SELECT vec_id, round(0.299 * e[3] + 0.587 * e[2] + 0.114 * e[1], 4) AS luma FROM ({WIDE})")
+@query(f"""SELECT vec_id, (i - 1)::INTEGER AS i, round(0.299 * e[42 + i] + 0.587 * e[21 + i] + 0.114 * e[i], 4) AS luma FROM ({WIDE}), (SELECT unnest(range(1, 22)) AS i)""")
 def grayscale(t, spark):
-    return wide(t).select("vec_id", r(c.grayscale(F.get("e", 0), F.get("e", 1), F.get("e", 2))).alias("luma"))
+    """The first 63 values as three planes of 21 pixels: blue, green, red."""
+    pixels = F.arrays_zip(*[F.slice("e", 21 * k + 1, 21).alias(name) for k, name in enumerate(("blue", "green", "red"))])
+    each = wide(t).select("vec_id", F.posexplode(pixels).alias("i", "p"))
+    return each.select("vec_id", "i", r(c.grayscale(F.col("p.blue"), F.col("p.green"), F.col("p.red"))).alias("luma"))
 
 
 @query("SELECT vec_id, len(list_filter(embedding, lambda x: x > 0))::DOUBLE AS ones FROM embeddings")
@@ -489,9 +526,32 @@ def build_matrix(t, spark):
     return encode.build_matrix(t("orders"), {"o_orderstatus": "one_hot", "o_orderpriority": "ordinal"}, ["o_totalprice"], ["o_orderkey"])[0]
 
 
-@query('SELECT "column", n, CASE WHEN n <= least(1000, greatest(2, floor(0.01 * (SELECT count(*) FROM customer)))) THEN \'one_hot\' ELSE \'ordinal\' END AS kind FROM (SELECT \'c_mktsegment\' AS "column", count(DISTINCT c_mktsegment) AS n FROM customer UNION ALL SELECT \'c_name\', count(DISTINCT c_name) FROM customer)')
+@query('''SELECT "column", n, CASE WHEN n > greatest(2, floor(0.01 * (SELECT count(*) FROM customer))) THEN 'ordinal' WHEN n > 3 THEN 'one_hot_sparse' ELSE 'one_hot' END AS kind
+    FROM (SELECT 'c_mktsegment' AS "column", count(DISTINCT c_mktsegment) AS n FROM customer UNION ALL SELECT 'c_name', count(DISTINCT c_name) FROM customer
+    UNION ALL SELECT 'sign', count(DISTINCT c_acctbal < 0) FROM customer)''')
 def encoding_plan(t, spark):
-    return encode.encoding_plan(t("customer"), ["c_mktsegment", "c_name"])
+    df = t("customer").withColumn("sign", (F.col("c_acctbal") < 0).cast("string"))
+    return encode.encoding_plan(df, ["c_mktsegment", "c_name", "sign"], max_wide=3)
+
+
+CODES = "SELECT v, (row_number() OVER (ORDER BY v) - 1)::DOUBLE AS code FROM (SELECT DISTINCT {0} AS v FROM orders WHERE {1})"
+
+
+@query(f"""SELECT 'o_orderpriority' AS "column", 'ordinal' AS kind, v AS category, code FROM ({CODES.format("o_orderpriority", "true")})
+    UNION ALL SELECT 'status', 'one_hot', v, code FROM ({CODES.format("o_orderstatus", "o_orderstatus <> 'P'")})""")
+def fitted_encoding(t, spark):
+    df = t("orders").select("o_orderpriority", F.nullif("o_orderstatus", F.lit("P")).alias("status"))
+    return encode.fitted_encoding(df, {"o_orderpriority": "ordinal", "status": "one_hot"})
+
+
+@query(f"""SELECT o_orderkey, coalesce((o_orderstatus = 'F')::INTEGER, 0) AS "o_orderstatus_F", (o_orderstatus = 'O')::INTEGER AS "o_orderstatus_O", 0 AS o_orderstatus_nan, coalesce(code, -1)::BIGINT AS o_orderpriority_hot
+    FROM orders LEFT JOIN ({CODES.format("o_orderpriority", "o_orderpriority < '3' AND o_orderstatus <> 'P'")}) ON o_orderpriority = v""")
+def build_matrix_fitted(t, spark):
+    """A matrix of all rows with the encoding fitted on some: unseen values get no one, and no column is added."""
+    kinds = {"o_orderstatus": "one_hot", "o_orderpriority": "one_hot_sparse"}
+    o = t("orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    fitted = encode.fitted_encoding(o.filter("o_orderpriority < '3' AND o_orderstatus <> 'P'"), kinds)
+    return encode.build_matrix(o, kinds, [], ["o_orderkey"], fitted)[0]
 
 
 TRAIN = "o_orderkey % 3 <> 0"
@@ -656,6 +716,17 @@ def roc_auc_multiclass(t, spark):
     return rounded(metrics.roc_auc_multiclass(multi(t)), 6)
 
 
+@query(f"""WITH m AS ({MULTI}), cs AS (SELECT DISTINCT label AS c FROM m),
+    e AS (SELECT label, unnest(range(0, 10)) AS class, unnest(scores)::DOUBLE AS score FROM m),
+    p AS (SELECT a.c AS a, b.c AS b, e.score, (e.label = a.c)::INTEGER AS y FROM cs a, cs b, e WHERE a.c <> b.c AND e.class = a.c AND e.label IN (a.c, b.c)),
+    g AS (SELECT a, b, score, sum(y) AS pos, sum(1 - y) AS neg FROM p GROUP BY 1, 2, 3),
+    w AS (SELECT *, sum(pos) OVER (PARTITION BY a, b ORDER BY score DESC) AS tp, sum(pos) OVER (PARTITION BY a, b) AS p, sum(neg) OVER (PARTITION BY a, b) AS n FROM g),
+    v AS (SELECT a, b, sum(neg * (tp - pos + pos / 2.0)) / (max(p) * max(n)) AS v FROM w WHERE p > 0 AND n > 0 GROUP BY 1, 2)
+    SELECT round(avg(v), 6) AS roc_auc FROM v""")
+def roc_auc_ovo(t, spark):
+    return rounded(metrics.roc_auc_multiclass(multi(t), "ovo"), 6)
+
+
 @query("""WITH x AS (SELECT l_extendedprice AS y, l_quantity * 1000.0 + 500 AS s FROM lineitem)
     SELECT round(avg((y - s) ** 2), 2) AS mse, round(avg(abs(y - s)), 4) AS mae, round(sqrt(avg((y - s) ** 2)), 4) AS rmse, round(1 - avg((y - s) ** 2) / var_pop(y), 6) AS r2_score FROM x""", name="mse_mae_rmse_r2")
 def regression(t, spark):
@@ -692,6 +763,17 @@ def evaluate(t, spark):
     return rounded(metrics.evaluate(binary(t), ["accuracy", "recall", "precision", "roc_auc", "made_up"]), 6).select("metric", "value")
 
 
+@query(f"""WITH x AS (SELECT l_extendedprice AS y, l_quantity * 1000.0 + 500 AS s FROM lineitem), m AS ({MASKS}),
+    px AS (SELECT unnest(pred) > 0.5 AS p, unnest(truth) > 0.5 AS t FROM m), k AS (SELECT sum(p::INTEGER) AS p, sum(t::INTEGER) AS t, sum((p AND t)::INTEGER) AS b FROM px)
+    SELECT 'mse' AS metric, round(avg((y - s) ** 2), 2) AS value FROM x UNION ALL SELECT 'mae', round(avg(abs(y - s)), 2) FROM x
+    UNION ALL SELECT 'r2_score', round(1 - avg((y - s) ** 2) / var_pop(y), 2) FROM x
+    UNION ALL SELECT 'dice_score', round(2.0 * b / (p + t + 1e-6), 2) FROM k UNION ALL SELECT 'jaccard_index', round(CASE WHEN p + t - b = 0 THEN 0 ELSE b / (p + t - b) END, 2) FROM k""")
+def default_metrics(t, spark):
+    """What is measured by default for a regression, and for masks."""
+    found = [metrics.evaluate(df, metrics.default_metrics(task)) for task, df in (("regression", prices(t)), ("segmentation", masks(t)))]
+    return rounded(found[0].unionByName(found[1]), 2).select("metric", "value")
+
+
 @query(f"WITH x AS ({BINARY}) SELECT 'accuracy' AS metric, round(avg((label = 1)::INTEGER) - avg((label = pred)::INTEGER), 6) AS loss FROM x")
 def utility_loss(t, spark):
     good = metrics.evaluate(binary(t).withColumn("pred", F.lit(1)), ["accuracy"])

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -15,10 +16,9 @@ from pyspark.sql.types import StructType
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
     """Header row; types inferred unless a schema is given; rows with too few or too many fields are dropped.
 
-    Column pruning in the parser is turned off, as a pruned read would count malformed rows that a full read drops.
+    Column pruning in the parser is turned off for this table, as a pruned read would count malformed rows that a full read drops.
     """
-    spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
-    reader = spark.read.option("header", True).option("mode", "DROPMALFORMED")
+    reader = spark.read.option("header", True).option("mode", "DROPMALFORMED").option("columnPruning", False)
     return (reader.schema(schema) if schema else reader.option("inferSchema", True)).csv(path)
 
 
@@ -46,35 +46,67 @@ def read_feature_target(spark: SparkSession, path: str, features: str = "feature
 _SAFETENSORS = {"F64": "<f8", "F32": "<f4", "F16": "<f2", "I64": "<i8", "I32": "<i4", "I16": "<i2", "I8": "<i1", "U8": "<u1", "BOOL": "?"}
 
 
-def tensors(content: bytes) -> dict[str, np.ndarray]:
-    """The arrays of one safetensors file: an 8-byte header length, a JSON header, then raw values."""
+#: Bytes of features that one task reads at a time.
+RANGE_BYTES = 64 << 20
+
+
+def tensor_header(content: bytes) -> dict:
+    """Names, types, shapes and places (from the file's start) of the tensors of a safetensors file: an 8-byte header length, then a JSON header, then raw values."""
     size = int.from_bytes(content[:8], "little")
     header = json.loads(content[8 : 8 + size])
-    out = {}
-    for name, about in header.items():
-        if name != "__metadata__":
-            a, b = about["data_offsets"]
-            out[name] = np.frombuffer(content[8 + size + a : 8 + size + b], dtype=_SAFETENSORS[about["dtype"]]).reshape(about["shape"])
-    return out
+    return {k: v | {"start": 8 + size + v["data_offsets"][0]} for k, v in header.items() if k != "__metadata__"}
 
 
-def read_safetensors(spark: SparkSession, path: str, features: str = "features", targets: str = "targets") -> DataFrame:
-    """Rows (path, row, features, shape, target) of files whose two tensors have one first dimension; each file is one task's work."""
+def _opened(path: str):
+    """A file that can be read in parts, in any store that Arrow knows."""
+    if path.startswith(("/", "file:")):
+        return fs.LocalFileSystem().open_input_file("/" + path.removeprefix("file:").lstrip("/"))
+    store, place = fs.FileSystem.from_uri(path)
+    return store.open_input_file(place)
 
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def _rows_of(file, about: dict, first: int, n: int) -> np.ndarray:
+    """n rows of one tensor from `first` on."""
+    kind = np.dtype(_SAFETENSORS[about["dtype"]])
+    width = int(np.prod(about["shape"][1:], dtype=np.int64)) * kind.itemsize
+    file.seek(about["start"] + first * width)
+    return np.frombuffer(file.read(n * width), dtype=kind).reshape(n, *about["shape"][1:])
+
+
+def read_safetensors(spark: SparkSession, path: str, features: str = "features", targets: str = "targets", range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """Rows (path, row, features, shape, target) of files whose two tensors have one first dimension.
+
+    Headers are read first; then ranges of rows are dealt out, so that a large file is the work of many tasks, and none holds more than range_bytes of it.
+    """
+
+    def ranges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for path, content in zip(batch["path"], batch["content"], strict=True):
-                found = tensors(content)
+            for path in batch["path"]:
+                with _opened(path) as file:
+                    size = int.from_bytes(file.read(8), "little")
+                    found = tensor_header(size.to_bytes(8, "little") + file.read(size))
                 if missing := {features, targets} - set(found):
                     raise KeyError(f"tensors not found in {path}: {sorted(missing)}")
                 x, y = found[features], found[targets]
-                if len(x) != len(y):
-                    raise ValueError(f"{path}: {len(x)} features, {len(y)} targets")
-                flat = x.reshape(len(x), -1).astype(np.float32)
-                yield pd.DataFrame({"path": path, "row": np.arange(len(x)), "features": list(flat), "shape": [list(x.shape[1:])] * len(x), "target": y.astype(np.int64).reshape(len(y))})
+                if x["shape"][0] != y["shape"][0]:
+                    raise ValueError(f"{path}: {x['shape'][0]} features, {y['shape'][0]} targets")
+                width = int(np.prod(x["shape"][1:], dtype=np.int64)) * np.dtype(_SAFETENSORS[x["dtype"]]).itemsize
+                first = np.arange(0, x["shape"][0], max(1, range_bytes // max(width, 1)))
+                yield pd.DataFrame({"path": path, "first": first, "n": np.diff(np.append(first, x["shape"][0])), "x": json.dumps(x), "y": json.dumps(y)})
 
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInPandas(rows, "path string, row long, features array<float>, shape array<int>, target long")
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path, first, n, x, y in batch.itertuples(index=False):
+                with _opened(path) as file:
+                    values, target = _rows_of(file, json.loads(x), first, n), _rows_of(file, json.loads(y), first, n)
+                flat = values.reshape(n, -1).astype(np.float32)
+                for i in range(0, n, 4096):
+                    part = flat[i : i + 4096]
+                    yield pd.DataFrame({"path": path, "row": np.arange(first + i, first + i + len(part)), "features": list(part), "shape": [list(values.shape[1:])] * len(part), "target": target[i : i + 4096].astype(np.int64).reshape(len(part))})
+
+    files = spark.read.format("binaryFile").load(path).select("path")  # contents are not read here
+    dealt = files.mapInPandas(ranges, "path string, first long, n long, x string, y string").repartition("path", "first")
+    return dealt.mapInPandas(rows, "path string, row long, features array<float>, shape array<int>, target long")
 
 
 def read_images(spark: SparkSession, path: str) -> DataFrame:
