@@ -8,6 +8,7 @@ each length, every document is taken as often as that goes evenly, and those wit
 Defined results. A word is a run of characters other than space and U+0009 to U+000D; null texts have size 0. Null is a source
 of its own, last in the order of weights. Texts of size 0 are taken as often as their source is whole and weigh nothing. A source
 takes at most its target rounded down, and falls short by the least that the fitted lengths allow. Rows that repeat a doc_id are drawn one by one.
+A very long text is one document of its length.
 Reruns draw the same. No rows give no rows. Only doc_id, text and source are read; mixed keeps all columns.
 """
 
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tributary.llm.shared import WORD, saved
-from tributary.operators.rank import global_rank
+from tributary.operators.rank import global_rank, running_sums
 
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
@@ -77,24 +78,24 @@ def fit(lengths: list[int], counts: list[int], budget: int, most: int = MOST, kn
 
 
 def targets(sources: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
-    """sources (skey, source, source_size) with target. Rounds end when no source is above its cap."""
+    """sources (skey, source, source_size) with target.
+
+    Sources are put in the order of cap over weight. If all before one are at their caps, what is left of the budget over the weights that are left is the level
+    that it would get for each unit of weight; those at or below that level are capped, and the level of the first that isn't holds for all the others.
+    """
     place = (F.pmod(F.col("rank") - 1, F.lit(len(weights))) + 1).cast("int")
     weighed = saved(
-        global_rank(sources, [F.col("source").asc_nulls_last()])
+        global_rank(sources, [F.col("source").isNull(), F.col("source")])
         .withColumn("weight", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), place))
         .withColumn("cap", F.col("source_size") * F.lit(float(most)))
     )
-    level = -1.0
-    while True:
-        capped = F.col("cap") <= level * F.col("weight")
-        total, fixed, free = weighed.agg(F.sum("source_size"), F.sum(F.when(capped, F.col("cap"))), F.sum(F.when(~capped, F.col("weight")))).first()
-        if not total or not free:
-            break
-        new = (share * total - (fixed or 0.0)) / free
-        if new <= level:
-            break
-        level = new
-    return weighed.withColumn("target", F.least("cap", F.lit(max(level, 0.0)) * F.col("weight"))).drop("rank", "weight", "cap")
+    total, all_weight = weighed.agg(F.coalesce(F.sum("source_size"), F.lit(0)), F.coalesce(F.sum("weight"), F.lit(0.0))).first()
+    ratio = F.col("cap") / F.col("weight")
+    summed = running_sums(weighed, [ratio, F.col("rank")], {"caps": "cap", "weights": "weight"})
+    level = (share * total - (F.col("caps") - F.col("cap"))) / (all_weight - (F.col("weights") - F.col("weight")))
+    at = summed.select(level.alias("level"), ratio.alias("ratio")).filter("level < ratio").agg(F.max("level")).first()[0]
+    free = F.col("cap") if at is None else F.least("cap", F.lit(max(at, 0.0)) * F.col("weight"))
+    return weighed.withColumn("target", free).drop("rank", "weight", "cap")
 
 
 def _planned(by_length: pd.DataFrame, most: int, knapsack_words: int) -> pd.DataFrame:
