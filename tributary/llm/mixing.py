@@ -108,13 +108,13 @@ def _planned(by_length: pd.DataFrame, most: int, knapsack_words: int) -> pd.Data
 
 
 def drawn(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST, seed: int = SEED, knapsack_words: int = KNAPSACK_WORDS) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target, copies."""
+    """One row per document: doc_id, size, digest (a hash of its text), source_size, target, copies."""
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = saved(
         docs.select(
             F.col("doc_id").alias("doc_id"), F.col("source").cast("string").alias("source"),
             F.when(F.col("source").isNull(), "").otherwise(F.concat(F.lit("="), F.col("source").cast("string"))).alias("skey"),
-            F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
+            F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"), F.xxhash64(text).alias("digest"),
             F.xxhash64(F.col("doc_id"), F.lit(seed)).alias("h"),
         ).withColumn("part", F.pmod(F.col("h"), F.lit(PARTS)).cast("int"))
     )
@@ -129,7 +129,7 @@ def drawn(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MO
     quota = parts.drop("source").join(plan.drop("n"), ["skey", "size"]).withColumn("quota", F.greatest(F.lit(0), F.least("n", F.col("extra") - before))).drop("n", "extra")
     order = Window.partitionBy("skey", "size", "part").orderBy("h", "doc_id")
     placed = rows.drop("source").withColumn("at", F.row_number().over(order)).join(quota, ["skey", "size", "part"])
-    return placed.select("doc_id", "size", "source_size", "target", (F.col("whole") + (F.col("at") <= F.col("quota")).cast("int")).alias("copies"))
+    return placed.select("doc_id", "size", "digest", "source_size", "target", (F.col("whole") + (F.col("at") <= F.col("quota")).cast("int")).alias("copies"))
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
@@ -138,13 +138,15 @@ def mix(docs: DataFrame, **options) -> DataFrame:
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
-    """`docs` with each row as often as the mix takes it; the columns stay."""
-    copies = drawn(docs, **options).select(F.col("doc_id").alias("__id"), F.col("size").alias("__size"), "copies")
-    copies = copies.groupBy("__id", "__size").agg(F.sum("copies").alias("__all"), F.count("*").alias("__rows"))
-    sized = docs.withColumn("__size", F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD)).cast("long"))
-    joined = sized.join(copies, F.col("doc_id").eqNullSafe(F.col("__id")) & (sized["__size"] == copies["__size"])).drop(copies["__size"])
-    # a doc_id with several rows of one size shares their copies out; others take them all
-    single = joined.filter("__rows = 1").withColumn("__own", F.col("__all"))
-    number = F.row_number().over(Window.partitionBy("doc_id", "__size").orderBy("text")) - 1
-    several = joined.filter("__rows > 1").withColumn("__own", F.floor(F.col("__all") / F.col("__rows")) + (number < F.col("__all") % F.col("__rows")).cast("int"))
-    return single.unionByName(several).select(*docs.columns, F.explode(F.array_repeat(F.lit(1), F.col("__own").cast("int"))).alias("__copy")).select(*docs.columns)
+    """`docs` with each row as often as the mix takes it; the columns stay, whatever their names. Rows of equal doc_id and text share their copies out."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    key = {"missing": F.col("doc_id").isNull(), "id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), "size": F.regexp_count(text, F.lit(WORD)).cast("long"), "digest": F.xxhash64(text)}
+    at = list(key)
+    own = drawn(docs, **options).select(key["missing"].alias("missing"), key["id"].alias("id"), "size", "digest", "copies")
+    copies = own.groupBy(*at).agg(F.sum("copies").alias("copies"), F.count("*").alias("rows"))
+    joined = docs.select(F.struct("*").alias("doc"), *[v.alias(k) for k, v in key.items()]).join(copies, at)
+    single = joined.filter("rows = 1").select("doc", "copies")
+    number = F.row_number().over(Window.partitionBy(*at).orderBy("doc.text")) - 1
+    several = joined.filter("rows > 1").select("doc", (F.floor(F.col("copies") / F.col("rows")) + (number < F.col("copies") % F.col("rows")).cast("int")).alias("copies"))
+    taken = single.unionByName(several).filter("copies > 0")
+    return taken.select("doc", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("doc.*")

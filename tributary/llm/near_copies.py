@@ -136,7 +136,7 @@ def _searched(live: DataFrame, sets: DataFrame) -> DataFrame:
 def _simhash_pairs(unique: DataFrame) -> DataFrame:
     """Pairs of rows that SimHash links: each row with the first of its fingerprint, and the first ones of linked fingerprints."""
     first = saved(unique.groupBy("fp").agg(F.min("row").alias("first"), F.count("*").alias("n")))
-    same = join_many(unique.select("row", "fp"), first.filter("n > 1"), ["fp"], "n", unique.count()).select(F.col("row").alias("a"), F.col("first").alias("b")).filter("a <> b")
+    same = join_many(unique.select("row", "fp"), first.filter("n > 1"), ["fp"], "n", unique.count(), narrow=True).select(F.col("row").alias("a"), F.col("first").alias("b")).filter("a <> b")
     near = simhash.links(first.select("fp"))
     for end in ("a", "b"):
         near = near.join(first.select(F.col("fp").alias(end), F.col("first").alias(f"{end}_row")), end)
@@ -146,7 +146,7 @@ def _simhash_pairs(unique: DataFrame) -> DataFrame:
 def _drawn(kept: DataFrame, n: int) -> DataFrame:
     """Pairs a, b of each row with the first row of its buckets (value, row), in an order drawn by hash that all buckets share."""
     first = saved(kept.groupBy("value").agg(F.min(F.struct(F.xxhash64("row").alias("h"), F.col("row").alias("b"))).alias("p"), F.count("*").alias("m")))
-    met = join_many(kept.select("value", "row"), first, ["value"], "m", n).groupBy("row").agg(F.min("p").alias("p"))
+    met = join_many(kept.select("value", "row"), first, ["value"], "m", n, narrow=True).groupBy("row").agg(F.min("p").alias("p"))
     return met.select(F.col("row").alias("a"), F.col("p.b").alias("b")).filter("a <> b")
 
 
@@ -181,7 +181,7 @@ def near_copy_components(rows: DataFrame) -> DataFrame:
     unique = marked.join(few(copies.filter("row <> root").select("row")), "row", "left_anti").drop("digest")
     entries = unique.select("row", F.explode("buckets").alias("value"))  # a band's number is part of the value's hash
     shared = saved(entries.groupBy("value").agg(F.count("*").alias("n")).filter("n > 1"))
-    kept = saved(join_many(entries, shared, ["value"], "n", unique.count() * BANDS).select("value", "row"))
+    kept = saved(join_many(entries, shared, ["value"], "n", unique.count() * BANDS, narrow=True).select("value", "row"))
     n_kept = kept.count()
     pairs = saved(_drawn(kept, n_kept).unionByName(_simhash_pairs(saved(unique.select("row", "fp")))).distinct())
     asked = kept.select("row").union(pairs.select("a")).union(pairs.select("b")).distinct()
@@ -189,7 +189,7 @@ def near_copy_components(rows: DataFrame) -> DataFrame:
     edges = _alike(pairs, sets)
     reached = written(simhash.components(edges).select(F.col("node").alias("row"), "root"))
     state = saved(kept.join(reached, "row", "left").withColumn("root", F.coalesce("root", "row")))
-    live = saved(join_many(state, _mixed(state), ["value"], "n", n_kept))
+    live = saved(join_many(state, _mixed(state), ["value"], "n", n_kept, narrow=True))
     if not live.isEmpty():
         more = written(_searched(live, sets))
         reached = written(simhash.components(edges.unionByName(more)).select(F.col("node").alias("row"), "root"))

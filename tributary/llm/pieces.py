@@ -61,6 +61,7 @@ class Pieces:
         for value, i in enumerate(self.byte_ids):
             self.raw[i] = bytes([value])
         self.known_pairs: dict[int, bool] = {}
+        self.asked = self.found = None
         self._runs: dict[int, list[int]] = {}
         # rank of the merge that made a piece, -1 for single characters; plain lists are faster to look up one by one
         self.made = np.where(self.left >= 0, self.rank, -1)
@@ -124,10 +125,28 @@ class Pieces:
         return found
 
     def may_follow_all(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """may_follow for many pairs: both sides are taken apart, the later merge first, and each boundary is checked on the way."""
-        ok = np.ones(len(a), dtype=bool)
-        at = np.flatnonzero((a >= 0) & (b >= 0))
-        a, b = a[at].astype(np.int64), b[at].astype(np.int64)
+        """may_follow for many pairs. A table of fixed size holds what was found last for each of its places."""
+        if self.asked is None:
+            self.asked, self.found = np.full(1 << 21, -1, dtype=np.int64), np.zeros(1 << 21, dtype=bool)
+        ok = (a < 0) | (b < 0)
+        at = np.flatnonzero(~ok)
+        key = a[at].astype(np.int64) * len(self.text) + b[at]
+        place = self._flag(key)
+        known = self.asked[place] == key
+        ok[at] = self.found[place]
+        new = np.flatnonzero(~known)
+        if len(new):
+            key, first = np.unique(key[new], return_index=True)
+            at_first, place = at[new[first]], place[new[first]]
+            made = self._may_follow_each(a[at_first], b[at_first])
+            self.asked[place], self.found[place] = key, made
+            ok[at[new]] = made[np.searchsorted(key, a[at[new]].astype(np.int64) * len(self.text) + b[at[new]])]
+        return ok
+
+    def _may_follow_each(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Both sides of pairs of pieces are taken apart, the later merge first, and each boundary is checked on the way."""
+        ok, at = np.ones(len(a), dtype=bool), np.arange(len(a))
+        a, b = a.astype(np.int64), b.astype(np.int64)
         until_a, until_b = np.full(len(at), NEVER), np.full(len(at), NEVER)  # ranks at which each side is merged away from the boundary
         while len(at):
             key = a * len(self.text) + b

@@ -25,6 +25,8 @@ SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
 HOT_SHARE = 1000
 #: Up to so many row numbers (8 bytes each) are broadcast; more are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
+#: Up to so many rows of a few numbers are broadcast by join_many.
+BROADCAST_NARROW = 250_000
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,12 +66,15 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def join_many(left: DataFrame, right: DataFrame, keys: list[str], weight: str, total: int) -> DataFrame:
+def join_many(left: DataFrame, right: DataFrame, keys: list[str], weight: str, total: int, narrow: bool = False) -> DataFrame:
     """Inner join of a narrow `left` with `right`, one row per key, where a key can hold a third of all rows of `left`.
 
     `weight` of `right` is the key's number of rows in `left`, `total` their sum. Keys over total / HOT_SHARE rows
-    are fewer than HOT_SHARE, so that part of `right` is broadcast; the others are joined by a shuffle.
+    are fewer than HOT_SHARE, so that part of `right` is broadcast; the others are joined by a shuffle. narrow: `right` is saved and holds a few
+    numbers a row, so it is counted, and broadcast as a whole up to BROADCAST_NARROW rows.
     """
+    if narrow and right.count() <= BROADCAST_NARROW:
+        return left.join(F.broadcast(right), keys)
     hot = right.filter(F.col(weight) * HOT_SHARE > total)
     cold = right.filter(F.col(weight) * HOT_SHARE <= total)
     by_broadcast = left.join(F.broadcast(hot), keys)
