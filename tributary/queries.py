@@ -81,7 +81,8 @@ def read_feature_target(t, spark):
 @query("SELECT 'rows' AS metric, count(*)::DOUBLE AS value FROM orders UNION ALL SELECT 'customers', count(DISTINCT o_custkey)::DOUBLE FROM orders")
 def write_metrics_json(t, spark):
     o = t("orders")
-    long = o.agg(F.lit("rows").alias("metric"), F.count("*").cast("double").alias("value")).unionByName(o.agg(F.lit("customers").alias("metric"), F.countDistinct("o_custkey").cast("double").alias("value")))
+    long = o.agg(F.lit("rows").alias("metric"), F.count("*").cast("double").alias("value")).unionByName(o.agg(F.lit("customers").alias("metric"),
+        F.countDistinct("o_custkey").cast("double").alias("value")))
     path = _written(long, spark, "json", tables.write_metrics_json)
     return spark.read.schema("metric string, value double").json(path)
 
@@ -106,7 +107,8 @@ def pseudonymise(t, spark):
     return deidentify.pseudonymise(t("customer").select(F.nullif("c_nationkey", F.lit(3)).alias("key"), "c_custkey"), ["key"], {"key": "long"})
 
 
-@query("SELECT c_name AS cust_c_name, c_mktsegment AS cust_c_mktsegment, sha256(c_custkey::VARCHAR) AS pk_mobno_hashed, sha256(c_nationkey::VARCHAR) AS ref_nation_hashed FROM customer")
+@query("""SELECT c_name AS cust_c_name, c_mktsegment AS cust_c_mktsegment, sha256(c_custkey::VARCHAR) AS pk_mobno_hashed, sha256(c_nationkey::VARCHAR) AS ref_nation_hashed
+    FROM customer""")
 def standardise_provider(t, spark):
     df = t("customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     return deidentify.standardise_provider(df, "cust", KEYS, ["pk_mobno", "ref_nation"])[1]
@@ -182,12 +184,14 @@ def missing_fill(t, spark):
     return missing.missing_fill(gappy(t), 0)
 
 
-@query(f"SELECT event_id, last_value(user_id IGNORE NULLS) OVER w ::DOUBLE AS user_id, last_value(value IGNORE NULLS) OVER w AS value FROM ({EVENT_GAPS}) WINDOW w AS (ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)")
+@query(f"""SELECT event_id, last_value(user_id IGNORE NULLS) OVER w ::DOUBLE AS user_id, last_value(value IGNORE NULLS) OVER w AS value
+    FROM ({EVENT_GAPS}) WINDOW w AS (ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)""")
 def missing_ffill(t, spark):
     return missing.missing_ffill(event_gaps(t), [F.col("ts"), F.col("event_id")], ["user_id", "value"]).drop("ts")
 
 
-@query(f"SELECT event_id, first_value(user_id IGNORE NULLS) OVER w ::DOUBLE AS user_id, first_value(value IGNORE NULLS) OVER w AS value FROM ({EVENT_GAPS}) WINDOW w AS (ORDER BY ts, event_id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)")
+@query(f"""SELECT event_id, first_value(user_id IGNORE NULLS) OVER w ::DOUBLE AS user_id, first_value(value IGNORE NULLS) OVER w AS value
+    FROM ({EVENT_GAPS}) WINDOW w AS (ORDER BY ts, event_id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)""")
 def missing_bfill(t, spark):
     return missing.missing_bfill(event_gaps(t), [F.col("ts"), F.col("event_id")], ["user_id", "value"]).drop("ts")
 
@@ -218,18 +222,23 @@ def providers(t) -> dict[str, DataFrame]:
     }
 
 
-@query("SELECT DISTINCT c_mktsegment AS icmr_c_mktsegment, o_orderpriority AS cowin_o_orderpriority, event_type AS index_event_type, sha256(c_custkey::VARCHAR) AS pk_mobno_hashed FROM customer JOIN orders ON c_custkey = o_custkey JOIN events ON c_custkey = user_id")
+@query("""SELECT DISTINCT c_mktsegment AS icmr_c_mktsegment, o_orderpriority AS cowin_o_orderpriority, event_type AS index_event_type, sha256(c_custkey::VARCHAR) AS pk_mobno_hashed
+    FROM customer JOIN orders ON c_custkey = o_custkey JOIN events ON c_custkey = user_id""")
 def inner_link_3way(t, spark):
     return link.inner_link([p.distinct() for p in providers(t).values()], "pk_mobno_hashed")
 
 
-@query("SELECT c_mktsegment AS icmr_c_mktsegment, event_type AS index_event_type FROM (SELECT DISTINCT c_custkey, c_mktsegment, o_orderpriority, event_type FROM customer JOIN orders ON c_custkey = o_custkey JOIN events ON c_custkey = user_id)")
+@query("""SELECT c_mktsegment AS icmr_c_mktsegment, event_type AS index_event_type
+    FROM (SELECT DISTINCT c_custkey, c_mktsegment, o_orderpriority, event_type FROM customer JOIN orders ON c_custkey = o_custkey
+    JOIN events ON c_custkey = user_id)""")
 def link_tables(t, spark):
     return link.link_tables(spark, providers(t), LINK, drop=["cowin_o_orderpriority"], identifiers=["pk_mobno_hashed"])
 
 
 @query("""SELECT 'orders' AS source, count(o_custkey) AS n_keys, max(n) AS most, 0::BIGINT AS missing FROM (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1)
-    UNION ALL SELECT 'events', count(k), max(CASE WHEN k IS NOT NULL THEN n END), sum(CASE WHEN k IS NULL THEN n ELSE 0 END)::BIGINT FROM (SELECT nullif(user_id, 7) AS k, count(*) AS n FROM events GROUP BY 1)""")
+   
+    UNION ALL SELECT 'events', count(k), max(CASE WHEN k IS NOT NULL THEN n END), sum(CASE WHEN k IS NULL THEN n ELSE 0 END)::BIGINT
+    FROM (SELECT nullif(user_id, 7) AS k, count(*) AS n FROM events GROUP BY 1)""")
 def key_multiplicity(t, spark):
     keyed = {"orders": t("orders").select(F.col("o_custkey").alias("k")), "events": t("events").select(F.nullif("user_id", F.lit(7)).alias("k"))}
     return link.key_multiplicity({name: deidentify.pseudonymise(df, ["k"], {"k": "long"}) for name, df in keyed.items()}, "k_hashed")
@@ -241,8 +250,9 @@ def implicit_join(t, spark):
     return joined.groupBy("c_mktsegment", "o_orderpriority").agg(F.count("*").alias("n"))
 
 
-@query("""SELECT 'missing' AS kind, 'target' AS "column", 0::BIGINT AS cells UNION ALL SELECT 'extra', 'c_name', count(c_name) FROM customer
-    UNION ALL SELECT 'extra', 'o_orderkey', count(*) FROM customer JOIN orders ON c_custkey = o_custkey""".replace("count(c_name) FROM customer\n", "count(c_name) FROM customer JOIN orders ON c_custkey = o_custkey\n"))
+@query("""WITH x AS (SELECT c_name, o_orderkey FROM customer JOIN orders ON c_custkey = o_custkey)
+    SELECT 'missing' AS kind, 'target' AS "column", 0::BIGINT AS cells
+    UNION ALL SELECT 'extra', 'c_name', count(c_name) FROM x UNION ALL SELECT 'extra', 'o_orderkey', count(o_orderkey) FROM x""")
 def check_result_columns(t, spark):
     """Columns that a result lacks, and those that it should not have, with how many values they would give away."""
     linked = t("customer").select("c_custkey", "c_name").join(t("orders").select("o_custkey", "o_orderkey", "o_orderstatus"), F.col("c_custkey") == F.col("o_custkey")).drop("o_custkey")
@@ -258,19 +268,24 @@ def query_guard(t, spark):
     views = {"o": t("orders").select("o_orderkey", "o_orderstatus"), "c": t("customer").select("c_custkey")}
     path = _written(t("region"), spark, "parquet", tables.write_parquet)
     refused = 0
-    for bad in ("SELECT 1; SELECT 2", "DROP TABLE o", f"SELECT * FROM parquet.`{path}`", "SELECT reflect('java.lang.System', 'getProperty', 'user.home') AS x FROM o", "SELECT * FROM o, c WHERE o_orderkey + c_custkey > 0"):
+    for bad in ("SELECT 1; SELECT 2", "DROP TABLE o", f"SELECT * FROM parquet.`{path}`", "SELECT reflect('java.lang.System', 'getProperty', 'user.home') AS x FROM o",
+        "SELECT * FROM o, c WHERE o_orderkey + c_custkey > 0"):
         try:
             link.link_tables(spark, views, bad)
         except ValueError:
             refused += 1
-    good = "WITH RECURSIVE s(k) AS (SELECT 1 UNION ALL SELECT k + 1 FROM s WHERE k < 3) SELECT o_orderstatus AS status, k, count(*) AS n FROM o JOIN s ON o_orderkey % 3 + 1 = k GROUP BY 1, 2"
+    good = """WITH RECURSIVE s(k) AS (SELECT 1 UNION ALL SELECT k + 1 FROM s WHERE k < 3) SELECT o_orderstatus AS status, k, count(*) AS n
+    FROM o JOIN s ON o_orderkey % 3 + 1 = k GROUP BY 1, 2"""
     counted = link.link_tables(spark, views, good)
     return counted.unionByName(counted.select(F.lit("refused").alias("status"), F.lit(0).alias("k"), F.lit(refused).cast("long").alias("n")).limit(1))
 
 
 @query("""SELECT c_mktsegment, c_nationkey, o.*, e.* EXCLUDE (user_id) FROM customer
-    LEFT JOIN (SELECT o_custkey, count(o_totalprice) AS o_totalprice_count, round(avg(o_totalprice), 4) AS o_totalprice_mean, round(sum(o_totalprice), 2) AS o_totalprice_sum FROM orders GROUP BY 1) o ON c_custkey = o_custkey
-    LEFT JOIN (SELECT user_id, round(max(value), 4) AS value_max, round(avg(value), 4) AS value_mean FROM events GROUP BY 1) e ON c_custkey = user_id""".replace("o.*,", "o.* EXCLUDE (o_custkey),"))
+    LEFT
+    JOIN (SELECT o_custkey, count(o_totalprice) AS o_totalprice_count, round(avg(o_totalprice), 4) AS o_totalprice_mean, round(sum(o_totalprice), 2) AS o_totalprice_sum
+    FROM orders GROUP BY 1) o ON c_custkey = o_custkey
+    LEFT JOIN (SELECT user_id, round(max(value), 4) AS value_max, round(avg(value), 4) AS value_mean FROM events
+    GROUP BY 1) e ON c_custkey = user_id""".replace("o.*,", "o.* EXCLUDE (o_custkey),"))
 def left_star_join(t, spark):
     key = "SK_ID_CURR"
     base = t("customer").select(F.col("c_custkey").alias(key), "c_mktsegment", "c_nationkey")
@@ -298,7 +313,8 @@ def directory_union(t, spark):
 
 @query("SELECT relative_path, min(doc_id) AS doc_id FROM (SELECT doc_id, (doc_id % 50)::VARCHAR AS relative_path FROM documents) GROUP BY 1")
 def first_wins(t, spark):
-    return link.first_wins(t("documents").select("doc_id", (F.col("doc_id") % 50).cast("string").alias("relative_path")).withColumn("priority", F.col("doc_id")), "relative_path", "priority").select("relative_path", "doc_id")
+    return link.first_wins(t("documents").select("doc_id", (F.col("doc_id") % 50).cast("string").alias("relative_path")).withColumn("priority", F.col("doc_id")),
+        "relative_path", "priority").select("relative_path", "doc_id")
 
 
 @query("SELECT 'case_' || (doc_id // 4)::VARCHAR AS folder, 'case_' || (doc_id // 4)::VARCHAR AS id FROM documents WHERE doc_id % 4 IN (0, 1) GROUP BY 1 HAVING count(*) = 2")
@@ -314,7 +330,8 @@ def pair_files(t, spark):
 
 def installments(t):
     lines = t("lineitem").join(t("orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
-    return lines.select(F.col("o_custkey").alias("SK_ID_CURR"), F.col("l_extendedprice").alias("AMT_PAYMENT"), (F.col("l_quantity") * 1000).alias("AMT_INSTALMENT"), F.nullif("l_linenumber", F.lit(7)).alias("n")).withColumn("DAYS_ENTRY_PAYMENT", F.col("n") - 4)
+    return lines.select(F.col("o_custkey").alias("SK_ID_CURR"), F.col("l_extendedprice").alias("AMT_PAYMENT"), (F.col("l_quantity") * 1000).alias("AMT_INSTALMENT"),
+        F.nullif("l_linenumber", F.lit(7)).alias("n")).withColumn("DAYS_ENTRY_PAYMENT", F.col("n") - 4)
 
 
 INSTALLMENTS = "SELECT o_custkey AS k, l_extendedprice AS paid, l_quantity * 1000 AS due, nullif(l_linenumber, 7) - 4 AS days FROM lineitem JOIN orders ON l_orderkey = o_orderkey"
@@ -331,17 +348,21 @@ def multi_agg(t, spark):
     round(avg(o_orderkey % 24), 4) AS "CNT_PAYMENT_mean" FROM orders GROUP BY 1""")
 def prev_app_agg(t, spark):
     p = F.col("o_totalprice")
-    df = t("orders").select(F.col("o_custkey").alias("SK_ID_CURR"), p.alias("AMT_APPLICATION"), (p * 0.9).alias("AMT_CREDIT"), F.when(F.col("o_orderkey") % 5 != 0, p * 0.1).alias("AMT_DOWN_PAYMENT"), (F.col("o_orderkey") % 24).alias("CNT_PAYMENT"))
+    df = t("orders").select(F.col("o_custkey").alias("SK_ID_CURR"), p.alias("AMT_APPLICATION"), (p * 0.9).alias("AMT_CREDIT"), F.when(F.col("o_orderkey") % 5 != 0,
+        p * 0.1).alias("AMT_DOWN_PAYMENT"), (F.col("o_orderkey") % 24).alias("CNT_PAYMENT"))
     return rounded(aggregate.prev_app_agg(df).withColumn("AMT_APPLICATION_sum", r("AMT_APPLICATION_sum", 2)))
 
 
-@query(f"""SELECT k AS "SK_ID_CURR", round(sum(paid), 2) AS "AMT_PAYMENT_sum", round(avg(paid), 4) AS "AMT_PAYMENT_mean", round(sum(due), 2) AS "AMT_INSTALMENT_sum", round(avg(due), 4) AS "AMT_INSTALMENT_mean",
-    round(avg(paid - due), 4) AS "PAYMENT_DIFF_mean", sum(CASE WHEN days > 0 THEN 1 ELSE 0 END)::BIGINT AS "LATE_PAYMENT_sum", round(avg(CASE WHEN days > 0 THEN 1.0 ELSE 0.0 END), 4) AS "LATE_PAYMENT_mean" FROM ({INSTALLMENTS}) GROUP BY 1""")
+@query(f"""SELECT k AS "SK_ID_CURR", round(sum(paid), 2) AS "AMT_PAYMENT_sum", round(avg(paid), 4) AS "AMT_PAYMENT_mean", round(sum(due), 2) AS "AMT_INSTALMENT_sum",
+    round(avg(due), 4) AS "AMT_INSTALMENT_mean",
+    round(avg(paid - due), 4) AS "PAYMENT_DIFF_mean", sum(CASE WHEN days > 0 THEN 1 ELSE 0 END)::BIGINT AS "LATE_PAYMENT_sum", round(avg(CASE WHEN days > 0 THEN 1.0 ELSE 0.0 END), 4) AS "LATE_PAYMENT_mean"
+    FROM ({INSTALLMENTS}) GROUP BY 1""")
 def installment_agg(t, spark):
     return rounded(aggregate.installment_agg(installments(t)).withColumns({k: r(k, 2) for k in ("AMT_PAYMENT_sum", "AMT_INSTALMENT_sum")}))
 
 
-@query("""SELECT o_custkey AS "SK_ID_CURR", round(avg(l_extendedprice), 4) AS "AMT_BALANCE_mean", round(max(l_extendedprice), 4) AS "AMT_BALANCE_max", max(l_linenumber)::INTEGER AS "SK_DPD_max", round(avg(l_linenumber), 4) AS "SK_DPD_mean"
+@query("""SELECT o_custkey AS "SK_ID_CURR", round(avg(l_extendedprice), 4) AS "AMT_BALANCE_mean", round(max(l_extendedprice), 4) AS "AMT_BALANCE_max",
+    max(l_linenumber)::INTEGER AS "SK_DPD_max", round(avg(l_linenumber), 4) AS "SK_DPD_mean"
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1""")
 def card_balance_agg(t, spark):
     lines = t("lineitem").join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
@@ -356,7 +377,8 @@ def bureau_month_agg(t, spark):
     return rounded(aggregate.bureau_month_agg(t("lineitem").select(F.col("l_orderkey").alias("SK_ID_BUREAU"), F.col("l_linenumber").alias("STATUS"))))
 
 
-@query(f"""SELECT o_custkey AS "SK_ID_CURR", round(avg(o_totalprice), 4) AS "AMT_CREDIT_SUM_mean", round(max(o_totalprice), 4) AS "AMT_CREDIT_SUM_max", count(*)::BIGINT AS "BUREAU_COUNT_sum", round(avg(p), 4) AS "STATUS_PAST_DUE_RATE_mean"
+@query(f"""SELECT o_custkey AS "SK_ID_CURR", round(avg(o_totalprice), 4) AS "AMT_CREDIT_SUM_mean", round(max(o_totalprice), 4) AS "AMT_CREDIT_SUM_max",
+    count(*)::BIGINT AS "BUREAU_COUNT_sum", round(avg(p), 4) AS "STATUS_PAST_DUE_RATE_mean"
     FROM orders LEFT JOIN ({BUREAU_MONTH}) ON o_orderkey = l_orderkey GROUP BY 1""")
 def bureau_agg(t, spark):
     bureau = t("orders").select(F.col("o_orderkey").alias("SK_ID_BUREAU"), F.col("o_custkey").alias("SK_ID_CURR"), F.col("o_totalprice").alias("AMT_CREDIT_SUM"))
@@ -364,7 +386,8 @@ def bureau_agg(t, spark):
     return rounded(aggregate.bureau_agg(bureau, balance, past_due=True))
 
 
-@query("""SELECT user_id AS "SK_ID_CURR", round(max(value), 4) AS "SK_DPD_max", round(avg(value), 4) AS "SK_DPD_mean", count(event_id) AS "MONTHS_BALANCE_count" FROM events WHERE user_id IS NOT NULL GROUP BY 1""")
+@query("""SELECT user_id AS "SK_ID_CURR", round(max(value), 4) AS "SK_DPD_max", round(avg(value), 4) AS "SK_DPD_mean",
+    count(event_id) AS "MONTHS_BALANCE_count" FROM events WHERE user_id IS NOT NULL GROUP BY 1""")
 def pos_cash_agg(t, spark):
     return rounded(aggregate.pos_cash_agg(t("events").select(F.col("user_id").alias("SK_ID_CURR"), F.col("value").alias("SK_DPD"), F.col("event_id").alias("MONTHS_BALANCE"))))
 
@@ -389,7 +412,8 @@ def scale_pos_weight(t, spark):
     return rounded(aggregate.scale_pos_weight(t("labels"), "quality"), 6)
 
 
-@query("SELECT 'o_totalprice' AS feature, min(o_totalprice) AS least, max(o_totalprice) AS most FROM orders UNION ALL SELECT 'o_custkey', min(o_custkey)::DOUBLE, max(o_custkey)::DOUBLE FROM orders")
+@query("""SELECT 'o_totalprice' AS feature, min(o_totalprice) AS least, max(o_totalprice) AS most FROM orders
+    UNION ALL SELECT 'o_custkey', min(o_custkey)::DOUBLE, max(o_custkey)::DOUBLE FROM orders""")
 def feature_bounds(t, spark):
     return aggregate.feature_bounds(t("orders"), ["o_totalprice", "o_custkey"])
 
@@ -437,10 +461,12 @@ def strip_affixes(t, spark):
     return t("customer").select("c_custkey", c.strip_affixes(F.col("c_name"), "Customer#").alias("identifier"))
 
 
-@query("SELECT doc_id, source || '/' || doc_id::VARCHAR || '.txt' AS relative, doc_id::VARCHAR || '.txt' AS base, source || '_' || doc_id::VARCHAR || '_x' AS filled FROM documents")
+@query("""SELECT doc_id, source || '/' || doc_id::VARCHAR || '.txt' AS relative, doc_id::VARCHAR || '.txt' AS base, source || '_' || doc_id::VARCHAR || '_x' AS filled
+    FROM documents""")
 def path_parts(t, spark):
     path = F.concat(F.lit("/data/root/"), F.col("source"), F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt"))
-    return t("documents").select("doc_id", c.relative_path(path, "/data/root").alias("relative"), c.base_name(path).alias("base"), c.filled_pattern("*_{id}_x", F.col("source"), F.col("doc_id").cast("string")).alias("filled"))
+    return t("documents").select("doc_id", c.relative_path(path, "/data/root").alias("relative"), c.base_name(path).alias("base"), c.filled_pattern("*_{id}_x",
+        F.col("source"), F.col("doc_id").cast("string")).alias("filled"))
 
 
 @query("SELECT vec_id, i::INTEGER AS i, round(embedding[32 + i]::DOUBLE, 5) AS v FROM embeddings, (SELECT unnest(range(1, 9)) AS i)")
@@ -460,7 +486,8 @@ def wide(t):
 SUNK = f"SELECT vec_id, list_transform(e, lambda x: CASE WHEN vec_id % 3 = 0 THEN x - 1000 ELSE x END) AS e FROM ({WIDE})"
 
 
-@query(f"""SELECT vec_id, CASE WHEN list_max(e) > 0 AND list_max(e) > list_min(e) THEN list_sum(list_transform(e, lambda x: trunc((x - list_min(e)) / (list_max(e) - list_min(e)) * 255)::BIGINT))
+@query(f"""SELECT vec_id,
+    CASE WHEN list_max(e) > 0 AND list_max(e) > list_min(e) THEN list_sum(list_transform(e, lambda x: trunc((x - list_min(e)) / (list_max(e) - list_min(e)) * 255)::BIGINT))
     ELSE list_sum(list_transform(e, lambda x: trunc(x)::BIGINT)) END::BIGINT AS total FROM ({SUNK})""")
 def minmax_uint8(t, spark):
     sunk = wide(t).withColumn("e", F.transform("e", lambda x: F.when(F.col("vec_id") % 3 == 0, x - 1000).otherwise(x)))
@@ -504,7 +531,8 @@ def encoding_threshold(t, spark):
     return o.agg(F.lit(encode.encoding_threshold(o.count())).cast("long").alias("threshold"))
 
 
-@query("""SELECT o_orderkey, coalesce((s = 'F')::INTEGER, 0) AS "s_F", coalesce((s = 'O')::INTEGER, 0) AS "s_O", (s IS NULL)::INTEGER AS s_nan FROM (SELECT o_orderkey, nullif(o_orderstatus, 'P') AS s FROM orders)""")
+@query("""SELECT o_orderkey, coalesce((s = 'F')::INTEGER, 0) AS "s_F", coalesce((s = 'O')::INTEGER, 0) AS "s_O", (s IS NULL)::INTEGER AS s_nan FROM (SELECT o_orderkey,
+    nullif(o_orderstatus, 'P') AS s FROM orders)""")
 def one_hot(t, spark):
     return encode.one_hot(t("orders").select("o_orderkey", F.nullif("o_orderstatus", F.lit("P")).alias("s")), "s")
 
@@ -514,13 +542,16 @@ def ordinal(t, spark):
     return encode.ordinal(t("orders").select("o_orderkey", "o_orderpriority"), "o_orderpriority")
 
 
-@query("SELECT o_orderkey, coalesce(code, -1) AS o_orderpriority_ord FROM orders LEFT JOIN (SELECT v, (row_number() OVER (ORDER BY v) - 1)::DOUBLE AS code FROM (SELECT DISTINCT o_orderpriority AS v FROM orders WHERE o_orderpriority < '3')) ON o_orderpriority = v")
+@query("""SELECT o_orderkey, coalesce(code, -1) AS o_orderpriority_ord FROM orders LEFT
+    JOIN (SELECT v, (row_number() OVER (ORDER BY v) - 1)::DOUBLE AS code FROM (SELECT DISTINCT o_orderpriority AS v FROM orders
+    WHERE o_orderpriority < '3')) ON o_orderpriority = v""")
 def ordinal_unknown(t, spark):
     o = t("orders").select("o_orderkey", "o_orderpriority")
     return encode.ordinal(o, "o_orderpriority", encode.dictionary(o.filter("o_orderpriority < '3'"), "o_orderpriority"))
 
 
-@query("""SELECT o_orderkey, o_totalprice, (o_orderstatus = 'F')::INTEGER AS "o_orderstatus_F", (o_orderstatus = 'O')::INTEGER AS "o_orderstatus_O", (o_orderstatus = 'P')::INTEGER AS "o_orderstatus_P", 0 AS o_orderstatus_nan,
+@query("""SELECT o_orderkey, o_totalprice, (o_orderstatus = 'F')::INTEGER AS "o_orderstatus_F", (o_orderstatus = 'O')::INTEGER AS "o_orderstatus_O",
+    (o_orderstatus = 'P')::INTEGER AS "o_orderstatus_P", 0 AS o_orderstatus_nan,
     (dense_rank() OVER (ORDER BY o_orderpriority) - 1)::DOUBLE AS o_orderpriority_ord FROM orders""")
 def build_matrix(t, spark):
     return encode.build_matrix(t("orders"), {"o_orderstatus": "one_hot", "o_orderpriority": "ordinal"}, ["o_totalprice"], ["o_orderkey"])[0]
@@ -544,7 +575,8 @@ def fitted_encoding(t, spark):
     return encode.fitted_encoding(df, {"o_orderpriority": "ordinal", "status": "one_hot"})
 
 
-@query(f"""SELECT o_orderkey, coalesce((o_orderstatus = 'F')::INTEGER, 0) AS "o_orderstatus_F", (o_orderstatus = 'O')::INTEGER AS "o_orderstatus_O", 0 AS o_orderstatus_nan, coalesce(code, -1)::BIGINT AS o_orderpriority_hot
+@query(f"""SELECT o_orderkey, coalesce((o_orderstatus = 'F')::INTEGER, 0) AS "o_orderstatus_F",
+    (o_orderstatus = 'O')::INTEGER AS "o_orderstatus_O", 0 AS o_orderstatus_nan, coalesce(code, -1)::BIGINT AS o_orderpriority_hot
     FROM orders LEFT JOIN ({CODES.format("o_orderpriority", "o_orderpriority < '3' AND o_orderstatus <> 'P'")}) ON o_orderpriority = v""")
 def build_matrix_fitted(t, spark):
     """A matrix of all rows with the encoding fitted on some: unseen values get no one, and no column is added."""
@@ -567,12 +599,14 @@ def scale_minmax(t, spark):
     return rounded(scale.scale(t("orders").select("o_orderkey", "o_totalprice"), ["o_totalprice"], "minmax", F.expr(TRAIN)), 6)
 
 
-@query(f"SELECT o_orderkey, round((o_totalprice - q[2]) / (q[3] - q[1]), 6) AS o_totalprice FROM orders, (SELECT quantile_cont(o_totalprice, [0.25, 0.5, 0.75]) AS q FROM orders WHERE {TRAIN})")
+@query(f"""SELECT o_orderkey, round((o_totalprice - q[2]) / (q[3] - q[1]), 6) AS o_totalprice
+    FROM orders, (SELECT quantile_cont(o_totalprice, [0.25, 0.5, 0.75]) AS q FROM orders WHERE {TRAIN})""")
 def scale_robust(t, spark):
     return rounded(scale.scale(t("orders").select("o_orderkey", "o_totalprice"), ["o_totalprice"], "robust", F.expr(TRAIN)), 6)
 
 
-@query("SELECT l_orderkey, round(sum(l_quantity / sqrt(l_quantity ** 2 + l_tax ** 2)), 4) AS q, round(sum(l_tax / sqrt(l_quantity ** 2 + l_tax ** 2)), 4) AS x FROM lineitem GROUP BY 1")
+@query("""SELECT l_orderkey, round(sum(l_quantity / sqrt(l_quantity ** 2 + l_tax ** 2)), 4) AS q, round(sum(l_tax / sqrt(l_quantity ** 2 + l_tax ** 2)), 4) AS x
+    FROM lineitem GROUP BY 1""")
 def scale_rowl2(t, spark):
     df = scale.scale_rowl2(t("lineitem").select("l_orderkey", "l_quantity", "l_tax"), ["l_quantity", "l_tax"])
     return df.groupBy("l_orderkey").agg(r(F.sum("l_quantity")).alias("q"), r(F.sum("l_tax")).alias("x"))
@@ -590,18 +624,23 @@ def split_exact(t, spark):
     return split.split_exact(t("orders").select("o_orderkey"), ["o_orderkey"], RATIOS)
 
 
-@query(f"SELECT split, count(*) AS n_rows, 1 AS n_features FROM (SELECT CASE WHEN k <= test THEN 'test' WHEN k <= test + val THEN 'val' ELSE 'train' END AS split FROM ({SIZED} ({RANKED}))) GROUP BY 1")
+@query(f"""SELECT split, count(*) AS n_rows, 1 AS n_features FROM (SELECT
+    CASE WHEN k <= test THEN 'test' WHEN k <= test + val THEN 'val' ELSE 'train' END AS split FROM ({SIZED} ({RANKED})))
+    GROUP BY 1""")
 def split_summary(t, spark):
     return split.split_summary(split.split_unsupervised(t("orders").select("o_orderkey"), ["o_orderkey"], RATIOS))
 
 
-@query(f"SELECT doc_id, CASE WHEN k <= test THEN 'test' WHEN k <= test + val THEN 'val' ELSE 'train' END AS split FROM ({SIZED} (SELECT doc_id, row_number() OVER (ORDER BY sha256('42:' || doc_id::VARCHAR)) AS k, count(*) OVER () AS n FROM documents))")
+@query(f"""SELECT doc_id, CASE WHEN k <= test THEN 'test' WHEN k <= test + val THEN 'val' ELSE 'train' END AS split
+    FROM ({SIZED} (SELECT doc_id, row_number() OVER (ORDER BY sha256('42:' || doc_id::VARCHAR)) AS k, count(*) OVER () AS n
+    FROM documents))""")
 def split_unsupervised(t, spark):
     return split.split_unsupervised(t("documents").select("doc_id"), ["doc_id"], RATIOS)
 
 
 @query(f"""WITH c AS (SELECT o_orderstatus AS s, count(*) AS k, sum(count(*)) OVER () AS n FROM orders GROUP BY 1),
-    z AS (SELECT ceil('{_R[2]!r}'::DOUBLE * n)::BIGINT AS test, ceil('{_R[1] / (_R[1] + _R[0])!r}'::DOUBLE * (n - ceil('{_R[2]!r}'::DOUBLE * n)))::BIGINT AS val FROM (SELECT count(*) AS n FROM orders)),
+    z AS (SELECT ceil('{_R[2]!r}'::DOUBLE * n)::BIGINT AS test, ceil('{_R[1] / (_R[1] + _R[0])!r}'::DOUBLE * (n - ceil('{_R[2]!r}'::DOUBLE * n)))::BIGINT AS val
+    FROM (SELECT count(*) AS n FROM orders)),
     a AS (SELECT s, k, n, (k * test) // n AS q, row_number() OVER (ORDER BY (k * test) % n DESC, s) AS p, test - sum((k * test) // n) OVER () AS e FROM c, z),
     b AS (SELECT s, k, q + (p <= e)::INTEGER AS test FROM a),
     d AS (SELECT s, test, k - test AS k, sum(k - test) OVER () AS n FROM b),
@@ -618,14 +657,17 @@ def split_none(t, spark):
     return split.split_none(t("orders").select("o_orderkey"))
 
 
-@query(f"SELECT o_orderkey, CASE WHEN h < '{_R[2]!r}'::DOUBLE THEN 'test' WHEN h < '{(RATIOS[1] + RATIOS[2]) / _TOTAL!r}'::DOUBLE THEN 'val' ELSE 'train' END AS split FROM (SELECT o_orderkey, ('0x' || sha256('42:' || o_orderkey::VARCHAR)[1:8])::BIGINT / 4294967296.0 AS h FROM orders)")
+@query(f"""SELECT o_orderkey,
+    CASE WHEN h < '{_R[2]!r}'::DOUBLE THEN 'test' WHEN h < '{(RATIOS[1] + RATIOS[2]) / _TOTAL!r}'::DOUBLE THEN 'val' ELSE 'train' END AS split
+    FROM (SELECT o_orderkey, ('0x' || sha256('42:' || o_orderkey::VARCHAR)[1:8])::BIGINT / 4294967296.0 AS h FROM orders)""")
 def random_sample_split(t, spark):
     return split.random_sample_split(t("orders").select("o_orderkey"), ["o_orderkey"], RATIOS)
 
 
 # ---- metrics
 
-BINARY = "SELECT doc_id AS id, quality AS label, (n_chars % 1000) / 1000.0::DOUBLE AS score, ((n_chars % 1000) / 1000.0::DOUBLE > 0.5)::INTEGER AS pred FROM labels JOIN documents USING (doc_id)"
+BINARY = """SELECT doc_id AS id, quality AS label, (n_chars % 1000) / 1000.0::DOUBLE AS score, ((n_chars % 1000) / 1000.0::DOUBLE > 0.5)::INTEGER AS pred
+    FROM labels JOIN documents USING (doc_id)"""
 MULTI = "SELECT vec_id AS id, label, embedding[1:10] AS scores, list_position(embedding[1:10], list_max(embedding[1:10])) - 1 AS pred FROM embeddings"
 
 
@@ -658,7 +700,8 @@ def confusion_matrix(t, spark):
     return metrics.confusion_matrix(multi(t)).select(F.col("label").cast("long").alias("label"), F.col("pred").cast("long").alias("pred"), "n")
 
 
-PER_CLASS = "SELECT c, sum((label = c)::INTEGER) AS s, sum((pred = c)::INTEGER) AS m, sum((label = c AND pred = c)::INTEGER) AS h FROM x, (SELECT label AS c FROM x UNION SELECT pred FROM x) GROUP BY 1"
+PER_CLASS = """SELECT c, sum((label = c)::INTEGER) AS s, sum((pred = c)::INTEGER) AS m, sum((label = c AND pred = c)::INTEGER) AS h
+    FROM x, (SELECT label AS c FROM x UNION SELECT pred FROM x) GROUP BY 1"""
 SCORED = f"SELECT c, s, h, CASE WHEN m = 0 THEN 0.0 ELSE h / m END AS p, CASE WHEN s = 0 THEN 0.0 ELSE h / s END AS r FROM ({PER_CLASS})"
 F1 = f"SELECT *, CASE WHEN p + r = 0 THEN 0.0 ELSE 2 * p * r / (p + r) END AS f FROM ({SCORED})"
 
@@ -669,12 +712,15 @@ def prf_binary(t, spark):
 
 
 for _average, _weight in (("macro", "1"), ("weighted", "s")):
-    query(f"WITH x AS ({MULTI}) SELECT round(sum(p * {_weight}) / sum({_weight}), 6) AS precision, round(sum(r * {_weight}) / sum({_weight}), 6) AS recall, round(sum(f * {_weight}) / sum({_weight}), 6) AS f1 FROM ({F1})", name=f"precision_recall_f1_{_average}")(
+    query(f"""WITH x AS ({MULTI}) SELECT round(sum(p * {_weight}) / sum({_weight}), 6) AS precision, round(sum(r * {_weight}) / sum({_weight}), 6) AS recall,
+        round(sum(f * {_weight}) / sum({_weight}), 6) AS f1
+    FROM ({F1})""", name=f"precision_recall_f1_{_average}")(
         lambda t, spark, a=_average: rounded(metrics.averaged(multi(t), a), 6)
     )
 
 
-@query(f"SELECT round(avg((label = pred)::INTEGER), 6) AS precision, round(avg((label = pred)::INTEGER), 6) AS recall, round(avg((label = pred)::INTEGER), 6) AS f1 FROM ({MULTI})", name="precision_recall_f1_micro")
+@query(f"""SELECT round(avg((label = pred)::INTEGER), 6) AS precision, round(avg((label = pred)::INTEGER), 6) AS recall, round(avg((label = pred)::INTEGER), 6) AS f1
+    FROM ({MULTI})""", name="precision_recall_f1_micro")
 def prf_micro(t, spark):
     return rounded(metrics.averaged(multi(t), "micro"), 6)
 
@@ -728,7 +774,8 @@ def roc_auc_ovo(t, spark):
 
 
 @query("""WITH x AS (SELECT l_extendedprice AS y, l_quantity * 1000.0 + 500 AS s FROM lineitem)
-    SELECT round(avg((y - s) ** 2), 2) AS mse, round(avg(abs(y - s)), 4) AS mae, round(sqrt(avg((y - s) ** 2)), 4) AS rmse, round(1 - avg((y - s) ** 2) / var_pop(y), 6) AS r2_score FROM x""", name="mse_mae_rmse_r2")
+    SELECT round(avg((y - s) ** 2), 2) AS mse, round(avg(abs(y - s)), 4) AS mae, round(sqrt(avg((y - s) ** 2)), 4) AS rmse, round(1 - avg((y - s) ** 2) / var_pop(y), 6) AS r2_score
+    FROM x""", name="mse_mae_rmse_r2")
 def regression(t, spark):
     return metrics.regression(prices(t)).select(r("mse", 2).alias("mse"), r("mae").alias("mae"), r("rmse").alias("rmse"), r("r2_score", 6).alias("r2_score"))
 
@@ -742,7 +789,8 @@ def masks(t):
     return e.filter("vec_id % 2 = 0").select(F.col("vec_id").alias("image_id"), F.col("embedding").alias("pred")).join(truth, "image_id").withColumn("width", F.lit(8))
 
 
-@query(f"""WITH m AS ({MASKS}), x AS (SELECT unnest(pred) > 0.1 AS p, unnest(truth) > 0.1 AS t FROM m), s AS (SELECT sum(p::INTEGER) AS p, sum(t::INTEGER) AS t, sum((p AND t)::INTEGER) AS b FROM x)
+@query(f"""WITH m AS ({MASKS}), x AS (SELECT unnest(pred) > 0.1 AS p, unnest(truth) > 0.1 AS t
+    FROM m), s AS (SELECT sum(p::INTEGER) AS p, sum(t::INTEGER) AS t, sum((p AND t)::INTEGER) AS b FROM x)
     SELECT round(2.0 * b / (p + t + 1e-6), 6) AS dice_score, round(b / (p + t - b), 6) AS jaccard_index FROM s""", name="dice_score_jaccard_index")
 def dice(t, spark):
     return rounded(metrics.segmentation(masks(t), 0.1), 6)
@@ -767,7 +815,8 @@ def evaluate(t, spark):
     px AS (SELECT unnest(pred) > 0.5 AS p, unnest(truth) > 0.5 AS t FROM m), k AS (SELECT sum(p::INTEGER) AS p, sum(t::INTEGER) AS t, sum((p AND t)::INTEGER) AS b FROM px)
     SELECT 'mse' AS metric, round(avg((y - s) ** 2), 2) AS value FROM x UNION ALL SELECT 'mae', round(avg(abs(y - s)), 2) FROM x
     UNION ALL SELECT 'r2_score', round(1 - avg((y - s) ** 2) / var_pop(y), 2) FROM x
-    UNION ALL SELECT 'dice_score', round(2.0 * b / (p + t + 1e-6), 2) FROM k UNION ALL SELECT 'jaccard_index', round(CASE WHEN p + t - b = 0 THEN 0 ELSE b / (p + t - b) END, 2) FROM k""")
+    UNION ALL SELECT 'dice_score', round(2.0 * b / (p + t + 1e-6), 2) FROM k
+    UNION ALL SELECT 'jaccard_index', round(CASE WHEN p + t - b = 0 THEN 0 ELSE b / (p + t - b) END, 2) FROM k""")
 def default_metrics(t, spark):
     """What is measured by default for a regression, and for masks."""
     found = [metrics.evaluate(df, metrics.default_metrics(task)) for task, df in (("regression", prices(t)), ("segmentation", masks(t)))]
@@ -789,14 +838,17 @@ def _loss(name: str, table: str, sql: str, build) -> None:
 
 LOG = "greatest(CASE WHEN {0} <= 0 THEN -100.0 ELSE ln({0}) END, -100.0)"
 _P = "score"
-_BCE = f"-(label * {LOG.format('score')} + (1 - label) * {LOG.format('(1 - score)')})".replace("ELSE ln(score)", "ELSE ln(nullif(greatest(score, 0), 0))").replace("ELSE ln((1 - score))", "ELSE ln(nullif(greatest(1 - score, 0), 0))")
+_BCE = f"-(label * {LOG.format('score')} + (1 - label) * {LOG.format('(1 - score)')})".replace("ELSE ln(score)",
+    "ELSE ln(nullif(greatest(score, 0), 0))").replace("ELSE ln((1 - score))", "ELSE ln(nullif(greatest(1 - score, 0), 0))")
 _CE = "(list_max(scores) + ln(list_sum(list_transform(scores, lambda v: exp((v - list_max(scores))::DOUBLE)))) - scores[label + 1])"
 _loss("bce_loss", BINARY, f"avg({_BCE})", lambda t, spark: rounded(losses.test_loss(binary(t), losses.bce_loss(F.col("score"), F.col("label"))), 6))
-_loss("bce_logits_loss", BINARY, "avg(greatest(score - 0.5, 0) - (score - 0.5) * label + ln(1 + exp(-abs(score - 0.5))))", lambda t, spark: rounded(losses.test_loss(binary(t), losses.bce_logits_loss(F.col("score") - 0.5, F.col("label"))), 6))
+_loss("bce_logits_loss", BINARY, "avg(greatest(score - 0.5, 0) - (score - 0.5) * label + ln(1 + exp(-abs(score - 0.5))))", lambda t,
+    spark: rounded(losses.test_loss(binary(t), losses.bce_logits_loss(F.col("score") - 0.5, F.col("label"))), 6))
 _loss("l1_loss", BINARY, "avg(abs(score - label))", lambda t, spark: rounded(losses.test_loss(binary(t), losses.l1_loss(F.col("score"), F.col("label"))), 6))
 _loss("cross_entropy", MULTI, f"avg({_CE})", lambda t, spark: rounded(losses.test_loss(multi(t), losses.cross_entropy(F.col("scores"), F.col("label"))), 6))
 _loss("focal_loss", MULTI, f"avg(0.5 * (1 - exp(-{_CE})) ** 2 * {_CE})", lambda t, spark: rounded(losses.test_loss(multi(t), losses.focal_loss(F.col("scores"), F.col("label"), 0.5, 2.0)), 6))
-_loss("composed_loss", BINARY, "avg(0.25 * abs(score - label) + (score - label) ** 2)", lambda t, spark: rounded(losses.test_loss(binary(t), losses.composed_loss("0.25 * l1 + d ** 2", {"l1": losses.l1_loss(F.col("score"), F.col("label")), "d": F.col("score") - F.col("label")})), 6))
+_loss("composed_loss", BINARY, "avg(0.25 * abs(score - label) + (score - label) ** 2)", lambda t, spark: rounded(losses.test_loss(binary(t),
+    losses.composed_loss("0.25 * l1 + d ** 2", {"l1": losses.l1_loss(F.col("score"), F.col("label")), "d": F.col("score") - F.col("label")})), 6))
 _loss("test_loss", BINARY, "sum(abs(score - label))", lambda t, spark: rounded(losses.test_loss(binary(t), losses.l1_loss(F.col("score"), F.col("label")), "sum"), 6))
 
 
@@ -808,7 +860,9 @@ def soft_dice_loss(t, spark):
 
 # ---- privacy and policy
 
-LINES = "SELECT l_orderkey AS id, l_linenumber, l_quantity / 10 AS eps, CASE WHEN l_tax > 0.04 THEN l_discount END AS delta, 's' || (l_suppkey % 5) AS owner, 'e' || (l_partkey % 3) AS endpoint, 'k' || (l_suppkey % 7) AS kid, l_returnflag, l_quantity FROM lineitem"
+LINES = """SELECT l_orderkey AS id, l_linenumber, l_quantity / 10 AS eps,
+    CASE WHEN l_tax > 0.04 THEN l_discount END AS delta, 's' || (l_suppkey % 5) AS owner, 'e' || (l_partkey % 3) AS endpoint, 'k' || (l_suppkey % 7) AS kid, l_returnflag, l_quantity
+    FROM lineitem"""
 STAGE = "SELECT o_orderkey AS run_id, o_orderkey AS id, o_orderstatus <> 'F' AS private, o_totalprice / 100000 AS epsilon FROM orders"
 
 
@@ -817,8 +871,10 @@ def contracts(t) -> DataFrame:
     text = lambda prefix, column, n: F.concat(F.lit(prefix), (F.col(column) % n).cast("string"))
     lines = t("lineitem").select(
         F.col("l_orderkey").alias("id"),
-        F.struct(F.col("l_linenumber").cast("string").alias("id"), text("s", "l_suppkey", 5).alias("owner"), text("e", "l_partkey", 3).alias("endpoint"), text("k", "l_suppkey", 7).alias("kid")).alias("d"),
-        F.struct(F.col("l_linenumber").cast("string").alias("dataset"), (F.col("l_quantity") / 10).cast("string").alias("epsilon_threshold"), F.when(F.col("l_tax") > 0.04, F.col("l_discount").cast("string")).alias("delta")).alias("p"),
+        F.struct(F.col("l_linenumber").cast("string").alias("id"), text("s", "l_suppkey", 5).alias("owner"), text("e", "l_partkey", 3).alias("endpoint"), text("k",
+            "l_suppkey", 7).alias("kid")).alias("d"),
+        F.struct(F.col("l_linenumber").cast("string").alias("dataset"), (F.col("l_quantity") / 10).cast("string").alias("epsilon_threshold"),
+            F.when(F.col("l_tax") > 0.04, F.col("l_discount").cast("string")).alias("delta")).alias("p"),
     )
     return lines.groupBy("id").agg(F.collect_list("d").alias("datasets"), F.collect_list("p").alias("privacy"))  # a few lines an order
 
@@ -826,7 +882,8 @@ def contracts(t) -> DataFrame:
 def runs(t) -> DataFrame:
     """One run per order: mounts of some of its lines, and a last stage from the order."""
     owner = F.concat(F.lit(audit.MOUNT_ROOT + "s"), (F.col("l_suppkey") % 5).cast("string"))
-    mount = F.struct(owner.alias("mount_point"), (F.col("l_returnflag") == "R").alias("read_write"), F.concat(F.lit("e"), (F.col("l_partkey") % 3).cast("string")).alias("endpoint"), F.concat(F.lit("k"), (F.col("l_suppkey") % 7).cast("string")).alias("kid"))
+    mount = F.struct(owner.alias("mount_point"), (F.col("l_returnflag") == "R").alias("read_write"), F.concat(F.lit("e"),
+        (F.col("l_partkey") % 3).cast("string")).alias("endpoint"), F.concat(F.lit("k"), (F.col("l_suppkey") % 7).cast("string")).alias("kid"))
     mounts = t("lineitem").filter("l_quantity > 5").groupBy(F.col("l_orderkey").alias("id")).agg(F.collect_list(mount).alias("mounts"))
     stage = F.struct(F.lit("train").alias("name"), (F.col("o_orderstatus") != "F").alias("is_private"), (F.col("o_totalprice") / 100000).alias("epsilon"), F.lit(None).cast("double").alias("delta"))
     staged = t("orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderkey").alias("contract_id"), F.array(stage).alias("pipeline"))
@@ -846,7 +903,8 @@ def min_privacy_budget(t, spark):
     return rounded(audit.min_privacy_budget(contracts(t)))
 
 
-@query("SELECT o_orderkey, round(e / n, 6) AS per_tree, round(n * ln(1 + 0.8 * (exp(e / n) - 1)), 6) AS spent FROM (SELECT o_orderkey, o_totalprice / 100000 AS e, 50 + o_orderkey % 200 AS n FROM orders)")
+@query("""SELECT o_orderkey, round(e / n, 6) AS per_tree, round(n * ln(1 + 0.8 * (exp(e / n) - 1)), 6) AS spent
+    FROM (SELECT o_orderkey, o_totalprice / 100000 AS e, 50 + o_orderkey % 200 AS n FROM orders)""")
 def epsilon_per_tree(t, spark):
     e, n = F.col("o_totalprice") / 100000, 50 + F.col("o_orderkey") % 200
     return t("orders").select("o_orderkey", r(audit.epsilon_per_tree(e, n), 6).alias("per_tree"), r(audit.epsilon_spent(e, n, F.lit(0.8)), 6).alias("spent"))
@@ -859,8 +917,11 @@ def delta_clamp(t, spark):
 
 UNCOVERED = f"""SELECT o_orderkey AS run_id, a.l_linenumber::VARCHAR AS dataset FROM orders JOIN ({LINES}) a ON o_orderkey = a.id WHERE NOT EXISTS
     (SELECT 1 FROM ({LINES}) b WHERE b.id = a.id AND b.owner = a.owner AND b.endpoint = a.endpoint AND b.kid = a.kid AND b.l_returnflag <> 'R' AND b.l_quantity > 5)"""
-MOUNTS = f"SELECT o_orderkey AS run_id, count(DISTINCT owner)::INTEGER AS providers, sum((l_quantity > 5)::INTEGER)::INTEGER AS mounts FROM orders JOIN ({LINES}) ON o_orderkey = id GROUP BY 1"
-GATE = f"SELECT run_id, epsilon, threshold, CASE WHEN threshold IS NULL THEN NOT private ELSE private AND epsilon <= threshold END AS ok FROM ({STAGE}) LEFT JOIN ({BUDGET}) USING (id)"
+MOUNTS = f"""SELECT o_orderkey AS run_id, count(DISTINCT owner)::INTEGER AS providers, sum((l_quantity > 5)::INTEGER)::INTEGER AS mounts
+    FROM orders JOIN ({LINES}) ON o_orderkey = id GROUP BY 1"""
+GATE = f"""SELECT run_id, epsilon, threshold,
+    CASE WHEN threshold IS NULL THEN NOT private ELSE private AND epsilon <= threshold END AS ok FROM ({STAGE}) LEFT
+    JOIN ({BUDGET}) USING (id)"""
 
 
 @query(UNCOVERED)
@@ -878,7 +939,8 @@ def budget_gate(t, spark):
     return rounded(audit.budget_gate(contracts(t), runs(t)), 7)
 
 
-@query(f"""SELECT m.run_id, u.run_id IS NULL AS covered, m.mounts BETWEEN m.providers + 1 AND m.providers + 2 AS mounts_ok, g.ok AS budget_ok, u.run_id IS NULL AND m.mounts BETWEEN m.providers + 1 AND m.providers + 2 AND g.ok AS allowed
+@query(f"""SELECT m.run_id, u.run_id IS NULL AS covered, m.mounts BETWEEN m.providers + 1 AND m.providers + 2 AS mounts_ok, g.ok AS budget_ok,
+    u.run_id IS NULL AND m.mounts BETWEEN m.providers + 1 AND m.providers + 2 AND g.ok AS allowed
     FROM ({MOUNTS}) m JOIN ({GATE}) g ON m.run_id = g.run_id LEFT JOIN (SELECT DISTINCT run_id FROM ({UNCOVERED})) u ON u.run_id = m.run_id""")
 def contract_audit(t, spark):
     return audit.contract_audit(contracts(t), runs(t))
