@@ -1,4 +1,10 @@
-"""The corpus pipeline: STAGES over `documents`, each written as Parquet and read again as the next one's input."""
+"""The corpus pipeline: STAGES over `documents`, each written as Parquet and read again as the next one's input.
+
+Defined results. Null and empty texts go through as their stages define: the classifier gives them the labels' share of good rows, all of them
+are equal, so one is left, and they weigh nothing in the mix. Of equal and near-equal texts the row of the rank that the stage defines stays, one exactly, also where rows
+repeat a doc_id or have none. The mix repeats rows. Columns of documents stay in all stages, whatever their names; `ids`, `n_pieces` and `decoded` are replaced by
+the last. An empty table gives no rows. Each stage reads what the one before it wrote, so a lost executor costs tasks of one stage.
+"""
 
 from __future__ import annotations
 
@@ -43,7 +49,8 @@ STAGES = [
     ("SentencePiece encoding and decoding", encode),
 ]
 
-#: The classifier, fingerprints and pieces can't be said in SQL; tests hold run() against a brute-force version.
+#: The classifier, fingerprints and pieces can't be said in SQL. tests/llm/test_pipeline.py holds run()'s rows against a plain Python version of the stages after
+#: the classifier, whose scores tests/llm/test_plain_versions.py recomputes.
 ORACLE_SQL = None
 
 
