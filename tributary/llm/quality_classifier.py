@@ -8,7 +8,7 @@ good rows among all labels that may be learned from, turns it into a probability
 
 Defined results. Empty and null texts, having no size to compare, get the share of good rows among the labels. With no labelled
 rows or only one class that share (smoothed) is the score of all. Repeated rows get equal scores. Rows whose label is
-null are not used to fit. No documents give no rows. Only doc_id and text of the documents are read.
+null are not used to fit. A very long text is compressed block by block. No documents give no rows. Only doc_id and text of the documents are read.
 """
 
 from __future__ import annotations

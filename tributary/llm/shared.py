@@ -47,10 +47,16 @@ def kept(name: str, make: Callable):
     return store[name]
 
 
-def small_batches(spark: SparkSession, rows: int = 500) -> None:
-    """Bound the rows that go to Python at once, as some texts are very long."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "32m")
+def small_batches(spark: SparkSession, rows: int = 500, size: str = "32m") -> None:
+    """Bound the rows and bytes that go to Python at once, as some texts are very long.
+
+    These are required settings of the session for the Python operators (see the README). Plans are executed later than they are made, so they cannot be set back
+    here; a session that has set fewer rows keeps them.
+    """
+    held = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+    if not 0 < held <= rows:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 
 
 def stripped(text: Column) -> Column:
