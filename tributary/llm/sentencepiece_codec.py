@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import batched, islice
 
 import numpy as np
 import pandas as pd
@@ -33,6 +34,8 @@ from tributary.llm.shared import kept, shared_value, small_batches
 LONG, PART, SECTION = 48, 1024, 1 << 20
 #: Bytes of words and their encodings that a worker keeps, and what an entry takes besides its characters.
 KNOWN_BYTES, ENTRY_BYTES = 200_000_000, 230
+#: Arrow batches that are encoded at once.
+BATCHES = 4
 #: Words that advance together at most.
 TOGETHER = 20_000
 def _packed(ids: list[int]) -> bytes:
@@ -136,10 +139,12 @@ def encode_documents(docs: DataFrame, model_path: str = MODEL_PATH) -> DataFrame
     @F.pandas_udf("ids array<int>, n_pieces long, decoded string")
     def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         codec = kept(f"pieces codec {model_path}", lambda: Codec(pieces()))
-        for batch in batches:
-            ids = codec.encode_batch(batch.tolist())
-            back = [None if x is None else codec.pieces.decode(x.tolist()) for x in ids]
-            yield pd.DataFrame({"ids": ids, "n_pieces": [0 if x is None else len(x) for x in ids], "decoded": pd.Series(back, dtype=object)})
+        for some in batched(batches, BATCHES):  # more words of a length advance together
+            all_ids = iter(codec.encode_batch([t for batch in some for t in batch]))
+            for batch in some:
+                ids = list(islice(all_ids, len(batch)))
+                back = [None if x is None else codec.pieces.decode(x.tolist()) for x in ids]
+                yield pd.DataFrame({"ids": ids, "n_pieces": [0 if x is None else len(x) for x in ids], "decoded": pd.Series(back, dtype=object)})
 
     others = F.struct(*[c for c in docs.columns if c.lower() not in {"ids", "n_pieces", "decoded"}])
     return docs.select(others.alias("others"), encoded("text").alias("made")).select("others.*", "made.*")

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import batched, islice
 
 import numpy as np
 import pandas as pd
@@ -28,6 +29,8 @@ from tributary.llm.pieces import MARK, MODEL_PATH, Pieces, load, words
 from tributary.llm.shared import kept, shared_value, small_batches
 
 LONG, SECTION = 48, 1 << 20
+#: Arrow batches that are counted at once.
+BATCHES = 4
 #: Pre-tokens of one trie.
 TOGETHER = 20_000
 #: Bytes of pre-tokens and counts that a worker keeps, and what an entry takes besides its characters.
@@ -112,7 +115,9 @@ def count_tokens(docs: DataFrame, model_path: str = MODEL_PATH) -> DataFrame:
     @F.pandas_udf("long")
     def counted(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         trie = kept(f"token counts {model_path}", lambda: CountTrie(pieces()))
-        for batch in batches:
-            yield pd.Series(trie.totals(batch.tolist()), dtype="int64")
+        for some in batched(batches, BATCHES):  # more pre-tokens share a trie
+            totals = iter(trie.totals([t for batch in some for t in batch]))
+            for batch in some:
+                yield pd.Series(list(islice(totals, len(batch))), dtype="int64")
 
     return docs.select("doc_id", counted("text").alias("n_tokens"))
