@@ -26,7 +26,7 @@ ONE_STEP = 32
 def _borders(df: DataFrame, order: list[Column], parts: int) -> tuple[list, str]:
     """At most parts - 1 rows of the order columns that cut the rows into even parts, and their type."""
     keys = df.select(F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)]).alias("k"))
-    by_hash = F.xxhash64("k")  # equal keys fall together, and count once
+    by_hash = F.xxhash64("k", F.monotonically_increasing_id())  # rows, not keys, are equally likely
     drawn = keys.select("k", by_hash.alias("h")).orderBy("h").limit(SAMPLED * parts).select("k").orderBy("k").collect()
     found = [r["k"] for r in drawn]
     cuts = [found[len(found) * i // parts] for i in range(1, parts)] if found else []
