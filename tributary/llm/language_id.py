@@ -137,11 +137,12 @@ def fitted(docs: DataFrame, max_rows: int = MAX_FIT_ROWS, max_total: int = MAX_F
     limits = docs.sparkSession.createDataFrame([(lang, min(top, int((1.2 * rows + 20) / count * top))) for lang, count in n.items()], "lang string, below long")
     place = F.xxhash64("doc_id").bitwiseAND(F.lit(top))
 
-    @F.pandas_udf("bins array<int>, amounts array<int>")
+    @F.pandas_udf("bins binary, amounts binary")
     def binned(batch: pd.Series) -> pd.DataFrame:
         made = [counts(t) for t in batch]
         bins = [np.flatnonzero(c) if c is not None else np.zeros(0, dtype=int) for c in made]
-        return pd.DataFrame({"bins": [b.astype(np.int32) for b in bins], "amounts": [c[b].astype(np.int32) if c is not None else b.astype(np.int32) for c, b in zip(made, bins, strict=True)]})
+        amounts = [c[b].astype(np.uint32).tobytes() if c is not None else b"" for c, b in zip(made, bins, strict=True)]
+        return pd.DataFrame({"bins": [b.astype(np.uint16).tobytes() for b in bins], "amounts": amounts})
 
     order = [F.col("place") / F.col("below"), F.col("place"), F.col("doc_id"), F.col("digest")]  # languages keep an even pace
     picked = known.join(F.broadcast(limits), "lang").withColumn("place", place).filter("place <= below").withColumn("digest", F.xxhash64("text"))
@@ -150,7 +151,7 @@ def fitted(docs: DataFrame, max_rows: int = MAX_FIT_ROWS, max_total: int = MAX_F
     for r in found:
         if r["bins"] and len(samples[r["lang"]]) < rows:
             row = np.zeros(DIMENSIONS, dtype=np.float32)
-            row[r["bins"]] = r["amounts"]
+            row[np.frombuffer(r["bins"], dtype=np.uint16)] = np.frombuffer(r["amounts"], dtype=np.uint32)
             samples[r["lang"]].append(row)
     return fit({lang: some for lang, some in samples.items() if some})
 

@@ -32,8 +32,8 @@ from tributary.llm.pieces import MARK, MODEL_PATH, UNKNOWN, Pieces, load, words
 from tributary.llm.shared import kept, shared_value, small_batches
 
 LONG, PART, SECTION = 48, 1024, 1 << 20
-#: Bytes of words and their encodings that a worker keeps, and what an entry takes besides its characters.
-KNOWN_BYTES, ENTRY_BYTES = 200_000_000, 230
+#: Bytes of words and their encodings that a worker keeps, in two generations, and what an entry takes besides its characters.
+KNOWN_BYTES, ENTRY_BYTES = 100_000_000, 230
 #: Arrow batches that are encoded at once.
 BATCHES = 4
 #: Words that advance together at most.
@@ -44,7 +44,7 @@ def _packed(ids: list[int]) -> bytes:
 
 class Codec:
     def __init__(self, pieces: Pieces) -> None:
-        self.pieces, self.forward, self.known, self.held = pieces, Forward(pieces), {}, 0
+        self.pieces, self.forward, self.known, self.old, self.held = pieces, Forward(pieces), {}, {}, 0
 
     def _viterbi(self, some: list[str]) -> list[bytes]:
         """Encodings of sorted, distinct words of one length, as bytes of 32-bit ids."""
@@ -116,10 +116,14 @@ class Codec:
 
     def encode_batch(self, texts: list[str | None]) -> list[np.ndarray | None]:
         split = [words(t) if isinstance(t, str) else None for t in texts]
-        if self.held > KNOWN_BYTES:
-            self.known, self.held = {}, 0
+        if self.held > KNOWN_BYTES // 2:  # words that are met again are carried over from the generation before
+            self.old, self.known, self.held = self.known, {}, 0
+        new = set().union(*(s for s in split if s)).difference(self.known)
+        again = {w: self.old[w] for w in new if w in self.old}
+        self.known |= again
+        self.held += sum(len(w) + len(ids) for w, ids in again.items()) + ENTRY_BYTES * len(again)
         plain, others = set(), set()
-        for w in set().union(*(s for s in split if s)).difference(self.known):  # most words have one mark and are short
+        for w in new.difference(again):  # most words have one mark and are short
             (plain if len(w) <= LONG and w[0] == MARK and w[1:2] not in ("", MARK) else others).add(w)
         plain |= {MARK + body for w in others if (body := w.lstrip(MARK)) and len(body) < LONG and w[0] == MARK}
         new = self._encoded(plain.difference(self.known))

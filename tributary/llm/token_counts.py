@@ -7,7 +7,7 @@ tributary.llm.pieces for why the forward value is the last piece and not a sum o
 
 Memory. A trie holds at most TOGETHER pre-tokens of at most LONG characters. Longer ones are cut where no piece holds the two characters
 that meet, section by section. A part that is still over LONG characters isn't inserted: its forward values are computed in a row, with only
-as many kept as the longest piece has characters. Terminals are forgotten when they take KNOWN_BYTES, which changes no count.
+as many kept as the longest piece has characters. Terminals that aren't met again are forgotten when KNOWN_BYTES are taken, which changes no count.
 
 Defined results. Null and empty texts have 0 tokens. Characters without a piece count one token for each UTF-8 byte.
 A word of many megabytes is counted whole. Repeated rows get equal counts; no rows give no rows. Only doc_id and text are read.
@@ -33,8 +33,8 @@ LONG, SECTION = 48, 1 << 20
 BATCHES = 4
 #: Pre-tokens of one trie.
 TOGETHER = 20_000
-#: Bytes of pre-tokens and counts that a worker keeps, and what an entry takes besides its characters.
-KNOWN_BYTES, ENTRY_BYTES = 200_000_000, 160
+#: Bytes of pre-tokens and counts that a worker keeps, in two generations, and what an entry takes besides its characters.
+KNOWN_BYTES, ENTRY_BYTES = 100_000_000, 160
 
 
 class CountTrie:
@@ -43,6 +43,7 @@ class CountTrie:
     def __init__(self, pieces: Pieces, known_bytes: int = KNOWN_BYTES) -> None:
         self.pieces, self.forward, self.known_bytes = pieces, Forward(pieces), known_bytes
         self.terminals: dict[str, int] = {}
+        self.old: dict[str, int] = {}
         self.held = 0
 
     def inserted(self, parts: set[str]) -> dict[str, int]:
@@ -95,10 +96,14 @@ class CountTrie:
 
     def totals(self, texts: list[str | None]) -> list[int]:
         """Counts of whole texts."""
-        if self.held > self.known_bytes:
-            self.terminals, self.held = {}, 0
+        if self.held > self.known_bytes // 2:  # pre-tokens that are met again are carried over from the generation before
+            self.old, self.terminals, self.held = self.terminals, {}, 0
         split = [words(t) if isinstance(t, str) else [] for t in texts]
         new = set().union(*split).difference(self.terminals)
+        again = {w: self.old[w] for w in new if w in self.old}
+        self.terminals |= again
+        self.held += sum(map(len, again)) + ENTRY_BYTES * len(again)
+        new.difference_update(again)
         self.learn(new)
         rare = {w: self.count(w) for w in new if w not in self.terminals}
         if rare:
