@@ -184,6 +184,23 @@ def test_safetensors_in_ranges(spark, tmp_path):
     assert [r.target for r in rows] == list(range(1000)) and rows[7].features == x[7].ravel().tolist() and rows[0].shape == [2, 2]
 
 
+def test_scores_equal_the_sum_of_the_trees(spark):
+    from pyspark.ml.linalg import Vectors
+
+    from tributary.operators import model
+
+    rng = random.Random(11)
+    rows = [(i, rng.random(), rng.random()) for i in range(300)]
+    df = spark.createDataFrame([(i, a, b, int(a + b + rng.gauss(0, 0.2) > 1)) for i, a, b in rows], "key long, a double, b double, y int")
+    fitted = model.gbt_baseline(df.filter("key % 3 > 0"), ["a", "b"], "y", trees=4, depth=2)
+    table = model.score_table(fitted, df.filter("key % 3 = 0"), ["a", "b"], "key", "y").collect()
+    truth = {r.key: r for r in df.collect()}
+    assert sorted(r.id for r in table) == [i for i, *_ in rows if i % 3 == 0]
+    for r in table:
+        margin = sum(w * t.predict(Vectors.dense(truth[r.id].a, truth[r.id].b)) for w, t in zip(fitted.treeWeights, fitted.trees, strict=True))
+        assert r.label == truth[r.id].y and r.score == pytest.approx(1 / (1 + np.exp(-2 * margin)))
+
+
 def test_settings_of_the_session_stay(spark, tmp_path):
     (tmp_path / "x.csv").write_text("a,b\n1,2\n3\n")
     before = spark.conf.get("spark.sql.csv.parser.columnPruning.enabled")
