@@ -111,8 +111,9 @@ ORACLE_SQL = {
             SELECT row_number() OVER () AS r, doc_id,
                    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') AS w
             FROM documents),
-        starts AS (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM t),
-        places AS (SELECT r, i - 1 AS start, label FROM starts JOIN phrases ON array_to_string(w[i:i + k - 1], ' ') = phrase),
+        holding AS (SELECT r, w, phrase, k, label FROM t JOIN phrases ON contains(' ' || array_to_string(w, ' ') || ' ', ' ' || phrase || ' ')),
+        starts AS (SELECT *, unnest(range(1, len(w) + 1)) AS i FROM holding),
+        places AS (SELECT r, i - 1 AS start, label FROM starts WHERE array_to_string(w[i:i + k - 1], ' ') = phrase),
         base AS (SELECT r, count(*) AS n_base, min(start) AS first_word, max(start) AS last_word, list(DISTINCT label) AS base FROM places GROUP BY r),
         blocks AS (
             SELECT r, b, unnest(list_distinct(w[b * {license_scan.STEP} + 1:b * {license_scan.STEP} + {license_scan.BLOCK}])) AS word
