@@ -1,6 +1,7 @@
 """Candidates and features of the secret scan against a plain reading of its rules, and the quality of its verdicts."""
 
 import re
+import time
 
 import pytest
 
@@ -60,3 +61,21 @@ def test_shape_decides_what_context_only_labels(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     quality = secret_scan.held_out_quality(docs)
     assert quality["candidates"] > 20 and quality["precision"] >= 0.8 and quality["recall"] >= 0.8
+
+
+@pytest.mark.parametrize(("piece", "many"), [("key", 0), ("eyJ", 1), ("key.", 0), ("authKEY-", 1), ("eyJaaaaaaaaaaaaaaaa.", 1), ("passwd=", 1), ("bearer ", 1)])
+def test_words_of_megabytes_made_of_beginnings(spark, piece, many):
+    """Read in time that grows with the word, not with its square."""
+    text = piece * (2_000_000 // len(piece))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    began = time.perf_counter()
+    assert (secret_scan.candidates(docs).count() > 0) == bool(many)
+    assert time.perf_counter() - began < 30
+
+
+def test_texts_that_are_passed_over_hold_no_candidate(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rest = docs.filter(~secret_scan.may_hold_any(docs["text"]))
+    assert rest.count() > 0 and rest.filter(rest["text"].rlike(secret_scan.CANDIDATE)).count() == 0
+    made = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS) if t], "doc_id long, text string")
+    assert made.filter(~secret_scan.may_hold_any(made["text"])).filter(made["text"].rlike(secret_scan.CANDIDATE)).count() == 0

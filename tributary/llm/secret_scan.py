@@ -15,13 +15,16 @@ the rule doesn't use, so it cannot learn the rule back: it learns what key words
 MAX_FIT_ROWS of either class, by hash, are used.
 
 Defined results. Candidates do not overlap within a text. Position is the 1-based number of the candidate in its text. The
-characters U+0001 and U+0002 count as blanks. Null and empty texts have no candidate. The result has one row per
+characters U+0001 and U+0002 count as blanks. A part of a web token of more than 4,000 characters has no format; such a token is a candidate as a run. Null and empty texts have no candidate. The result has one row per
 candidate, repeated rows of documents included. With findings of one class only, that class's share is the score of all; so it is without findings. A text of
 many megabytes, or one word of that size, is one row as any other. Only doc_id and text are read.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.ml import Model
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -43,10 +46,12 @@ CONTEXT_CHARS, NEIGHBOURS = 120, 3
 #: Provider formats, fixed by their issuers.
 FORMATS = [
     r"AKIA[0-9A-Z]{16}", r"gh[pousr]_[A-Za-z0-9]{36}", r"sk_live_[A-Za-z0-9]{24}", r"xox[abp]-[A-Za-z0-9-]{10,48}", r"AIza[A-Za-z0-9_-]{35}",
-    r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}", r"-----BEGIN (?:[A-Z0-9]{1,20} ){0,4}PRIVATE KEY(?: BLOCK)?-----",
+    r"eyJ(?<!eyJ[A-Za-z0-9_-]{0,40}eyJ)[A-Za-z0-9_-]{10,4000}+\.[A-Za-z0-9_-]{10,4000}+\.[A-Za-z0-9_-]{10,}", r"-----BEGIN (?:[A-Z0-9]{1,20} ){0,4}PRIVATE KEY(?: BLOCK)?-----",
 ]
 ANY_FORMAT = "|".join(FORMATS)
-KEY_WORD = r"(?:key|token|secret|passw|pwd|credential|auth|bearer)[\w.\-]*"
+KEY_WORDS = ["key", "token", "secret", "passw", "pwd", "credential", "auth", "bearer"]
+#: A run of name characters that holds a key word. It is tried at its first character only, and never given back, so that a word of megabytes is read once.
+KEY_WORD = rf"(?<![\w.\-])(?>[\w.\-]*?(?:{'|'.join(KEY_WORDS)}))[\w.\-]*+"
 #: What stands before a value: a key word with a sign of assignment, or with a quote right after it.
 PREFIX = rf"(?i:{KEY_WORD}[\"'`]?\s{{0,3}}(?:[:=]{{1,2}}>?)\s{{0,3}}(?:(?:bearer|basic)\s{{1,3}})?[\"'`]?|{KEY_WORD}\s{{1,3}}[\"'`]|\bbearer\s{{1,3}})"
 #: A value: up to the closing quote, else up to a blank or quote, without a full stop or bracket at its end.
@@ -60,9 +65,17 @@ CONTEXT = ["format", "key_word", "quoted"]
 _OPEN, _CLOSE = "\x01", "\x02"
 
 
+def may_hold_any(text: Column) -> Column:
+    """Whether a text has a key word, a run of LEAST characters, or the beginning of a format that may be shorter or hold blanks. All other texts have no candidate."""
+    lowered = F.lower(text)
+    short = [*KEY_WORDS, "xox", "-----begin"]
+    return reduce(or_, [F.contains(lowered, F.lit(w)) for w in short]) | text.rlike(f"{RUN_CLASS}{{{LEAST}}}")
+
+
 def candidates(docs: DataFrame) -> DataFrame:
     """doc_id, position, before, candidate, after. Each candidate is put between two marks, and the text is cut at these."""
     text = F.translate(F.coalesce(F.col("text").cast("string"), F.lit("")), _OPEN + _CLOSE, "  ")
+    docs = docs.filter(may_hold_any(F.col("text").cast("string")))
     marked = F.regexp_replace(text, CANDIDATE, f"$1{_OPEN}$2$3$4{_CLOSE}")  # groups that didn't take part are empty
 
     def each(parts: Column) -> Column:
