@@ -1,6 +1,7 @@
 """Quality classifier: compressed sizes under zstandard dictionaries of good and of bad text.
 
-Method. From the labelled rows a bounded sample of MAX_FIT_ROWS for each class is drawn by hash. Half of it trains two
+Method. From the labelled rows that have a document a bounded sample of MAX_FIT_ROWS for each class is drawn by a hash of doc_id and text. Of a sampled text over MAX_FIT_CHARS,
+pieces of PIECE_CHARS spread evenly from its beginning to its end are taken instead of the whole, so that labelled texts of any length are learned from. Half of the sample trains two
 zstandard dictionaries, one of good and one of bad texts; the other half calibrates. A text is cut into blocks of BLOCK
 bytes that together cover all of it, each block is compressed under either dictionary, and the difference of the summed
 sizes over the text's size is the raw score. A logistic curve, fitted on the second half and shifted to the share of
@@ -24,9 +25,10 @@ from pyspark.sql import functions as F
 
 from tributary.llm.shared import small_batches
 
-#: Bounds of the fit: sampled rows of each class, and the longest text (in code points) that may be sampled.
+#: Bounds of the fit: sampled rows of each class, and code points of a text; of a longer one, pieces are sampled.
 MAX_FIT_ROWS = 1500
 MAX_FIT_CHARS = 20_000
+PIECE_CHARS = 500
 DICTIONARY_BYTES = 30_000
 SAMPLE_BYTES = 512
 BLOCK = 256
@@ -112,16 +114,26 @@ def held_out(doc_id: Column | str) -> Column:
     return F.crc32(F.encode(F.col(doc_id).cast("string"), "UTF-8")) % 5 == 0
 
 
+def _bounded(text: Column, max_chars: int) -> Column:
+    """The text, or pieces of it that together have max_chars code points."""
+    pieces = max(1, max_chars // PIECE_CHARS)
+    gap = (F.char_length(text) - PIECE_CHARS) / max(1, pieces - 1)
+    spread = F.transform(F.sequence(F.lit(0), F.lit(pieces - 1)), lambda i: F.substring(text, F.floor(i * gap).cast("int") + 1, F.lit(PIECE_CHARS)))
+    return F.when(F.char_length(text) <= max_chars, text).otherwise(F.array_join(spread, ""))
+
+
 def fitted(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS, max_chars: int = MAX_FIT_CHARS) -> Model:
-    """Fit on at most max_rows labelled documents of each class, none longer than max_chars and none held out."""
+    """Fit on at most max_rows labelled documents of each class, max_chars of each, none held out."""
     known = labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out("doc_id")).select("doc_id", F.col("quality").cast("int").alias("quality"))
     n = {r["quality"]: r["count"] for r in known.groupBy("quality").count().collect()}
-    # twice the bound of ids, a table of known size, as some of these rows may be missing or too long; texts are read once
-    by_hash = [F.xxhash64("doc_id"), F.col("doc_id")]
-    ids = [known.filter(F.col("quality") == v).orderBy(*by_hash).limit(2 * max_rows) for v in (0, 1)]
-    texts = docs.select("doc_id", "text").filter(F.char_length("text") <= max_chars)
-    found = texts.join(F.broadcast(ids[0].unionByName(ids[1])), "doc_id").orderBy(*by_hash, "text", "quality").limit(4 * max_rows).collect()
-    sample = [(r["text"], v) for v in (0, 1) for r in [r for r in found if r["quality"] == v][:max_rows]]
+    written_of = docs.filter(F.col("text") != "").select("doc_id").distinct()
+    there = known.join(written_of, "doc_id", "left_semi")
+    texts, sides = docs.select("doc_id", "text").filter(F.col("text") != ""), []
+    for v in (0, 1):
+        ids = there.filter(F.col("quality") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)  # a table of known size
+        drawn = texts.join(F.broadcast(ids), "doc_id").select("quality", "doc_id", F.xxhash64("doc_id", "text").alias("h"), _bounded(F.col("text"), max_chars).alias("text"))
+        sides.append(drawn.orderBy("h", "doc_id", "text").limit(max_rows))
+    sample = [(r["text"], r["quality"]) for r in sides[0].unionByName(sides[1]).collect()]
     return fit([t for t, _ in sample], [v for _, v in sample], (n.get(1, 0) + 1) / (sum(n.values()) + 2))
 
 
