@@ -3,6 +3,7 @@
 import random
 import zlib
 
+import pytest
 from pyspark.sql import functions as F
 
 from tributary.llm import language_id
@@ -46,3 +47,25 @@ def test_held_out_accuracy(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     got = language_id.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").filter("held_out AND lang_pred <> 'und'")
     assert got.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0] >= 0.95
+
+
+def test_languages_whose_rows_share_one_doc_id(spark):
+    rows = [(8, f"{word} {i} {word}{'x' * (i % 7)}", lang) for lang, word in (("de", "straße"), ("en", "river")) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert not docs.filter(language_id.held_out("doc_id")).count()
+    assert {r.lang_pred for r in language_id.identify(docs).collect()} == {"de", "en"}
+
+
+def test_a_language_that_the_draw_passes_over(spark, monkeypatch):
+    """With one row a language and copies of one text, the hash may be above every limit; the language is learned all the same."""
+    monkeypatch.setattr(language_id, "MAX_FIT_TOTAL", 1)
+    rows = [(8, f"{chr(0x4E00 + k)}{chr(0x4E01 + k)} {chr(0x4E02 + k)}", f"l{k}") for k in range(0, 400, 10) for _ in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert language_id.fitted(docs).languages == sorted({r[2] for r in rows})
+
+
+def test_too_many_languages_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "MAX_LANGUAGES", 3)
+    docs = spark.createDataFrame([(8, "word", f"l{k}") for k in range(4)], "doc_id long, text string, lang string")
+    with pytest.raises(ValueError, match="languages"):
+        language_id.identify(docs)

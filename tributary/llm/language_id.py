@@ -6,8 +6,9 @@ For each language a few centroids are clustered from a bounded sample (spherical
 centroid with the largest cosine. Below the REJECT_QUANTILE quantile of the cosines that the winning language's sample texts
 have with their own centroid the row is marked as rejected; lang_pred then still names the nearest language.
 
-Every language that has a labelled text with a letter is learned, however many there are: with many, fewer rows of each are
-sampled, one at least. Texts of any length are sampled whole, as their bin counts are taken in tasks and only these come to
+Every language that has a labelled text with a letter is learned, up to MAX_LANGUAGES, past which an error is raised: with many, fewer rows of each are
+sampled, one at least. Rows are drawn by a hash of doc_id and text, so that rows that share one doc_id are drawn one by one; of a language that the draw passes over, the
+row with the smallest hash is taken. Texts of any length are sampled whole, as their bin counts are taken in tasks and only these come to
 the driver. The model is a table of CENTROIDS x DIMENSIONS numbers (96 kB) for each language.
 
 Defined results. A letter is a character of Unicode category L. A null text, or one without a letter, gets `und` with score 0,
@@ -33,6 +34,8 @@ from tributary.llm.shared import shared_value, small_batches
 #: Bounds of the fit: sampled rows of each language, and of all unless there are more languages than that.
 MAX_FIT_ROWS = 800
 MAX_FIT_TOTAL = 4000
+#: The model is 96 kB a language.
+MAX_LANGUAGES = 1000
 DIMENSIONS = 8192
 CENTROIDS = 3
 REJECT_QUANTILE = 0.01
@@ -128,14 +131,16 @@ def held_out(doc_id: Column | str) -> Column:
 def fitted(docs: DataFrame, max_rows: int = MAX_FIT_ROWS, max_total: int = MAX_FIT_TOTAL) -> Model:
     """Fit on at most max_rows documents of each language and max_total of all (or one of each language), none held out."""
     known = docs.select("doc_id", "text", "lang").filter(F.col("lang").isNotNull() & ~held_out("doc_id") & F.col("text").rlike(r"\p{L}"))
-    n = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    n = {r["lang"]: r["count"] for r in known.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()}
+    if len(n) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
     if not n:
         return fit({})
     rows = max(1, min(max_rows, max_total // len(n)))
     # a hash limit for each language, above what is needed, picks the sample in one reading of the texts
     top = 2**63 - 1
     limits = docs.sparkSession.createDataFrame([(lang, min(top, int((1.2 * rows + 20) / count * top))) for lang, count in n.items()], "lang string, below long")
-    place = F.xxhash64("doc_id").bitwiseAND(F.lit(top))
+    place = F.xxhash64("doc_id", "text").bitwiseAND(F.lit(top))
 
     @F.pandas_udf("bins binary, amounts binary")
     def binned(batch: pd.Series) -> pd.DataFrame:
@@ -147,6 +152,9 @@ def fitted(docs: DataFrame, max_rows: int = MAX_FIT_ROWS, max_total: int = MAX_F
     order = [F.col("place") / F.col("below"), F.col("place"), F.col("doc_id"), F.col("digest")]  # languages keep an even pace
     picked = known.join(F.broadcast(limits), "lang").withColumn("place", place).filter("place <= below").withColumn("digest", F.xxhash64("text"))
     found = picked.select("lang", "doc_id", "place", "below", "digest", binned("text").alias("c")).orderBy(*order).limit(3 * rows * len(n)).select("lang", "c.*").collect()
+    if passed_over := sorted(set(n) - {r["lang"] for r in found}):
+        first = known.filter(F.col("lang").isin(passed_over)).groupBy("lang").agg(F.min_by("text", F.struct(place, "doc_id")).alias("text"))
+        found += first.select("lang", binned("text").alias("c")).select("lang", "c.*").collect()
     samples: dict[str, list[np.ndarray]] = defaultdict(list)
     for r in found:
         if r["bins"] and len(samples[r["lang"]]) < rows:
