@@ -5,10 +5,12 @@ from __future__ import annotations
 import re
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tributary.functions.columns import base_name, filled_pattern, strip_affixes
 from tributary.operators.deidentify import EMPTY_HASH
+from tributary.plans.lineage import saved
 
 _FORBIDDEN = {"insert", "update", "delete", "drop", "alter", "create", "truncate", "merge", "grant", "revoke", "replace", "call", "set", "use", "load", "cache", "uncache", "refresh"}
 
@@ -34,31 +36,74 @@ def query_guard(query: str) -> str:
 
 def refuse_products(df: DataFrame) -> DataFrame:
     """`df`, unless it joins two tables without an equality between them: then every row of one would meet every row of the other."""
-    plan = df._jdf.queryExecution().sparkPlan().toString()
-    if re.search(r"CartesianProduct|BroadcastNestedLoopJoin", plan):
-        raise ValueError("a join without a condition of equality between its sides")
+    for node in _nodes(df._jdf.queryExecution().sparkPlan()):
+        if node.nodeName() in ("CartesianProduct", "BroadcastNestedLoopJoin"):
+            raise ValueError("a join without a condition of equality between its sides")
     return df
 
 
-#: Leaves of an analysed plan that read something.
-_READS = re.compile(r"^(Relation|LogicalRDD|HiveTableRelation|InMemoryRelation|DataSourceV2|StreamingRelation|UnresolvedRelation|LogicalQueryStage)")
+#: What an analysed query may be made of: names of Catalyst's logical operators.
+NODES = {
+    "Project", "Filter", "Join", "LateralJoin", "Aggregate", "Window", "Sort", "Distinct", "Deduplicate", "Union", "Intersect", "Except", "SubqueryAlias", "View", "GlobalLimit", "LocalLimit", "Limit", "Offset", "Tail",
+    "WithCTE", "CTERelationDef", "CTERelationRef", "UnionLoop", "UnionLoopRef", "LocalRelation", "OneRowRelation", "Generate", "Expand", "Pivot", "Unpivot", "Sample", "ResolvedHint", "UnresolvedHint", "SubqueryColumnAliases", "Range",
+}
+#: And the packages that its expressions come from; functions of the session's users and of Java live elsewhere, or are named below.
+EXPRESSIONS = re.compile(r"^org\.apache\.spark\.sql\.catalyst\.(expressions|analysis)\.")
+#: Expressions of those packages that call code by its name, run code of a user, or tell of the machine and its files.
+CALLS = re.compile(
+    r"Reflection|Reflect|^(Try)?Invoke$|^StaticInvoke$|UDF|UDAF|^Python|UserDefined|^TypedFilter|^MapObjects|^NewInstance|^Unresolved|^InputFile|^Current(User|Catalog|Database)|^SparkVersion|^Version"
+)
+
+
+def _each(seq):
+    """The elements of a Scala sequence."""
+    found = seq.iterator()
+    while found.hasNext():
+        yield found.next()
+
+
+def _nodes(plan):
+    """A plan's nodes, those of its subqueries and inner plans among them."""
+    open_ = [plan]
+    while open_:
+        node = open_.pop()
+        yield node
+        open_ += [*_each(node.children()), *_each(node.subqueries())]
+
+
+def _short(node) -> str:
+    return node.getClass().getName().rsplit(".", 1)[-1]
+
+
+def _refuse_calls(expression) -> None:
+    """Walk an expression down to its leaves. What a function of SQL is made of (its replacement) is Spark's own choice and isn't looked at, but its arguments are."""
+    open_ = [expression]
+    while open_:
+        e = open_.pop()
+        name = e.getClass().getName()
+        if not EXPRESSIONS.match(name) or CALLS.search(name.rsplit(".", 1)[-1]):
+            raise ValueError(f"a query may not call into the JVM or a user's code: {name.rsplit('.', 1)[-1]}")
+        open_ += list(_each(e.children()))
 
 
 def refuse_foreign(df: DataFrame, views: list[str]) -> DataFrame:
-    """`df`, unless its analysed plan reads anything but the given views (other tables, files named by path) or calls into the JVM."""
-    above: list[tuple[int, bool]] = []  # depth of each node on the way down, and whether it stands inside one of the views
-    for line in df._jdf.queryExecution().analyzed().toString().splitlines():
-        depth = re.match(r"[\s:+\-|]*", line).end()
-        while above and above[-1][0] >= depth:
-            above.pop()
-        node = line[depth:]
-        view = re.match(r"View \(`?([^`,]+)`?", node)
-        inside = bool(above and above[-1][1]) or bool(view and view.group(1) in views)
-        if _READS.match(node) and not inside:
-            raise ValueError("a query may read the tables of its own run only")
-        if not inside and re.search(r"\b(?:try_)?reflect\(|\bjava_method\(", node):
-            raise ValueError("a query may not call into the JVM")
-        above.append((depth, inside))
+    """`df`, unless its analysed plan holds something other than NODES over the given views (other tables, files named by path, commands), or calls into the JVM.
+
+    The tree itself is walked, with all expressions of a node and the plans of its subqueries. What stands below one of the views was made by the caller and isn't looked at.
+    """
+    open_ = [df._jdf.queryExecution().analyzed()]
+    while open_:
+        node = open_.pop()
+        name = _short(node)
+        if name == "View" and node.desc().identifier().table() in views:
+            continue
+        if name not in NODES:
+            raise ValueError(f"a query may read the tables of its own run only, and may not hold {name}")
+        for e in _each(node.expressions()):
+            _refuse_calls(e)
+        open_ += [*_each(node.children()), *_each(node.subqueries())]
+        if name == "WithCTE":
+            open_ += list(_each(node.cteDefs()))
     return df
 
 
@@ -128,6 +173,41 @@ def inner_link(tables: list[DataFrame], key: str) -> DataFrame:
     return out
 
 
+#: Pairs of rows that one task makes of a key, and hot keys that are dealt out, the hottest first, as their table is broadcast.
+PAIRS_A_TASK, HOT_KEYS = 4_000_000, 100_000
+
+
+def hot_keys(left: DataFrame, right: DataFrame, key: str, pairs_a_task: int = PAIRS_A_TASK) -> DataFrame:
+    """key, left_blocks, right_blocks: keys that would give more pairs than that, and into how many blocks the rows of either side are cut.
+
+    Blocks of either side hold about as many rows, so no pair of blocks gives more pairs than that.
+    """
+    n, m = (df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias(name)) for df, name in ((left, "n"), (right, "m")))
+    both = n.join(m, key).withColumn("pairs", F.col("n").cast("double") * F.col("m")).filter(F.col("pairs") > pairs_a_task)
+    blocks = lambda c: F.greatest(F.ceil(F.col(c) / float(pairs_a_task) ** 0.5), F.lit(1)).cast("int")
+    return both.orderBy(F.desc("pairs"), key).limit(HOT_KEYS).select(key, blocks("n").alias("left_blocks"), blocks("m").alias("right_blocks"))
+
+
+def link_dealt(left: DataFrame, right: DataFrame, key: str, pairs_a_task: int = PAIRS_A_TASK) -> DataFrame:
+    """Inner equi-join whose hot keys are dealt out block against block.
+
+    Keys are counted on both sides first. A row of a hot key goes to one block of its side, by a hash of its columns, and meets every block of the other side: (block, block) is
+    part of the join key, so the pairs of one key are made by many tasks, each pair once. Rows of other keys are in block 0 and stay as they are. Equal rows share a block.
+    Beyond HOT_KEYS hot keys the coolest of them aren't cut, and still join.
+    """
+    hot = F.broadcast(saved(hot_keys(left, right, key, pairs_a_task)))
+    both = ("left_blocks", "right_blocks")
+
+    def side(df: DataFrame, own: str, other: str, own_at: str, other_at: str) -> DataFrame:
+        known = df.join(hot, key, "left")
+        block = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.coalesce(own, F.lit(1))).cast("int")
+        meets = F.sequence(F.lit(0), F.coalesce(other, F.lit(1)) - 1)
+        return known.withColumn(own_at, block).withColumn(other_at, F.explode(meets)).drop(*both)
+
+    one, two = side(left, *both, "__i", "__j"), side(right, *both[::-1], "__j", "__i")
+    return one.join(two, [key, "__i", "__j"]).drop("__i", "__j")
+
+
 def left_star(base: DataFrame, others: list[DataFrame], key: str) -> DataFrame:
     """The base with each other table attached on the key; of columns with one name the leftmost stays."""
     out, seen = base, set(base.columns)
@@ -188,13 +268,56 @@ def directory_union(files: DataFrame, providers: list[str]) -> DataFrame:
     return first_wins(files.withColumn("priority", rank).filter("priority > 0"), "relative_path", "priority")
 
 
-def pair_files(files: DataFrame, folder_pattern: str, input_suffix: str, target_suffix: str) -> DataFrame:
-    """files (path): folder, id, input_path, target_path where both files of an id exist in a matching folder."""
-    name = F.regexp_extract("path", r"([^/]*)$", 1)
-    folder = F.regexp_extract("path", r"([^/]*)/[^/]*$", 1)
-    own = files.withColumns({"folder": folder, "name": name}).filter(F.col("folder").rlike("^" + folder_pattern + "$"))
+_GLOB = re.compile(r"\*|\?|\[!?[^\]]+\]|\{id\}")
+
+
+def _pieces(pattern: str) -> list[str]:
+    """A pattern cut into wildcards and the texts between them."""
+    out, at = [], 0
+    for m in _GLOB.finditer(pattern):
+        out += [pattern[at : m.start()], m.group()]
+        at = m.end()
+    return [x for x in [*out, pattern[at:]] if x]
 
-    def side(suffix: str, as_name: str) -> DataFrame:
-        return own.filter(F.col("name").endswith(suffix)).select("folder", F.expr(f"left(name, length(name) - {len(suffix)})").alias("id"), F.col("path").alias(as_name))
 
-    return side(input_suffix, "input_path").join(side(target_suffix, "target_path"), ["folder", "id"])
+def _one_name(piece: str) -> str | None:
+    """A wildcard within a name as a regular expression; None for texts, `*` and {id}."""
+    if piece == "?":
+        return "[^/]"
+    if piece.startswith("[") and piece.endswith("]") and len(piece) > 2:
+        return "[^/" + re.sub(r"([\\\[&^])", r"\\\1", piece[2:-1]) + "]" if piece[1] == "!" else "[" + re.sub(r"([\\\[&^])", r"\\\1", piece[1:-1]) + "]"
+    return None
+
+
+def glob_regex(pattern: str) -> str:
+    """An anchored regular expression for a glob over one or more names of a path: *, ?, [abc], [!abc]."""
+    return "^" + "".join("[^/]*" if x == "*" else _one_name(x) or re.escape(x) for x in _pieces(pattern)) + "$"
+
+
+def _name_regex(pattern: str, folder: Column) -> Column:
+    """For each row, an anchored regular expression for a file name: `*` stands for the folder's name, {id} for any text, captured."""
+    quoted = F.regexp_replace(folder, r"([^\p{L}\p{N}_])", r"\\$1")
+    parts = [quoted if x == "*" else F.lit("([^/]*)") if x == "{id}" else F.lit(_one_name(x) or re.escape(x)) for x in _pieces(pattern)]
+    return F.concat(F.lit("(?s)^"), *parts, F.lit("$"))
+
+
+def pair_files(files: DataFrame, folder_pattern: str, input_pattern: str, target_pattern: str, remove_prefix: str = "", remove_suffix: str = "") -> DataFrame:
+    """files (path): folder, id, input_path, target_path of each input whose target exists in the same folder.
+
+    folder_pattern is a glob over the folder's name (or its last names, if it holds slashes). In the file patterns `*` is the folder's name and {id} the identifier; `?` and
+    [abc] stand for one character of an input's name. The identifier is what {id} matches in the input's name; without {id} there, it is the whole name without the texts
+    remove_prefix and remove_suffix. The target's whole name is the target pattern with both filled in, and joined as text: characters that
+    mean something in regular expressions stand for themselves.
+    """
+    if input_pattern.count("{id}") > 1:
+        raise ValueError("one {id} in an input's pattern")
+    depth = folder_pattern.count("/") + 1
+    place = F.regexp_extract("path", r"(?s)^(.*)/[^/]*$", 1)
+    own = files.select("path", base_name(F.col("path")).alias("name"), place.alias("place")).withColumn("folder", base_name(F.col("place")))
+    own = own.filter(F.substring_index("place", "/", -depth).rlike(glob_regex(folder_pattern)))
+    pattern = _name_regex(input_pattern, F.col("folder"))
+    inputs = own.withColumn("__pattern", pattern).filter(F.expr("name rlike __pattern"))
+    identifier = F.expr("regexp_extract(name, __pattern, 1)") if "{id}" in input_pattern else strip_affixes(F.col("name"), remove_prefix, remove_suffix)
+    asked = inputs.select("place", "folder", identifier.alias("id"), F.col("path").alias("input_path"))
+    asked = asked.withColumn("name", filled_pattern(target_pattern, F.col("folder"), F.col("id")))
+    return asked.join(own.select("place", "name", F.col("path").alias("target_path")), ["place", "name"]).select("folder", "id", "input_path", "target_path")

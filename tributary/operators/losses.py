@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ast
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -67,9 +68,95 @@ def composed_loss(expression: str, parts: dict[str, Column]) -> Column:
     return column(ast.parse(expression, mode="eval"))
 
 
-def test_loss(df: DataFrame, loss: Column, reduction: str = "mean") -> DataFrame:
-    """loss over the rows, `mean` or `sum`: every row weighs the same, whatever batches it was scored in."""
-    return df.agg((F.avg if reduction == "mean" else F.sum)(loss).alias("loss"))
+@dataclass(frozen=True)
+class Loss:
+    """A loss of each row (level "row"), or of all rows together (level "set": `value` is an aggregate)."""
+
+    value: Column
+    level: str = "row"
+
+
+def soft_dice_of_set(p: Column, y: Column, epsilon: float = DICE_EPSILON) -> Loss:
+    """1 - (2 sum(py) + e) / (sum(p^2) + sum(y^2) + e) over all rows."""
+    total = lambda x: F.coalesce(F.sum(x.cast("double")), F.lit(0.0))
+    return Loss(1 - (2 * total(p * y) + epsilon) / (total(p * p) + total(y * y) + epsilon), "set")
+
+
+class _Terms:
+    """A value of two levels: const + sum of factor * row, const and factors over all rows, each row a column of its own.
+
+    Its mean or sum over the rows is an expression over plain aggregates, so that all of a composed loss is one aggregate.
+    """
+
+    def __init__(self, const: Column, rows: list[tuple[Column, Column]]) -> None:
+        self.const, self.rows = const, rows
+
+    @property
+    def pure(self) -> bool:
+        return not self.rows
+
+    def times(self, factor: Column) -> _Terms:
+        return _Terms(self.const * factor, [(f * factor, r) for f, r in self.rows])
+
+    def plus(self, other: _Terms) -> _Terms:
+        return _Terms(self.const + other.const, self.rows + other.rows)
+
+    def reduced(self, how: str) -> Column:
+        rows = (lambda r: F.avg(r)) if how == "mean" else (lambda r: F.sum(r))
+        out = self.const if how == "mean" or self.pure else self.const * F.count("*")  # a number joins each row's sum
+        for factor, row in self.rows:
+            out = out + factor * rows(row)
+        return out
+
+
+def _two_levels(expression: str, parts: dict[str, Loss]) -> _Terms:
+    """The expression over losses of either level. Products, quotients and powers of losses of the rows with one another stay within the row; with losses of
+    the set they must be linear in the rows' losses."""
+
+    def own(node: ast.AST) -> str | None:
+        """row, set or None (numbers only): what a part of the expression is made of; "both" if mixed."""
+        levels = {parts[n.id].level for n in ast.walk(node) if isinstance(n, ast.Name) and n.id in parts} - {"number"}
+        return None if not levels else levels.pop() if len(levels) == 1 else "both"
+
+    def terms(node: ast.AST) -> _Terms:
+        if own(node) in ("row", "set", None):
+            column = composed_loss(ast.unparse(node), {k: v.value for k, v in parts.items()})
+            return _Terms(F.lit(0.0), [(F.lit(1.0), column)]) if own(node) == "row" else _Terms(column, [])
+        if isinstance(node, ast.UnaryOp) and isinstance(node.op, (ast.USub, ast.UAdd)):
+            return terms(node.operand).times(F.lit(-1.0 if isinstance(node.op, ast.USub) else 1.0))
+        if isinstance(node, ast.BinOp):
+            a, b = terms(node.left), terms(node.right)
+            if isinstance(node.op, (ast.Add, ast.Sub)):
+                return a.plus(b.times(F.lit(1.0 if isinstance(node.op, ast.Add) else -1.0)))
+            if isinstance(node.op, ast.Mult) and (a.pure or b.pure):
+                return b.times(a.const) if a.pure else a.times(b.const)
+            if isinstance(node.op, ast.Div) and b.pure:
+                return a.times(1 / b.const)
+        raise ValueError(f"not linear in the losses of the rows: {ast.unparse(node)[:80]}")
+
+    return terms(ast.parse(expression, mode="eval").body)
+
+
+def composed(config: dict, losses: dict[str, Loss]) -> Loss:
+    """A loss over all rows from {"expression", "components", "variables", "reduction"}.
+
+    A component is the name of a loss in `losses`, or such a dictionary again, whose result is a loss of the set. variables are numbers. What depends on rows is
+    reduced by reduction, `mean` (the default) or `sum`; what doesn't is left as it is. Nothing is computed here: all aggregates of a composed loss,
+    nested ones included, are those of one `agg`.
+    """
+    parts = {name: losses[c] if isinstance(c, str) else composed(c, losses) for name, c in config.get("components", {}).items()}
+    parts |= {k: Loss(F.lit(float(v)), "number") for k, v in config.get("variables", {}).items()}
+    how = config.get("reduction", "mean")
+    if how not in ("mean", "sum"):
+        raise ValueError(f"unknown reduction: {how}")
+    return Loss(_two_levels(config["expression"], parts).reduced(how), "set")
+
+
+def test_loss(df: DataFrame, loss: Column | Loss, reduction: str = "mean") -> DataFrame:
+    """loss over the rows, `mean` or `sum`: every row weighs the same, whatever batches it was scored in. A loss of the set is taken as it is."""
+    if isinstance(loss, Loss) and loss.level == "set":
+        return df.agg(loss.value.alias("loss"))
+    return df.agg((F.avg if reduction == "mean" else F.sum)(loss.value if isinstance(loss, Loss) else loss).alias("loss"))
 
 
 test_loss.__test__ = False  # not a test, whatever its name looks like

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from tributary.operators.rank import running_sums
-from tributary.plans.lineage import saved
+from tributary.operators.rank import PART, by_range, running_sums
+from tributary.plans.lineage import saved, shared_folder
 
 #: Classes of which a full grid of pairs is made.
 MAX_GRID = 1000
@@ -154,14 +155,32 @@ def roc_auc_multiclass(df: DataFrame, multi_class: str = "ovr") -> DataFrame:
     return aucs.agg(F.avg(F.col("won") / (F.col("p") * F.col("n"))).alias("roc_auc"))
 
 
-def roc_curve(df: DataFrame) -> DataFrame:
-    """fpr, tpr, threshold for every score, and (0, 0, infinity)."""
-    points = by_score(df)
-    total = points.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
+def roc_curve(df: DataFrame, drop_collinear: bool = False) -> DataFrame:
+    """fpr, tpr, threshold for every score, and (0, 0, infinity).
+
+    drop_collinear: without the points that lie between their neighbours on a line, in equal steps. A point stays if the step to it differs from the step after it, so
+    each score needs its neighbour only: within a range by a window, across a range's border by the first score of the next range, one row a range.
+    """
+    points = corners(df) if drop_collinear else by_score(df)
+    total = df.agg(F.coalesce(F.sum((F.col("label") == 1).cast("long")), F.lit(0)).alias("p"), F.coalesce(F.sum((F.col("label") != 1).cast("long")), F.lit(0)).alias("n"))
     curve = points.join(F.broadcast(total)).select(_ratio(F.col("fp"), F.col("n")).alias("fpr"), _ratio(F.col("tp"), F.col("p")).alias("tpr"), F.col("score").alias("threshold"))
     return curve.union(total.select(F.lit(0.0), F.lit(0.0), F.lit(float("inf"))))
 
 
+def corners(df: DataFrame) -> DataFrame:
+    """The rows of by_score without those whose step (pos, neg) is that of the next lower score; the last stays."""
+    order = [-F.col("score")]
+    dealt = saved(by_range(by_score(df), order))
+    following = F.lead(F.struct("pos", "neg")).over(Window.partitionBy(PART).orderBy(*order))
+    heads = dealt.groupBy(PART).agg(F.max_by(F.struct("pos", "neg"), "score").alias("head")).collect()  # one row for each range
+    after, later = [], None
+    for row in sorted(heads, key=lambda r: -r[PART]):
+        after.append((row[PART], later))
+        later = (row["head"]["pos"], row["head"]["neg"])
+    entering = df.sparkSession.createDataFrame(after, f"{PART} int, __after struct<pos:long,neg:long>")
+    return dealt.withColumn("__next", following).join(F.broadcast(entering), PART).filter(F.coalesce("__next", "__after").isNull() | (F.struct("pos", "neg") != F.coalesce("__next", "__after"))).drop("__next", "__after", PART)
+
+
 def precision_recall_curve(df: DataFrame) -> DataFrame:
     """precision, recall, threshold for every score, and (1, 0, NULL)."""
     points = by_score(df)
@@ -194,31 +213,76 @@ def segmentation(df: DataFrame, threshold: float = 0.5) -> DataFrame:
     return sums.select((2.0 * F.col("both") / (F.col("p") + F.col("t") + 1e-6)).alias("dice_score"), _ratio(F.col("both"), union).alias("jaccard_index"))
 
 
+def nearest_squared(mask: np.ndarray) -> np.ndarray:
+    """For each cell the exact squared distance to the nearest cell that is set, in a mask of any number of axes with a cell set.
+
+    One axis at a time: along the last by running maxima, along each other by the lower envelope of parabolas, all lines of the axis at once. Work grows with the cells.
+    """
+    n = mask.shape[-1]
+    place, far = np.arange(n), 2 * sum(mask.shape)
+    before = np.maximum.accumulate(np.where(mask, place, -far), axis=-1)
+    after = np.minimum.accumulate(np.where(mask, place, n + far)[..., ::-1], axis=-1)[..., ::-1]
+    squared = np.minimum(np.minimum(place - before, after - place), far).astype(np.int64) ** 2
+    for axis in range(mask.ndim - 2, -1, -1):
+        lines = np.moveaxis(squared, axis, 0)
+        squared = np.moveaxis(_envelope(lines.reshape(lines.shape[0], -1)).reshape(lines.shape), 0, axis)
+    return squared
+
+
+def _envelope(f: np.ndarray) -> np.ndarray:
+    """min over i of (u - i)^2 + f[i] for each u down the first axis, for all columns at once, in whole numbers."""
+    n, m = f.shape
+    vertex, begin = np.zeros((n, m), dtype=np.int64), np.zeros((n, m), dtype=np.int64)  # parabolas of each column's envelope, and where each begins to be lowest
+    top, column = np.zeros(m, dtype=np.int64), np.arange(m)
+    for u in range(1, n):
+        open_ = column
+        while len(open_):  # parabolas that the new one hides from their own beginning on
+            i, t = vertex[top[open_], open_], begin[top[open_], open_]
+            open_ = open_[(t - i) ** 2 + f[i, open_] > (t - u) ** 2 + f[u, open_]]
+            top[open_] -= 1
+            open_ = open_[top[open_] >= 0]
+        empty = top < 0
+        top[empty] = 0
+        vertex[0, empty] = u
+        c = column[~empty]
+        i = vertex[top[c], c]
+        lowest_from = 1 + (u * u - i * i + f[u, c] - f[i, c]) // (2 * (u - i))
+        fits = lowest_from < n
+        c = c[fits]
+        top[c] += 1
+        vertex[top[c], c], begin[top[c], c] = u, lowest_from[fits]
+    out = np.empty_like(f)
+    for u in range(n - 1, -1, -1):
+        i = vertex[top, column]
+        out[u] = (u - i) ** 2 + f[i, column]
+        top[begin[top, column] == u] -= 1
+        np.maximum(top, 0, out=top)
+    return out
+
+
+def mask_distance(pred: np.ndarray, truth: np.ndarray) -> float:
+    """The larger directed distance between two masks of one shape; infinity if one is empty."""
+    if not pred.any() or not truth.any():
+        return float("inf")
+    return float(max(nearest_squared(truth)[pred].max(), nearest_squared(pred)[truth].max())) ** 0.5
+
+
 def hausdorff_each(df: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """image_id, distance: the larger directed distance between the two masks of each image; infinity if one is empty."""
-
-    def directed(one: np.ndarray, other: np.ndarray, block: int = 512) -> float:
-        """The largest distance from a point of one to its nearest of the other, blocks against blocks."""
-        most = 0
-        for i in range(0, len(one), block):
-            nearest = np.full(len(one[i : i + block]), np.iinfo(np.int64).max)
-            for j in range(0, len(other), block):
-                nearest = np.minimum(nearest, ((one[i : i + block, None] - other[None, j : j + block]) ** 2).sum(-1).min(1))
-            most = max(most, int(nearest.max()))
-        return most**0.5
+    """image_id, distance between the masks pred and truth of each image, by exact distance transforms.
+
+    The masks are arrays of pixels by rows of `width`, or of any shape that a column `shape` (array<int>, slowest axis first) gives: planes, rows, columns for a volume.
+    """
+    shaped = "shape" in df.columns
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = []
-            for pred, truth, width in zip(batch["pred"], batch["truth"], batch["width"], strict=True):
-                a, b = (np.argwhere(np.asarray(m, dtype=float).reshape(-1, int(width)) > threshold) for m in (pred, truth))
-                if not len(a) or not len(b):
-                    found.append(np.inf)
-                    continue
-                found.append(float(max(directed(a, b), directed(b, a))))
+            for pred, truth, shape in zip(batch["pred"], batch["truth"], batch["shape"] if shaped else batch["width"], strict=True):
+                form = tuple(int(x) for x in shape) if shaped else (-1, int(shape))
+                found.append(mask_distance(*((np.asarray(m, dtype=float) > threshold).reshape(form) for m in (pred, truth))))
             yield pd.DataFrame({"image_id": batch["image_id"], "distance": found})
 
-    return df.select("image_id", "pred", "truth", "width").mapInPandas(each, "image_id long, distance double")
+    return df.select("image_id", "pred", "truth", "shape" if shaped else "width").mapInPandas(each, "image_id long, distance double")
 
 
 def hausdorff_distance(df: DataFrame, threshold: float = 0.5) -> DataFrame:
@@ -243,45 +307,156 @@ def evaluation_tables(df: DataFrame, names: list[str]) -> dict[str, DataFrame]:
     return {name: TABLES[name](df) for name in names if name in TABLES}
 
 
+#: Ranges of scores that are ranked by themselves; their borders are literals in the plan.
+RANGES = 1000
+
+
 class _Measures:
-    """The values that metrics share, each read from the predictions once."""
+    """The values that metrics share. The predictions are read once: they are counted by (label, pred, score) and written, and what is observed on the way (rows,
+    moments, borders of the scores) comes with that. Averages and reports come from the classes' counts, AUCs from one ranked pass over the counts."""
+
+    CLASSES = ("accuracy", "precision", "recall", "f1_score", "classification_report")
+    MOMENTS = ("mse", "mae", "rmse", "r2_score")
 
-    def __init__(self, df: DataFrame) -> None:
+    def __init__(self, df: DataFrame, metrics: list[tuple[str, dict]]) -> None:
         self.df, self.made = df, {}
+        names = {name for name, params in metrics if not (name == "roc_auc" and "multi_class" in params)}
+        self.by_class, self.ranked, self.moments = bool(names & set(self.CLASSES)), "roc_auc" in names, bool(names & set(self.MOMENTS))
+        asked = {"label"} | ({"pred"} if self.by_class else set()) | ({"score"} if self.ranked else set())
+        self.columns = [c for c in ("label", "pred", "score") if c in asked & set(df.columns)]
 
     def once(self, name: str, make):
         if name not in self.made:
             self.made[name] = make()
         return self.made[name]
 
+    def has(self, *columns: str) -> None:
+        if missing := [c for c in columns if c not in self.df.columns]:
+            raise ValueError(f"no column {', '.join(missing)}")
+
+    def counted(self) -> tuple[DataFrame, dict]:
+        """Counts by the columns in use, and what was observed while they were written."""
+
+        def made() -> tuple[DataFrame, dict]:
+            number = lambda c: F.col(c).try_cast("double")
+            seen = {"rows": F.count(F.lit(1))}
+            if self.moments and {"label", "score"} <= set(self.df.columns):
+                y, error = number("label"), number("label") - number("score")
+                seen |= {"mse": F.avg(error * error), "mae": F.avg(F.abs(error)), "spread": F.var_pop(y), "odd": F.count_if((y.isNull() & F.col("label").isNotNull()) | (number("score").isNull() & F.col("score").isNotNull()))}
+            if self.ranked and "score" in self.columns:
+                parts = min(RANGES, int(self.df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+                seen["borders"] = F.percentile_approx(number("score"), [k / parts for k in range(1, parts)] or [0.5])
+            observation, path = Observation(), f"{shared_folder(self.df.sparkSession)}/counts-{uuid.uuid4().hex}"
+            counts = self.df.observe(observation, *[v.alias(k) for k, v in seen.items()]).groupBy(*self.columns).agg(F.count("*").alias("n"))
+            counts.write.parquet(path)
+            try:
+                found = observation.get
+            except Py4JError:
+                if not self.df.isEmpty():
+                    raise
+                found = {"rows": 0}  # nothing is observed in a plan that the optimiser knows to be empty
+            return self.df.sparkSession.read.schema(counts.schema).parquet(path), found
+
+        return self.once("counted", made)
+
+    def rows(self) -> int:
+        return self.counted()[1]["rows"] if self.by_class or self.ranked else 0 if self.df.isEmpty() else 1
+
+    def class_rows(self) -> list | None:
+        """class_scores of all classes, or None if there are more than MAX_GRID."""
+        self.has("label", "pred")
+        found = self.once("classes", lambda: scores_of_pairs(self.pairs()).limit(MAX_GRID + 1).collect())
+        return found if len(found) <= MAX_GRID else None
+
     def pairs(self) -> DataFrame:
-        return self.once("pairs", lambda: saved(confusion_pairs(self.df)))
+        return self.counted()[0].select("label", "pred", "n")
+
+    def averages(self, average: str | None) -> dict[str, float]:
+        rows, names = self.class_rows(), ("precision", "recall", "f1")
+        if rows is None:
+            return averages_of(saved(scores_of_pairs(self.pairs())), average).first().asDict()
+        average = average or ("binary" if sum(r["support"] > 0 for r in rows) == 2 else "macro")
+        share = lambda a, b: a / b if b else 0.0
+        if average == "binary":
+            one = [r for r in rows if r["class"] is not None and float(r["class"]) == 1]
+            return {c: one[0][c] if one else 0.0 for c in names}
+        if average == "micro":
+            hits = sum(r["hits"] for r in rows)
+            p, r_ = share(hits, sum(r["n_pred"] for r in rows)), share(hits, sum(r["support"] for r in rows))
+            return {"precision": p, "recall": r_, "f1": share(2 * p * r_, p + r_)}
+        if average not in ("macro", "weighted"):
+            raise ValueError(f"unknown average: {average}")
+        weights = [r["support"] if average == "weighted" else 1 for r in rows]
+        return {c: share(sum(r[c] * w for r, w in zip(rows, weights, strict=True)), sum(weights)) for c in names}
+
+    def accuracy(self) -> float:
+        rows = self.class_rows()
+        if rows is None:
+            return self.pairs().agg(_ratio(F.sum(F.when(F.col("label") == F.col("pred"), F.col("n")).otherwise(0)), F.sum("n"))).first()[0]
+        return sum(r["hits"] for r in rows) / self.counted()[1]["rows"]
+
+    def report(self) -> dict[str, float]:
+        rows = self.class_rows()
+        if rows is None:
+            raise ValueError(f"more than {MAX_GRID} classes; see evaluation_tables")
+        cells = ("precision", "recall", "f1", "support")
+        text = lambda c: "NULL" if c is None else str(c)
+        named = {text(r["class"]): {c: r[c] for c in cells} for r in rows}
+        support, hits = sum(r["support"] for r in rows), sum(r["hits"] for r in rows)
+        right = hits / support if support else 0.0
+        named |= {"accuracy": {"precision": right, "recall": right, "f1": right, "support": support}}
+        named |= {f"{how} avg": {**self.averages(how), "support": support} for how in ("macro", "weighted")}
+        return {f"classification_report.{name}.{c}": named[name][c] for name in sorted(named) for c in cells}
+
+    def auc(self, bins: int | None) -> float | None:
+        """The AUC of (label 0/1, score): each range of scores by itself, ties at half, and one row a range at the driver."""
+        self.has("label", "score")
+        counts, seen = self.counted()
+        score = F.col("score").cast("double")
+        score = F.round(score * bins) / bins if bins else score
+        cuts = F.lit(np.array(sorted(set(seen["borders"] or [])), dtype=float))
+        positive = F.col("label") == 1
+        dealt = counts.select(score.alias("score"), F.when(positive, F.col("n")).otherwise(0).alias("pos"), F.when(positive, 0).otherwise(F.col("n")).alias("neg"))
+        dealt = dealt.withColumn(PART, F.size(F.filter(cuts, lambda c: c < F.col("score"))))
+        down = Window.partitionBy(PART).orderBy(F.desc("score"))
+        above, equal = F.sum("pos").over(down.rangeBetween(Window.unboundedPreceding, Window.currentRow)), F.sum("pos").over(down.rangeBetween(Window.currentRow, Window.currentRow))
+        won = dealt.select(PART, "pos", "neg", (F.col("neg") * (above - equal / 2.0)).alias("won"))
+        total, before, negatives = 0.0, 0, 0
+        for r in sorted(won.groupBy(PART).agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"), F.sum("won").alias("won")).collect(), key=lambda r: -r[PART]):
+            total, before, negatives = total + r["won"] + float(r["n"]) * before, before + r["p"], negatives + r["n"]
+        return total / (float(before) * negatives) if before and negatives else None
+
+    def moment(self, name: str) -> float | None:
+        self.has("label", "score")
+        if not (self.by_class or self.ranked):
+            return self.once("regression", lambda: regression(self.df).first())[name]
+        seen = self.counted()[1]
+        if seen["odd"]:
+            raise ValueError(f"{seen['odd']} labels or scores that are no numbers")
+        mse, spread = seen["mse"], seen["spread"]
+        return {"mse": mse, "mae": seen["mae"], "rmse": None if mse is None else mse**0.5, "r2_score": 1 - mse / spread if mse is not None and spread else None}[name]
 
     def values(self, name: str, params: dict) -> dict[str, float | None]:
         """The value of a scalar metric, or each cell of a report or matrix."""
         if name == "accuracy":
-            right = F.sum(F.when(F.col("label") == F.col("pred"), F.col("n")).otherwise(0)) / F.sum("n")
-            return {name: self.once(name, lambda: self.pairs().agg(right).first()[0])}
+            return {name: self.accuracy()}
         if name in ("precision", "recall", "f1_score"):
             average = params.get("average")
-            row = self.once(f"average {average}", lambda: averages_of(scores_of_pairs(self.pairs()), average).first())
-            return {name: row["f1" if name == "f1_score" else name]}
+            return {name: self.once(f"average {average}", lambda: self.averages(average))["f1" if name == "f1_score" else name]}
         if name == "roc_auc" and "multi_class" in params:
             return {name: roc_auc_multiclass(self.df, params["multi_class"]).first()[0]}
         if name == "roc_auc":
-            return {name: self.once(name, lambda: roc_auc(self.df, params.get("bins")).first()[0])}
-        if name in ("mse", "mae", "rmse", "r2_score"):
-            return {name: self.once("regression", lambda: regression(self.df).first())[name]}
+            bins = params.get("bins")
+            return {name: self.once(f"auc {bins}", lambda: self.auc(bins))}
+        if name in self.MOMENTS:
+            return {name: self.moment(name)}
         if name in ("dice_score", "jaccard_index"):
             threshold = params.get("threshold", 0.5)
             return {name: self.once(f"masks {threshold}", lambda: segmentation(self.df, threshold).first())[name]}
         if name == "hausdorff_distance":
             return {name: hausdorff_distance(self.df, params.get("threshold", 0.5)).first()[0]}
         if name == "classification_report":
-            rows = report_of(scores_of_pairs(self.pairs())).orderBy("class").limit(MAX_GRID + 4).collect()
-            if len(rows) > MAX_GRID + 3:
-                raise ValueError(f"more than {MAX_GRID} classes; see evaluation_tables")
-            return {f"{name}.{r['class']}.{c}": r[c] for r in rows for c in ("precision", "recall", "f1", "support")}
+            return self.report()
         raise ValueError("unknown metric" if name not in TABLES else "a table, see evaluation_tables")
 
 
@@ -292,11 +467,11 @@ def evaluate(df: DataFrame, metrics: list[str | dict], average: str | None = Non
     confusion matrix are tables of their own (evaluation_tables). Unknown metrics, and those that fail on these
     predictions, become a row with a note, and the others still come. What metrics share (counts of pairs, moments) is read once.
     """
-    if df.isEmpty():
+    asked = [(m, {}) if isinstance(m, str) else (m["name"], m.get("params") or {}) for m in metrics]
+    measures, rows = _Measures(df, asked), []
+    if not measures.rows():
         raise ValueError("no predictions")
-    measures, rows = _Measures(df), []
-    for metric in metrics:
-        name, params = (metric, {}) if isinstance(metric, str) else (metric["name"], metric.get("params") or {})
+    for name, params in asked:
         try:
             found = measures.values(name, ({"average": average} if average else {}) | params)
             rows += [(k, None if v is None else float(v), "undefined: one class only" if v is None else None) for k, v in found.items()]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,34 +13,66 @@ from tributary.plans.lineage import saved
 QUARTILES = (0.25, 0.5, 0.75)
 
 
+#: Accuracy of the quantile sketch, and rows of counts that the driver adds up; more are summed up by range.
+ACCURACY, COLLECTED = 10_000, 100_000
+#: Fewer values than this are counted one by one.
+WHOLE = 10_000
+
+
 def quartiles(df: DataFrame, columns: list[str]) -> list[list[float] | None]:
-    """The exact quartiles of each column, between neighbours by linear interpolation; None for a column without values.
+    """The exact quartiles of each column, between neighbours by linear interpolation; None for a column without values."""
+    stacked = df.select(F.inline(F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).cast("double").alias("v")) for i, c in enumerate(columns)])))
+    return quartiles_of(stacked.filter("v IS NOT NULL"), len(columns))
+
+
+def quartiles_of(cells: DataFrame, places: int) -> list[list[float] | None]:
+    """The exact quartiles of v for each i below `places`.
 
-    Values are counted first, then summed up in order by range, so no task holds all values of a column; the driver sees a few rows a column.
+    A sketch brackets each quartile between two values, whose ranks are certain to lie on either side of it. In a second pass what lies in a bracket is counted by value, and what
+    lies between brackets by bracket only, so few of the values are exchanged, however many there are.
     """
-    stacked = df.select(F.inline(F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).cast("double").alias("v")) for i, c in enumerate(columns)])))
-    counts = saved(stacked.filter("v IS NOT NULL").groupBy("i", "v").agg(F.count("*").alias("n")))
-    upto = running_sums(counts, [F.col("i"), F.col("v")], {"upto": "n"})
-    totals = {r["i"]: r["n"] for r in counts.groupBy("i").agg(F.sum("n").alias("n")).collect()}
-    base, places = 0, []  # 0-based places over all columns that are asked for
-    for i in range(len(columns)):
-        for q in QUARTILES if i in totals else ():
-            low = int((totals[i] - 1) * q)
-            places += [base + low, base + min(low + 1, totals[i] - 1)]
-        base += totals.get(i, 0)
-    asked = F.array(*[F.lit(p).cast("long") for p in sorted(set(places))]) if places else F.array().cast("array<long>")
-    inside = F.filter(asked, lambda p: (p >= F.col("upto") - F.col("n")) & (p < F.col("upto")))
-    at = {r["p"]: r["v"] for r in upto.select("v", F.explode(inside).alias("p")).collect()}
-    out, base = [], 0
-    for i in range(len(columns)):
-        n = totals.get(i, 0)
-        found = []
-        for q in QUARTILES if n else ():
-            low, share = divmod((n - 1) * q, 1)
-            a, b = at[base + int(low)], at[base + min(int(low) + 1, n - 1)]
-            found.append(a + (b - a) * share)
-        out.append(found or None)
+    margin = 10 / ACCURACY  # from WHOLE values on, ten ranks and more, of which the sketch may miss one
+    asked = [x for q in QUARTILES for x in (max(0.0, q - margin), min(1.0, q + margin))]
+    sketched = {r["i"]: (r["n"], r["p"]) for r in cells.groupBy("i").agg(F.count("*").alias("n"), F.percentile_approx("v", asked, ACCURACY).alias("p")).collect()}
+    if not sketched:
+        return [None] * places
+    every = [float("-inf"), float("inf")] * len(QUARTILES)
+    brackets = cells.sparkSession.createDataFrame([(i, p if n >= WHOLE else every) for i, (n, p) in sketched.items()], "i int, p array<double>")
+    v, p = F.col("v"), F.col("p")
+    inside = F.exists(F.sequence(F.lit(0), F.lit(len(asked) - 2), F.lit(2)), lambda k: (v >= F.get(p, k)) & (v <= F.get(p, k + 1)))
+    dealt = cells.join(F.broadcast(brackets), "i").select("i", "v", F.when(inside, v).alias("exact"), F.when(~inside, F.size(F.filter(p, lambda x: x < v))).alias("gap"))
+    counts = dealt.groupBy("i", "exact", "gap").agg(F.min("v").alias("v"), F.count("*").alias("n")).select("i", "v", "n")
+    base = 0  # places count from 0 over all columns
+    want: dict[tuple[int, int], int] = {}
+    for i in sorted(sketched):
+        n = sketched[i][0]
+        for q in QUARTILES:
+            low = int((n - 1) * q)
+            want |= {(i, low): base + low, (i, min(low + 1, n - 1)): base + min(low + 1, n - 1)}
         base += n
+    found = counts.limit(COLLECTED + 1).collect()
+    at: dict[int, float] = {}
+    if len(found) <= COLLECTED:
+        rows, upto, sought = sorted((r["i"], r["v"], r["n"]) for r in found), 0, sorted(set(want.values()))
+        k = 0
+        for _, value, n in rows:
+            upto += n
+            while k < len(sought) and sought[k] < upto:
+                at[sought[k]] = value
+                k += 1
+    else:
+        summed = running_sums(saved(counts), [F.col("i"), F.col("v")], {"upto": "n"})
+        sought = F.lit(np.array(sorted(set(want.values())), dtype=np.int64))
+        own = F.filter(sought, lambda x: (x >= F.col("upto") - F.col("n")) & (x < F.col("upto")))
+        at = {r["p"]: r["v"] for r in summed.select("v", F.explode(own).alias("p")).collect()}
+    out: list[list[float] | None] = [None] * places
+    for i, (n, _) in sketched.items():
+        found_ = []
+        for q in QUARTILES:
+            low, share = divmod((n - 1) * q, 1)
+            a, b = at[want[i, int(low)]], at[want[i, min(int(low) + 1, n - 1)]]
+            found_.append(a + (b - a) * share)
+        out[i] = found_
     return out
 
 

@@ -136,6 +136,7 @@ def random_sample_split(df: DataFrame, key: list[str], ratios: tuple[float, floa
     return df.withColumn("split", F.when(at < ratios[2] / total, "test").when(at < (ratios[1] + ratios[2]) / total, "val").otherwise("train"))
 
 
-def split_summary(df: DataFrame) -> DataFrame:
-    """split, n_rows, n_features (columns but split)."""
-    return df.groupBy("split").agg(F.count("*").alias("n_rows")).withColumn("n_features", F.lit(len(df.columns) - 1))
+def split_summary(df: DataFrame, kinds: dict[str, int] | None = None) -> DataFrame:
+    """split, n_rows, n_features (columns but split), and a column for each kind of feature of vectors.feature_kinds."""
+    counted = df.groupBy("split").agg(F.count("*").alias("n_rows")).withColumn("n_features", F.lit(len(df.columns) - 1))
+    return counted.withColumns({k: F.lit(n) for k, n in kinds.items()}) if kinds else counted

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,7 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     if not context.getCheckpointDir():
         named = spark.conf.get("spark.checkpoint.dir", None)
-        if not named and not context.master.startswith("local"):
+        if not named and not re.match(r"local(\[|$)", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
     return spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()

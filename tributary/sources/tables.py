@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tributary.functions.images import image_tensor
+
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
     """Header row; types inferred unless a schema is given; rows with too few or too many fields are dropped.
@@ -115,6 +117,12 @@ def read_images(spark: SparkSession, path: str) -> DataFrame:
     return images.select(F.col("image.origin").alias("path"), F.col("image.height").alias("height"), F.col("image.width").alias("width"), F.col("image.nChannels").alias("channels"), F.col("image.data").alias("data"))
 
 
+def read_image_tensors(spark: SparkSession, path: str, layout: str = "chw", grayscale: bool = False, threshold: float | None = None) -> DataFrame:
+    """path and tensor (shape, values from 0 to 1) of a folder's images; colours in the order red, green, blue, alpha. See image_tensor."""
+    images = read_images(spark, path)
+    return images.select("path", image_tensor(F.col("data"), F.col("height"), F.col("width"), F.col("channels"), layout, grayscale, True, threshold).alias("tensor"))
+
+
 def list_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     """path and length of the files of a flat folder; contents are not read."""
     return spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path).select("path", "length")
