@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tributary.operators.rank import PART, by_range, running_sums
-from tributary.plans.lineage import saved, shared_folder
+from tributary.plans.lineage import new_folder, saved
 
 #: Classes of which a full grid of pairs is made.
 MAX_GRID = 1000
@@ -346,7 +345,7 @@ class _Measures:
             if self.ranked and "score" in self.columns:
                 parts = min(RANGES, int(self.df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
                 seen["borders"] = F.percentile_approx(number("score"), [k / parts for k in range(1, parts)] or [0.5])
-            observation, path = Observation(), f"{shared_folder(self.df.sparkSession)}/counts-{uuid.uuid4().hex}"
+            observation, path = Observation(), new_folder(self.df.sparkSession, "counts")
             counts = self.df.observe(observation, *[v.alias(k) for k, v in seen.items()]).groupBy(*self.columns).agg(F.count("*").alias("n"))
             counts.write.parquet(path)
             try:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,7 +10,7 @@ from pyspark.sql import functions as F
 from tributary.functions import columns as c
 from tributary.functions.images import image_tensor as tensor_of
 from tributary.operators import aggregate, audit, deidentify, encode, files, link, losses, metrics, missing, model, scale, split, trees, vectors
-from tributary.plans.lineage import shared_folder
+from tributary.plans.lineage import new_folder
 from tributary.sources import folders, tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,7 +47,7 @@ def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
 
 
 def _written(df: DataFrame, spark: SparkSession, suffix: str, write) -> str:
-    path = f"{shared_folder(spark)}/tables-{uuid.uuid4().hex}.{suffix}"
+    path = f"{new_folder(spark, 'tables')}/table.{suffix}"
     write(df, path)
     return path
 
@@ -1001,7 +1000,7 @@ def image_grayscale(t, spark):
     UNION ALL SELECT '', 'third', 'missing'""")
 def folder_union(t, spark):
     """Folders that two providers have written by order status, and a provider without any; the first has no folder of status P."""
-    root = f"{shared_folder(spark)}/tables-{uuid.uuid4().hex}"
+    root = new_folder(spark, "tables")
     o = t("orders").select("o_orderkey", "o_orderstatus")
     for name, df in (("first", o.filter("o_orderstatus <> 'P'")), ("second", o)):
         df.write.partitionBy("o_orderstatus").parquet(f"{root}/{name}")
