@@ -6,7 +6,8 @@ l * most / SEGMENTS bits (rounded down). Fingerprints are first reduced to disti
 (segment, its value), as a chain's first segment must agree when most < SEGMENTS. Within such a bucket the chain
 condition is checked for each longer chain before the full Hamming distance. Buckets are counted first. Where one holds more than
 BUCKET fingerprints, its keys take in the second segment of the chain as well: each of its fingerprints is then also sent to the keys
-whose second segment differs in one bit, and nothing is lost. A bucket that is still larger is cut into blocks, and
+whose second segment differs in one bit, and nothing is lost. Where that doesn't do, keys take in the third segment, too: the second and third may then differ in two bits together,
+so each fingerprint is sent to the keys that differ from its own in one bit of the two, and any two within two bits meet. A bucket that is large even so is cut into blocks, and
 each pair of blocks is a bucket of its own, so no task holds or searches more than 2 * BUCKET fingerprints at once.
 
 A bucket gives a spanning forest of its links, at most one row for each member, found by a search that compares a member
@@ -106,6 +107,17 @@ def _second_keys(rows: DataFrame) -> DataFrame:
     return rows.select("fp", "start", F.explode(by_start).alias("key"))
 
 
+def _third_keys(rows: DataFrame) -> DataFrame:
+    """fp, start, key: keys with the second and third segments of the chain, and with each of their bits turned."""
+    by_start = F.lit(None)
+    for i in range(SEGMENTS):
+        (first, second, third), widths = (_segment(F.col("fp"), i + k) for k in range(3)), [RING[(i + k) % SEGMENTS][1] for k in range(3)]
+        own = (F.shiftleft(first, 26) + F.shiftleft(second, 13) + third + F.lit(1 << 45)).cast("long")  # apart from shorter keys
+        flips = [0, *(1 << b for b in range(widths[2])), *(1 << (13 + b) for b in range(widths[1]))]
+        by_start = F.when(F.col("start") == i, F.array(*[own.bitwiseXOR(F.lit(flip).cast("long")) for flip in flips])).otherwise(by_start)
+    return rows.select("fp", "start", F.explode(by_start).alias("key"))
+
+
 def _large(rows: DataFrame, bucket: int) -> tuple[DataFrame, bool]:
     """start, key, n of buckets with more than `bucket` rows, and whether there are any."""
     found = saved(rows.groupBy("start", "key").agg(F.count("*").alias("n")).filter(F.col("n") > bucket))
@@ -126,6 +138,10 @@ def keyed(fps: DataFrame, two_segments: bool | None = None, bucket: int = BUCKET
         else:
             return rows.withColumn("block", F.lit(0).cast("long"))
     large, any_large = _large(rows, bucket)
+    if any_large and two_segments is None:
+        longest = _third_keys(rows.join(large.drop("n"), at, "left_semi").select("fp", "start").distinct())
+        rows = rows.join(large.drop("n"), at, "left_anti").select("fp", *at).unionByName(longest)
+        large, any_large = _large(rows, bucket)
     if not any_large:
         return rows.withColumn("block", F.lit(0).cast("long"))
     blocks = F.ceil(F.col("n") / bucket).cast("int")
