@@ -1,7 +1,7 @@
 """Sharding by histogram sort, under the law `bytes`.
 
-Method. Rows are ordered by a 64-bit key: the leading TEXT_BITS bits of the text's hash, then bits of the doc_id's hash,
-so that equal texts lie together and a large group of them can still be cut. The first round counts rows and exact bytes
+Method. Rows are ordered by a 64-bit key: the leading TEXT_BITS bits of the text's hash, then ID_BITS of the doc_id's hash, then bits of a hash of the row's own number,
+so that equal texts lie together and a large group of them can still be cut, also where its rows share one doc_id or have none. The first round counts rows and exact bytes
 in 2^FIRST_BITS cells of the key space; each further round refines the cells that hold a splitter and too many bytes, or
 too many rows, into 2^NEXT_BITS smaller ones. Only these counts come to the driver: at most CELLS_FOR_ROWS + shards
 cells are refined in a round, whatever the input. When the splitters are within tolerance, every cell belongs to one
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tributary.llm.shared import saved
 
-FIRST_BITS, NEXT_BITS, TEXT_BITS, KEY_BITS = 12, 6, 18, 60
+FIRST_BITS, NEXT_BITS, TEXT_BITS, ID_BITS, KEY_BITS = 12, 6, 18, 22, 60
 #: A cell with more than 1 / CELLS_FOR_ROWS of the rows is refined, so that no task gets more.
 CELLS_FOR_ROWS = 512
 TOLERANCE = 0.001
@@ -76,14 +76,19 @@ def placed(leaves: list[tuple[int, int, int, int]], shards: int) -> list[tuple[i
 def shard_by_bytes(docs: DataFrame, shards: int = 16, tolerance: float = TOLERANCE) -> DataFrame:
     """One row per document: doc_id, size, text_crc32, law, shard, slot, grown_shard."""
     text = F.col("text").cast("string")
-    own = F.shiftleft(F.lit((1 << TEXT_BITS) - 1).cast("long"), KEY_BITS - TEXT_BITS)
+
+    def bits(value: Column, n: int, above: int) -> Column:
+        """The leading n bits of a hash, placed below the key's first `above` bits."""
+        return F.shiftleft(F.shiftrightunsigned(value, 64 - n), KEY_BITS - above - n)
+
+    key = bits(F.xxhash64(text), TEXT_BITS, 0).bitwiseOR(bits(F.xxhash64(F.col("doc_id"), F.lit("place")), ID_BITS, TEXT_BITS))
+    key = key.bitwiseOR(bits(F.xxhash64(F.monotonically_increasing_id()), KEY_BITS - TEXT_BITS - ID_BITS, TEXT_BITS + ID_BITS))
     rows = saved(
         docs.select(
             F.col("doc_id").alias("doc_id"),
             (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"),
             F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
-            F.shiftrightunsigned(F.xxhash64(text), 64 - KEY_BITS).bitwiseAND(own)
-            .bitwiseOR(F.shiftrightunsigned(F.xxhash64(F.col("doc_id"), F.lit("place")), 64 - KEY_BITS + TEXT_BITS)).alias("key"),
+            key.alias("key"),
         )
     )
     places = placed(cells(rows, shards, tolerance), shards)
