@@ -7,18 +7,21 @@ each length, every document is taken as often as that goes evenly, and those wit
 
 Defined results. A word is a run of characters other than space and U+0009 to U+000D; null texts have size 0. Null is a source
 of its own, last in the order of weights. Texts of size 0 are taken as often as their source is whole and weigh nothing. A source
-takes at most its target rounded down, and falls short by the least that the fitted lengths allow. Rows that repeat a doc_id are drawn one by one.
+takes at most its target rounded down, and falls short by the least that the fitted lengths allow. Rows that repeat a doc_id are drawn one by one; those with its text, too, if they are many, by a number that each is given.
 A very long text is one document of its length.
 Reruns draw the same. No rows give no rows. Only doc_id, text and source are read; mixed keeps all columns.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tributary.llm.shared import WORD, saved
+from tributary.llm.shared import HOT_SHARE, WORD, saved
 from tributary.operators.rank import global_rank, running_sums
 
 WEIGHTS = (3.0, 1.0, 2.0)
@@ -107,6 +110,25 @@ def _planned(by_length: pd.DataFrame, most: int, knapsack_words: int) -> pd.Data
     return by_length.assign(whole=[c // n for c, n in zip(copies, counts, strict=True)], extra=[c % n for c, n in zip(copies, counts, strict=True)])
 
 
+def _told_apart(rows: DataFrame) -> DataFrame:
+    """Saved `rows` with `copy`: 0, 1, 2 ... for rows of equal doc_id and text, where these are more than one in HOT_SHARE of all rows, else 0.
+
+    Rows are numbered within the stretch of row numbers that one task wrote, on from what earlier stretches hold, so no task orders such a group as a whole.
+    """
+    same, total = ["doc_id", "digest", "size"], rows.count()
+    hot = saved(rows.groupBy(*same).agg(F.count("*").alias("n")).filter(F.col("n") * HOT_SHARE > max(total, HOT_SHARE)))
+    if hot.isEmpty():
+        return rows.withColumn("copy", F.lit(0).cast("long"))
+    match = lambda a, b: reduce(and_, [a[c].eqNullSafe(b[c]) for c in same])
+    names = F.broadcast(hot.select(*same, F.monotonically_increasing_id().alias("group")))  # fewer than HOT_SHARE
+    marked = rows.join(names, match(rows, names), "left").select(*[rows[c] for c in rows.columns], "group", F.shiftright(rows["row"], 33).alias("stretch"))
+    held = marked.filter("group IS NOT NULL").groupBy("group", "stretch").agg(F.count("*").alias("n"))
+    before = held.withColumn("before", F.coalesce(F.sum("n").over(Window.partitionBy("group").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
+    inside = marked.filter("group IS NOT NULL").withColumn("at", F.row_number().over(Window.partitionBy("group", "stretch").orderBy("row")) - 1)
+    numbered = inside.join(before, ["group", "stretch"]).withColumn("copy", F.col("before") + F.col("at"))
+    return marked.filter("group IS NULL").withColumn("copy", F.lit(0).cast("long")).select(*rows.columns, "copy").unionByName(numbered.select(*rows.columns, "copy"))
+
+
 def drawn(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST, seed: int = SEED, knapsack_words: int = KNAPSACK_WORDS) -> DataFrame:
     """One row per document: doc_id, size, digest (a hash of its text), source_size, target, copies."""
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -115,9 +137,10 @@ def drawn(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MO
             F.col("doc_id").alias("doc_id"), F.col("source").cast("string").alias("source"),
             F.when(F.col("source").isNull(), "").otherwise(F.concat(F.lit("="), F.col("source").cast("string"))).alias("skey"),
             F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"), F.xxhash64(text).alias("digest"),
-            F.xxhash64(F.col("doc_id"), F.lit(seed)).alias("h"),
-        ).withColumn("part", F.pmod(F.col("h"), F.lit(PARTS)).cast("int"))
+            F.monotonically_increasing_id().alias("row"),
+        )
     )
+    rows = _told_apart(rows).withColumn("h", F.xxhash64("doc_id", "digest", "copy", F.lit(seed))).withColumn("part", F.pmod(F.col("h"), F.lit(PARTS)).cast("int"))
     parts = saved(rows.groupBy("skey", "source", "size", "part").agg(F.count("*").alias("n")))
     by_length = parts.groupBy("skey", "source", "size").agg(F.sum("n").alias("n"))
     sources = saved(by_length.groupBy("skey", "source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")))
@@ -127,7 +150,7 @@ def drawn(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MO
     earlier = Window.partitionBy("skey", "size").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum("n").over(earlier), F.lit(0))
     quota = parts.drop("source").join(plan.drop("n"), ["skey", "size"]).withColumn("quota", F.greatest(F.lit(0), F.least("n", F.col("extra") - before))).drop("n", "extra")
-    order = Window.partitionBy("skey", "size", "part").orderBy("h", "doc_id")
+    order = Window.partitionBy("skey", "size", "part").orderBy("h", "doc_id", "digest")
     placed = rows.drop("source").withColumn("at", F.row_number().over(order)).join(quota, ["skey", "size", "part"])
     return placed.select("doc_id", "size", "digest", "source_size", "target", (F.col("whole") + (F.col("at") <= F.col("quota")).cast("int")).alias("copies"))
 
