@@ -69,7 +69,7 @@ def _alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Those of the saved, distinct pairs a, b whose sets are similar enough. b may repeat in very many pairs."""
     often = pairs.groupBy("b").agg(F.count("*").alias("n"))
     of_b = saved(often.join(sets.select(F.col("row").alias("b"), F.col("hashes").alias("hashes_b")), "b"))
-    both = join_many(pairs, of_b, ["b"], "n", pairs.count()).join(sets.select(F.col("row").alias("a"), F.col("hashes").alias("hashes_a")), "a")
+    both = join_many(pairs, of_b, ["b"], "n", pairs.count(), size=8 * F.size("hashes_b")).join(sets.select(F.col("row").alias("a"), F.col("hashes").alias("hashes_a")), "a")
     common = F.size(F.array_intersect("hashes_a", "hashes_b"))
     return written(both.filter(common * LEAST[1] >= (F.size("hashes_a") + F.size("hashes_b") - common) * LEAST[0]).select("a", "b"))
 

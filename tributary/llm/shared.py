@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import sys
-import uuid
 from collections.abc import Callable
 from types import ModuleType
 
@@ -11,7 +10,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.plans.lineage import saved, shared_folder
+from tributary.plans.lineage import new_folder, saved, shared_folder
 
 __all__ = [
     "HOT_SHARE", "SPACES", "SPACE_CLASS", "WORD", "documents", "few", "join_many", "kept", "let", "one_of_each", "saved", "shared_folder", "shared_value", "small_batches", "stripped", "written",
@@ -27,6 +26,8 @@ HOT_SHARE = 1000
 BROADCAST_ROWS = 1_000_000
 #: Up to so many rows of a few numbers are broadcast by join_many.
 BROADCAST_NARROW = 250_000
+#: What join_many broadcasts of hot keys with wide rows; and parts that a hot key with a wider row is cut into.
+BROADCAST_BYTES, SALTS = 64 << 20, 64
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,10 +54,11 @@ def small_batches(spark: SparkSession, rows: int = 500, size: str = "32m") -> No
     These are required settings of the session for the Python operators (see the README). Plans are executed later than they are made, so they cannot be set back
     here; a session that has set fewer rows keeps them.
     """
-    held = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
-    if not 0 < held <= rows:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+    most = lambda name: spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(name)
+    for name, value, of in (("maxRecordsPerBatch", str(rows), int), ("maxBytesPerBatch", size, most)):
+        held = of(spark.conf.get(f"spark.sql.execution.arrow.{name}"))
+        if not 0 < held <= of(value):
+            spark.conf.set(f"spark.sql.execution.arrow.{name}", value)
 
 
 def stripped(text: Column) -> Column:
@@ -72,25 +74,33 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def join_many(left: DataFrame, right: DataFrame, keys: list[str], weight: str, total: int, narrow: bool = False) -> DataFrame:
+def join_many(left: DataFrame, right: DataFrame, keys: list[str], weight: str, total: int, narrow: bool = False, size: Column | None = None) -> DataFrame:
     """Inner join of a narrow `left` with `right`, one row per key, where a key can hold a third of all rows of `left`.
 
     `weight` of `right` is the key's number of rows in `left`, `total` their sum. Keys over total / HOT_SHARE rows
     are fewer than HOT_SHARE, so that part of `right` is broadcast; the others are joined by a shuffle. narrow: `right` is saved and holds a few
-    numbers a row, so it is counted, and broadcast as a whole up to BROADCAST_NARROW rows.
+    numbers a row, so it is counted, and broadcast as a whole up to BROADCAST_NARROW rows. size: the bytes of a row of `right`, where rows can be wide. Then a hot row of more
+    than BROADCAST_BYTES / HOT_SHARE isn't broadcast, but sent to each of the SALTS parts that its key is cut into.
     """
     if narrow and right.count() <= BROADCAST_NARROW:
         return left.join(F.broadcast(right), keys)
-    hot = right.filter(F.col(weight) * HOT_SHARE > total)
-    cold = right.filter(F.col(weight) * HOT_SHARE <= total)
-    by_broadcast = left.join(F.broadcast(hot), keys)
+    is_hot = F.col(weight) * HOT_SHARE > total
+    hot, cold = right.filter(is_hot), right.filter(~is_hot)
     rest = left.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
-    return by_broadcast.unionByName(rest.join(cold, keys))
+    joined = rest.join(cold, keys)
+    if size is not None:
+        small = size * HOT_SHARE <= BROADCAST_BYTES
+        wide = hot.filter(~small)
+        salted = wide.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        own = left.join(F.broadcast(wide.select(*keys)), keys, "left_semi").withColumn("__salt", F.pmod(F.xxhash64(*left.columns), F.lit(SALTS)).cast("int"))
+        joined = joined.unionByName(own.join(salted, [*keys, "__salt"]).drop("__salt"))
+        hot = hot.filter(small)
+    return left.join(F.broadcast(hot), keys).unionByName(joined)
 
 
 def written(df: DataFrame) -> DataFrame:
     """`df` written to the shared folder and read again. A checkpoint keeps the size estimated for its plan, a product that gains digits with each join of a round."""
-    path = f"{shared_folder(df.sparkSession)}/written-{uuid.uuid4().hex}"
+    path = new_folder(df.sparkSession, "written")
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
