@@ -8,12 +8,10 @@ the last. An empty table gives no rows. Each stage reads what the one before it
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from tributary.llm import exact_dedup, mixing, near_copies, quality_classifier, sentencepiece_codec
-from tributary.llm.shared import shared_folder
+from tributary.plans.lineage import new_folder, removed, workspace
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,18 +53,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over `documents`. What a stage returns is written below the folder that the cluster shares, and kept until the next stage is written."""
+    """The stages over `documents`. What a stage returns is written below the folder that the cluster shares, and kept until the next stage is written; what a stage
+    saves on its way is removed with it. The last stage's rows are kept until the application ends. After an error nothing is left."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
-    for k, (_, stage) in enumerate(STAGES):
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
-        docs = spark.read.parquet(f"{folder}/{k}")
-        if k:
-            _removed(spark, f"{folder}/{k - 1}")
+    folder = new_folder(spark, "pipeline")
+    try:
+        for k, (_, stage) in enumerate(STAGES):
+            with workspace(spark):
+                stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
+            docs = spark.read.parquet(f"{folder}/{k}")
+            if k:
+                removed(spark, f"{folder}/{k - 1}")
+    except BaseException:
+        removed(spark, folder)
+        raise
     return docs
-
-
-def _removed(spark: SparkSession, path: str) -> None:
-    """Remove a folder of an earlier stage, in whatever file system it lies."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
