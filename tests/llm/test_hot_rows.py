@@ -114,3 +114,26 @@ spark.stop()
 """
     subprocess.run([sys.executable, "-c", code], check=True, timeout=120, cwd="/tmp", capture_output=True)
     assert list((tmp_path / "shared").rglob("*.parquet")) == [] and list((tmp_path / "shared").iterdir()) == []
+
+
+def test_a_worker_keeps_one_thing_at_a_time():
+    made = []
+    make = lambda name: lambda: made.append(name) or name
+    assert [shared.kept(n, make(n)) for n in ("a", "a", "b", "a")] == ["a", "a", "b", "a"] and made == ["a", "b", "a"]
+    shared.forget()
+    assert shared.kept("a", make("a")) == "a" and made[-1] == "a" and len(made) == 4
+    shared.forget()
+
+
+def test_byte_bounds_hold_for_sessions_with_few_rows_a_batch(spark):
+    names = [f"spark.sql.execution.arrow.{n}" for n in ("maxRecordsPerBatch", "maxBytesPerBatch")]
+    before = [spark.conf.get(n) for n in names]
+    try:
+        for given, want in ((("100", "64m"), ("100", "32m")), (("10000", "1m"), ("500", "1m")), (("0", "-1"), ("500", "32m"))):
+            for n, v in zip(names, given, strict=True):
+                spark.conf.set(n, v)
+            shared.small_batches(spark)
+            assert tuple(spark.conf.get(n) for n in names) == want
+    finally:
+        for n, v in zip(names, before, strict=True):
+            spark.conf.set(n, v)

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest, xxh128_digest
 
 from tributary.llm import simhash
-from tributary.llm.shared import few, join_many, one_of_each, saved, small_batches, written
+from tributary.llm.shared import few, forget, join_many, one_of_each, saved, small_batches, written
 
 SHINGLE = 5
 #: The least Jaccard similarity, as a fraction.
@@ -164,6 +164,7 @@ def near_copy_components(rows: DataFrame) -> DataFrame:
 
     @F.pandas_udf("fp long, digest binary, buckets array<long>")
     def marks(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        forget()
         for batch in batches:
             found = [simhash.shingle_hashes(t, SHINGLE) for t in _strings(batch)]
             fps = np.fromiter(map(simhash.folded, found), dtype=np.uint64, count=len(batch))

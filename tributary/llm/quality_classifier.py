@@ -23,7 +23,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.shared import small_batches
+from tributary.llm.shared import forget, small_batches
 
 #: Bounds of the fit: sampled rows of each class, and code points of a text; of a longer one, pieces are sampled.
 MAX_FIT_ROWS = 1500
@@ -140,6 +140,7 @@ def fitted(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS, max
 def score_column(model: Model, text: Column | str) -> Column:
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        forget()
         packers = _packers(model) if model.good else None
         for batch in batches:
             texts = [t if isinstance(t, str) else None for t in batch]

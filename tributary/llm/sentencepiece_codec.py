@@ -33,7 +33,7 @@ from tributary.llm.shared import kept, shared_value, small_batches
 
 LONG, PART, SECTION = 48, 1024, 1 << 20
 #: Bytes of words and their encodings that a worker keeps, in two generations, and what an entry takes besides its characters.
-KNOWN_BYTES, ENTRY_BYTES = 100_000_000, 230
+KNOWN_BYTES, ENTRY_BYTES = 64_000_000, 230
 #: Arrow batches that are encoded at once.
 BATCHES = 4
 #: Words that advance together at most.

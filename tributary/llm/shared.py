@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import re
 import sys
 from collections.abc import Callable
 from types import ModuleType
@@ -13,7 +16,7 @@ from pyspark.sql import functions as F
 from tributary.plans.lineage import new_folder, saved, shared_folder
 
 __all__ = [
-    "HOT_SHARE", "SPACES", "SPACE_CLASS", "WORD", "documents", "few", "join_many", "kept", "let", "one_of_each", "saved", "shared_folder", "shared_value", "small_batches", "stripped", "written",
+    "HOT_SHARE", "SPACES", "SPACE_CLASS", "WORD", "documents", "few", "forget", "join_many", "kept", "let", "one_of_each", "saved", "shared_folder", "shared_value", "small_batches", "stripped", "written",
 ]
 
 #: A word is a run of anything but these white-space characters.
@@ -41,21 +44,43 @@ def shared_value(spark: SparkSession, value):
 
 
 def kept(name: str, make: Callable):
-    """What a Python worker keeps from task to task, of bounded size: the first task that asks for `name` makes it."""
-    store = sys.modules.setdefault("_kept_from_task_to_task", ModuleType("_kept_from_task_to_task")).__dict__
+    """What a Python worker keeps from task to task, of bounded size: the first task that asks for `name` makes it. A worker keeps one such thing at a time."""
+    store = _store()
     if name not in store:
+        forget()
         store[name] = make()
     return store[name]
 
 
+def _store() -> dict:
+    module = sys.modules.setdefault("_kept_from_task_to_task", ModuleType("_kept_from_task_to_task"))
+    return module.__dict__.setdefault("values", {})
+
+
+def forget() -> None:
+    """Give back what an earlier operator's tasks have kept in this Python worker; asked for at the beginning of tasks that need memory of their own."""
+    if _store():
+        _store().clear()
+        gc.collect()
+        if sys.platform == "linux":
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # what is free goes back to the machine; not every C library has this
+            if trim is not None:
+                trim(0)
+
+
+def _bytes(text: str) -> int:
+    """Bytes that a setting such as 32m names."""
+    number, unit = re.fullmatch(r"(-?\d+)\s*([kmgt]?)b?", text.strip().lower()).groups()
+    return int(number) * 1024 ** " kmgt".index(unit or " ")
+
+
 def small_batches(spark: SparkSession, rows: int = 500, size: str = "32m") -> None:
     """Bound the rows and bytes that go to Python at once, as some texts are very long.
 
     These are required settings of the session for the Python operators (see the README). Plans are executed later than they are made, so they cannot be set back
     here; a session that has set fewer rows keeps them.
     """
-    most = lambda name: spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(name)
-    for name, value, of in (("maxRecordsPerBatch", str(rows), int), ("maxBytesPerBatch", size, most)):
+    for name, value, of in (("maxRecordsPerBatch", str(rows), int), ("maxBytesPerBatch", size, _bytes)):
         held = of(spark.conf.get(f"spark.sql.execution.arrow.{name}"))
         if not 0 < held <= of(value):
             spark.conf.set(f"spark.sql.execution.arrow.{name}", value)
