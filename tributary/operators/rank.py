@@ -21,6 +21,8 @@ PART = "__part"
 SAMPLED = 20
 #: From so many borders on, they are searched in two steps.
 ONE_STEP = 32
+#: Parts at most, as their borders are literals: the driver sees SAMPLED rows for each, and the plan holds one border for each. Past that, parts grow with the rows, and a part's sort spills.
+MOST_PARTS = 4000
 
 
 def _borders(df: DataFrame, order: list[Column], parts: int) -> tuple[list, str]:
@@ -40,7 +42,7 @@ def _literal(value) -> Column:
 
 def by_range(df: DataFrame, order: list[Column]) -> DataFrame:
     """`df` with the number of its range; rows equal in `order` share one."""
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = min(MOST_PARTS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     cuts, kind = _borders(df, order, parts)
     if not cuts:
         return df.withColumn(PART, F.lit(0))
