@@ -129,7 +129,7 @@ def test_byte_bounds_hold_for_sessions_with_few_rows_a_batch(spark):
     names = [f"spark.sql.execution.arrow.{n}" for n in ("maxRecordsPerBatch", "maxBytesPerBatch")]
     before = [spark.conf.get(n) for n in names]
     try:
-        for given, want in ((("100", "64m"), ("100", "32m")), (("10000", "1m"), ("500", "1m")), (("0", "-1"), ("500", "32m"))):
+        for given, want in ((("100", "64m"), ("100", "32m")), (("10000", "1m"), ("500", "1m")), (("0", "64m"), ("500", "32m"))):
             for n, v in zip(names, given, strict=True):
                 spark.conf.set(n, v)
             shared.small_batches(spark)
