@@ -16,7 +16,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tributary.operators.scale import QUARTILES, quartiles_of
+from tributary.operators.scale import quartiles_of
 
 
 def _places(df: DataFrame, features: str) -> DataFrame:
