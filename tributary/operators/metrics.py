@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -212,17 +213,17 @@ def segmentation(df: DataFrame, threshold: float = 0.5) -> DataFrame:
     return sums.select((2.0 * F.col("both") / (F.col("p") + F.col("t") + 1e-6)).alias("dice_score"), _ratio(F.col("both"), union).alias("jaccard_index"))
 
 
-def nearest_squared(mask: np.ndarray) -> np.ndarray:
-    """For each cell the exact squared distance to the nearest cell that is set, in a mask of any number of axes with a cell set.
+def nearest_squared(mask: np.ndarray, many: bool = False) -> np.ndarray:
+    """For each cell the exact squared distance to the nearest cell that is set, in a mask of any number of axes with a cell set. many: the first axis counts masks.
 
     One axis at a time: along the last by running maxima, along each other by the lower envelope of parabolas, all lines of the axis at once. Work grows with the cells.
     """
     n = mask.shape[-1]
-    place, far = np.arange(n), 2 * sum(mask.shape)
+    place, far = np.arange(n), 2 * sum(mask.shape[many:])
     before = np.maximum.accumulate(np.where(mask, place, -far), axis=-1)
     after = np.minimum.accumulate(np.where(mask, place, n + far)[..., ::-1], axis=-1)[..., ::-1]
     squared = np.minimum(np.minimum(place - before, after - place), far).astype(np.int64) ** 2
-    for axis in range(mask.ndim - 2, -1, -1):
+    for axis in range(mask.ndim - 2, int(many) - 1, -1):
         lines = np.moveaxis(squared, axis, 0)
         squared = np.moveaxis(_envelope(lines.reshape(lines.shape[0], -1)).reshape(lines.shape), 0, axis)
     return squared
@@ -259,11 +260,22 @@ def _envelope(f: np.ndarray) -> np.ndarray:
     return out
 
 
+def mask_distances(pred: np.ndarray, truth: np.ndarray) -> np.ndarray:
+    """The larger directed distance between the masks of each pair; infinity if one is empty. The first axis counts the pairs."""
+    if not pred.size:
+        return np.full(len(pred), np.inf)
+    over = tuple(range(1, pred.ndim))
+    farthest = lambda of, to: np.where(of, nearest_squared(to, True), 0).max(axis=over)
+    found = np.sqrt(np.maximum(farthest(pred, truth), farthest(truth, pred)).astype(float))
+    return np.where(pred.any(axis=over) & truth.any(axis=over), found, np.inf)
+
+
 def mask_distance(pred: np.ndarray, truth: np.ndarray) -> float:
-    """The larger directed distance between two masks of one shape; infinity if one is empty."""
-    if not pred.any() or not truth.any():
-        return float("inf")
-    return float(max(nearest_squared(truth)[pred].max(), nearest_squared(pred)[truth].max())) ** 0.5
+    return float(mask_distances(pred[None], truth[None])[0])
+
+
+#: Cells of masks that are measured at once; a larger mask is measured by itself.
+CELLS = 1 << 20
 
 
 def hausdorff_each(df: DataFrame, threshold: float = 0.5) -> DataFrame:
@@ -275,10 +287,16 @@ def hausdorff_each(df: DataFrame, threshold: float = 0.5) -> DataFrame:
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = []
-            for pred, truth, shape in zip(batch["pred"], batch["truth"], batch["shape"] if shaped else batch["width"], strict=True):
-                form = tuple(int(x) for x in shape) if shaped else (-1, int(shape))
-                found.append(mask_distance(*((np.asarray(m, dtype=float) > threshold).reshape(form) for m in (pred, truth))))
+            pairs = [[np.asarray(m, dtype=float) > threshold for m in (p, t)] for p, t in zip(batch["pred"], batch["truth"], strict=True)]
+            forms = [tuple(int(x) for x in s) for s in batch["shape"]] if shaped else [(len(p) // int(w), int(w)) for (p, _), w in zip(pairs, batch["width"], strict=True)]
+            found, alike = np.empty(len(batch)), defaultdict(list)
+            for k, form in enumerate(forms):
+                alike[form].append(k)
+            for form, rows in alike.items():  # masks of one shape together, CELLS of them at once
+                step = max(1, CELLS // max(1, int(np.prod(form))))
+                for i in range(0, len(rows), step):
+                    some = rows[i : i + step]
+                    found[some] = mask_distances(*(np.stack([pairs[k][j].reshape(form) for k in some]) for j in (0, 1)))
             yield pd.DataFrame({"image_id": batch["image_id"], "distance": found})
 
     return df.select("image_id", "pred", "truth", "shape" if shaped else "width").mapInPandas(each, "image_id long, distance double")
