@@ -171,11 +171,15 @@ def plain_scan(pairs, templates=license_scan.TEMPLATES, threshold=license_scan.T
         own, score, b = set(), 1.0 if places else 0.0, 0
         while True:
             held = set(w[b * 32 : b * 32 + 64])
-            for label, notice in templates:
+            here = []
+            for label, notice, *marks in templates:
                 t = set(notice.split())
-                if len(t & held) >= threshold * len(t) - 1e-9:
+                if len(t & held) >= threshold * len(t) - 1e-9 and set(" ".join(marks).split()) <= held:
+                    here.append((label, t, len(t & held) / len(t)))
+            for label, t, containment in here:
+                if not any(t < other for _, other, _ in here):
                     own.add(label)
-                    score = max(score, len(t & held) / len(t))
+                    score = max(score, containment)
             if b * 32 + 64 >= len(w):
                 break
             b += 1
@@ -211,3 +215,33 @@ def test_blocks_of_licenses(spark):
 def test_templates_are_bounded(spark):
     with pytest.raises(ValueError, match="distinct words"):
         license_scan.scan(docs_of(spark, [(1, "x")]), [("long", " ".join(f"w{k}" for k in range(40)))])
+
+
+@pytest.mark.parametrize(("text", "labels"), [
+    ("this work is licensed under the GNU General Public License version 3", "gpl"),
+    ("this work is licensed under the GNU Lesser General Public License version 3", "gpl,lgpl"),
+    ("this work is licensed under the GNU Affero General Public License", "agpl,gpl"),
+    ("released as a draft; licensed under the Apache License version 2.0", "apache"),
+    ("released under the license of the town", ""),
+    ("released under the MIT license", "mit"),
+    ("licensed under CC BY 4.0", ""),
+    ("licensed under CC BY-NC 4.0", "cc-by-nc"),
+    ("licensed under a Creative Commons Attribution 4.0 International License", "cc-by"),
+    ("licensed under a Creative Commons Attribution-ShareAlike 4.0 International License", "cc-by-sa"),
+    ("licensed under a Creative Commons Attribution-NonCommercial 4.0 International License", "cc-by-nc"),
+    ("a license to the public, under general terms of version 3", ""),
+])
+def test_notices_of_one_family_are_told_apart(spark, text, labels):
+    filler = " ".join(f"x{k}" for k in range(50))
+    assert license_scan.scan(docs_of(spark, [(1, f"{filler} {text} {filler}")])).first()["labels"] == labels
+
+
+def test_pairs_are_every_block_over_the_threshold(spark):
+    """The join itself, before marks and wider templates have their say."""
+    text = "this work is licensed under the gnu general public license"
+    read, index = license_scan._joined(docs_of(spark, [(1, text)]), license_scan.TEMPLATES, license_scan.THRESHOLD, {})
+    held = set(text.split())
+    want = {(k, len(set(n.split()) & held) / len(set(n.split()))) for k, (_, n, _) in enumerate(license_scan.TEMPLATES)}
+    assert {(r["template"], r["containment"]) for r in license_scan.similar_blocks(read, index).collect()} == {(k, c) for k, c in want if c >= 0.8 - 1e-9}
+    with pytest.raises(ValueError, match="mark"):
+        license_scan.template_sets([("a", "b c", "d")])

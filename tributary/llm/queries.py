@@ -67,11 +67,17 @@ QUERIES = {f.__name__: f for f in (
 
 _STOPS = ", ".join(f"'{w}'" for w in [*quality_rules.STOP_WORDS, *(w.capitalize() for w in quality_rules.STOP_WORDS)])
 
-#: Template number, label, distinct words, and how many of them a block must hold.
-_TEMPLATES = ", ".join(
-    f"({t}, '{label}', [{', '.join(repr(w.decode()) for w in words)}], {license_scan.needed(len(words), license_scan.THRESHOLD)})"
-    for t, (label, words) in enumerate(license_scan.template_sets(license_scan.TEMPLATES))
-)
+_SETS = license_scan.template_sets(license_scan.TEMPLATES)
+
+
+def _listed(words: list[bytes]) -> str:
+    return f"[{', '.join(repr(w.decode()) for w in words)}]"
+
+
+#: Template number, label, distinct words, how many of them a block must hold, and which ones.
+_TEMPLATES = ", ".join(f"({k}, '{t.label}', {_listed(t.words)}, {license_scan.needed(len(t.words), license_scan.THRESHOLD)}, {_listed(t.marks)})" for k, t in enumerate(_SETS))
+#: A template, and one that holds all its words and more.
+_WIDER = ", ".join(f"({k}, {other})" for k, others in enumerate(license_scan.wider(_SETS)) for other in others)
 _PHRASES = ", ".join(f"('{phrase}', {len(phrase.split())}, '{label}')" for phrase, label in license_scan.PHRASES.items())
 
 ORACLE_SQL = {
@@ -105,7 +111,8 @@ ORACLE_SQL = {
             FROM n, steps GROUP BY 1, 2, 3, 4)
         SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley FROM counted""",
     "op13_license_scan": rf"""
-        WITH templates(template, label, ws, need) AS (VALUES {_TEMPLATES}),
+        WITH templates(template, label, ws, need, marks) AS (VALUES {_TEMPLATES}),
+        wider(template, other) AS (VALUES {_WIDER}),
         phrases(phrase, k, label) AS (VALUES {_PHRASES}),
         t AS (
             SELECT row_number() OVER () AS r, doc_id,
@@ -118,9 +125,12 @@ ORACLE_SQL = {
         blocks AS (
             SELECT r, b, unnest(list_distinct(w[b * {license_scan.STEP} + 1:b * {license_scan.STEP} + {license_scan.BLOCK}])) AS word
             FROM (SELECT r, w, unnest(range(0, 1 + greatest(0, ceil((len(w) - {license_scan.BLOCK}) / {license_scan.STEP})::BIGINT))) AS b FROM t)),
-        asked AS (SELECT template, label, len(ws) AS size, need, unnest(ws) AS word FROM templates),
-        pairs AS (SELECT r, label, size, need, count(*) AS common FROM blocks JOIN asked USING (word) GROUP BY r, b, template, label, size, need),
-        own AS (SELECT r, max(common / size) AS containment, list(DISTINCT label) AS own FROM pairs WHERE common >= need GROUP BY r)
+        asked AS (SELECT template, label, len(ws) AS size, need, marks, unnest(ws) AS word FROM templates),
+        pairs AS (
+            SELECT r, b, template, label, count(*) / size AS containment FROM blocks JOIN asked USING (word) GROUP BY r, b, template, label, size, need, marks
+            HAVING count(*) >= need AND len(marks) = count(*) FILTER (list_contains(marks, word))),
+        told AS (SELECT p.* FROM pairs p ANTI JOIN (SELECT q.r, q.b, wider.template FROM pairs q JOIN wider ON wider.other = q.template) w ON p.r = w.r AND p.b = w.b AND p.template = w.template),
+        own AS (SELECT r, max(containment) AS containment, list(DISTINCT label) AS own FROM told GROUP BY r)
         SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
                array_to_string(list_sort(coalesce(base, [])), ',') AS base_labels,
                array_to_string(list_sort(list_distinct(list_concat(coalesce(base, []), coalesce(own, [])))), ',') AS labels,
