@@ -6,7 +6,7 @@ import tracemalloc
 import sentencepiece
 
 from tributary.llm import sentencepiece_codec, token_counts
-from tributary.llm.pieces import MODEL_PATH, load
+from tributary.llm.pieces import MARK, MODEL_PATH, load, portions, stretches, words
 
 rng = random.Random(6)
 base64 = lambda n: "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=n))
@@ -50,3 +50,29 @@ def test_the_codec_forgets_words_beyond_its_bound(monkeypatch):
         texts = [" ".join(base64(rng.randint(1, 9)) for _ in range(100))]
         assert [x.tolist() for x in codec.encode_batch(texts)] == model.encode(texts)
         assert codec.held < 10_000 + 100 * 400
+
+
+def test_texts_in_stretches_give_what_whole_texts_give():
+    rng, pieces = random.Random(4), load(MODEL_PATH)
+    parts = [" ", "  ", "   ", MARK, "a", "der", "the sea", "\n", " x ", "é", "日本", "ing", f" {MARK} ", "word"]
+    texts = [None, "", " ", "a b", *["".join(rng.choices(parts, k=rng.randint(0, 80))) for _ in range(150)]]
+    for most in (1, 3, 10, 1000):
+        for t in texts[1:]:
+            assert [w for s in stretches(t, most) for w in words(s)] == words(t)
+            assert "".join(stretches(t, most)).replace(" ", "") == t.replace(" ", "")
+        whole = sentencepiece_codec.Codec(pieces).encode_batch(texts)
+        cut = sentencepiece_codec.Codec(pieces).encode_batch(texts, most)
+        assert [None if x is None else x.tolist() for x in cut] == [None if x is None else x.tolist() for x in whole]
+        assert token_counts.CountTrie(pieces).totals(texts, most) == [0 if x is None else len(x) for x in whole]
+
+
+def test_words_of_a_very_long_text_are_held_in_stretches():
+    """The words of ten million characters, as objects, would take some 140 MB at once."""
+    codec, text, most = sentencepiece_codec.Codec(load(MODEL_PATH)), "the sea was calm " * 600_000, 1_000_000
+    codec.encode_batch(["the sea was calm "])
+    assert max(sum(len(part) for _, part in some) for some in portions([text, "b"], most)) <= most + 20
+    tracemalloc.start()
+    ids = codec.encode_batch([text], most)[0]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(ids) >= 2_400_000 and peak < 60 << 20

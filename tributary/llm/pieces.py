@@ -20,6 +20,7 @@ MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "\u2581"
 #: A word with the marks before it, or marks at the end of the text.
 _WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+_BETWEEN = re.compile(f"(?<=[^ {MARK}]) (?=[^ {MARK}])")
 #: Stands for a character without a piece, which is spelt in bytes.
 UNKNOWN = -2
 NEVER = 1 << 40
@@ -233,6 +234,32 @@ def words(text: str) -> list[str]:
     return [MARK + w for w in text.split(" ")]
 
 
+def stretches(text: str, most: int) -> Iterator[str]:
+    """Stretches of a text of `most` characters or more, cut at single blanks between words: words() of one after another are those of the text."""
+    at = 0
+    while len(text) - at > most:
+        cut = _BETWEEN.search(text, at + most - 1)
+        if not cut:
+            break
+        yield text[at : cut.start()]
+        at = cut.end()
+    yield text[at:]
+
+
+def portions(texts: list[str | None], most: int) -> Iterator[list[tuple[int, str]]]:
+    """Lists of (number of the text, stretch of it), of about `most` characters each, as a word is some ten times larger as an object; texts that are null are left out."""
+    held, size = [], 0
+    for k, text in enumerate(texts):
+        for part in stretches(text, most) if isinstance(text, str) else ():
+            if held and size + len(part) > most:
+                yield held
+                held, size = [], 0
+            held.append((k, part))
+            size += len(part)
+    if held:
+        yield held
+
+
 @lru_cache(maxsize=2)
 def load(path: str = MODEL_PATH) -> Pieces:
     """Read a model on the driver; the result is a small table that may be broadcast."""

@@ -5,7 +5,8 @@ step (tributary.llm.advance). At each step the hashes of the substrings that end
 hashes of the pieces; a hit may end the prefix if it may follow the last piece of the prefix before it (see
 tributary.llm.pieces, which says why this stands where a unigram model has a sum of scores). The longest allowed
 piece, taken by a vectorised maximum over all lengths, is the backpointer. An exact check compares the pieces' texts with each word;
-a word that a hash collision spoilt is encoded merge by merge. Words over LONG characters are first cut where no piece
+a word that a hash collision spoilt is encoded merge by merge. Texts are cut into words TEXT_CHARS characters at a time, very long ones in stretches.
+Words over LONG characters are first cut where no piece
 holds the two characters that meet; a part that is still over PART characters is encoded by itself, with four bytes of backpointers a character.
 A Python worker keeps the encodings of short words from task to task, up to KNOWN_BYTES; those of long words are not kept.
 
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tributary.llm.advance import Forward
-from tributary.llm.pieces import MARK, MODEL_PATH, UNKNOWN, Pieces, load, words
+from tributary.llm.pieces import MARK, MODEL_PATH, UNKNOWN, Pieces, load, portions, words
 from tributary.llm.shared import kept, shared_value, small_batches
 
 LONG, PART, SECTION = 48, 1024, 1 << 20
@@ -36,8 +37,12 @@ LONG, PART, SECTION = 48, 1024, 1 << 20
 KNOWN_BYTES, ENTRY_BYTES = 64_000_000, 230
 #: Arrow batches that are encoded at once.
 BATCHES = 4
-#: Words that advance together at most.
-TOGETHER = 20_000
+#: Words, and their characters, that advance together at most.
+TOGETHER, TOGETHER_CHARS = 20_000, 1_000_000
+#: Characters of texts that are cut into words at once.
+TEXT_CHARS = 8_000_000
+
+
 def _packed(ids: list[int]) -> bytes:
     return np.array(ids, dtype=np.int32).tobytes()
 
@@ -89,8 +94,9 @@ class Codec:
                 by_length[len(p)].append(p)
         for some in by_length.values():
             some.sort()
-            for i in range(0, len(some), TOGETHER):
-                found.update(zip(some[i : i + TOGETHER], self._viterbi(some[i : i + TOGETHER]), strict=True))
+            step = min(TOGETHER, TOGETHER_CHARS // len(some[0]))
+            for i in range(0, len(some), step):
+                found.update(zip(some[i : i + step], self._viterbi(some[i : i + step]), strict=True))
         return found
 
     def _long(self, word: str) -> bytes:
@@ -114,11 +120,18 @@ class Codec:
             return _packed(self.pieces.run(marks - 1)) + packed
         return packed
 
-    def encode_batch(self, texts: list[str | None]) -> list[np.ndarray | None]:
-        split = [words(t) if isinstance(t, str) else None for t in texts]
+    def encode_batch(self, texts: list[str | None], text_chars: int = TEXT_CHARS) -> list[np.ndarray | None]:
+        made: list[list[np.ndarray]] = [[] for _ in texts]
+        for some in portions(texts, text_chars):
+            for (k, _), ids in zip(some, self._encode([part for _, part in some]), strict=True):
+                made[k].append(ids)
+        return [None if not x else x[0] if len(x) == 1 else np.concatenate(x) for x in made]
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        split = [words(t) for t in texts]
         if self.held > KNOWN_BYTES // 2:  # words that are met again are carried over from the generation before
             self.old, self.known, self.held = self.known, {}, 0
-        new = set().union(*(s for s in split if s)).difference(self.known)
+        new = set().union(*split).difference(self.known)
         again = {w: self.old[w] for w in new if w in self.old}
         self.known |= again
         self.held += sum(len(w) + len(ids) for w, ids in again.items()) + ENTRY_BYTES * len(again)
@@ -131,7 +144,7 @@ class Codec:
         self.known.update(new)
         rare = {w: self._long(w) for w in others}
         of = (lambda w: rare[w] if w in rare else self.known[w]) if rare else self.known.__getitem__
-        return [None if s is None else np.frombuffer(b"".join(map(of, s)), dtype=np.int32) for s in split]
+        return [np.frombuffer(b"".join(map(of, s)), dtype=np.int32) for s in split]
 
 
 def encode_documents(docs: DataFrame, model_path: str = MODEL_PATH) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tributary.llm.advance import Forward
-from tributary.llm.pieces import MARK, MODEL_PATH, Pieces, load, words
+from tributary.llm.pieces import MARK, MODEL_PATH, Pieces, load, portions, words
 from tributary.llm.shared import kept, shared_value, small_batches
 
 LONG, SECTION = 48, 1 << 20
@@ -33,6 +33,8 @@ LONG, SECTION = 48, 1 << 20
 BATCHES = 4
 #: Pre-tokens of one trie.
 TOGETHER = 20_000
+#: Characters of texts that are cut into pre-tokens at once.
+TEXT_CHARS = 8_000_000
 #: Bytes of pre-tokens and counts that a worker keeps, in two generations, and what an entry takes besides its characters.
 KNOWN_BYTES, ENTRY_BYTES = 100_000_000, 160
 
@@ -94,11 +96,18 @@ class CountTrie:
             total += len(self.pieces.run(marks)) - 1 if self.in_a_row(begin)[1] == self.pieces.mark_id else len(self.pieces.run(marks - 1))
         return total
 
-    def totals(self, texts: list[str | None]) -> list[int]:
+    def totals(self, texts: list[str | None], text_chars: int = TEXT_CHARS) -> list[int]:
         """Counts of whole texts."""
+        out = [0] * len(texts)
+        for some in portions(texts, text_chars):
+            for (k, _), n in zip(some, self._totals([part for _, part in some]), strict=True):
+                out[k] += n
+        return out
+
+    def _totals(self, texts: list[str]) -> list[int]:
         if self.held > self.known_bytes // 2:  # pre-tokens that are met again are carried over from the generation before
             self.old, self.terminals, self.held = self.terminals, {}, 0
-        split = [words(t) if isinstance(t, str) else [] for t in texts]
+        split = [words(t) for t in texts]
         new = set().union(*split).difference(self.terminals)
         again = {w: self.old[w] for w in new if w in self.old}
         self.terminals |= again
