@@ -57,6 +57,14 @@ def test_ranks_sums_and_carries(spark):
             assert got[i] == last
 
 
+def test_a_backward_fill_reads_each_row_once(spark):
+    """A frame up to the last row is read anew for every row; null comes first in the order, a row without a value below stays as it is."""
+    df = spark.createDataFrame([(3, 1.0, None), (1, None, None), (2, 0.5, 7.0), (4, float("nan"), None), (5, 1.0, 8.0)], "id long, v double, x double")
+    filled = missing.missing_bfill(df, [F.col("v"), F.col("id")], ["x"])
+    assert {r.id: r.x for r in filled.collect()} == {1: 7.0, 2: 7.0, 3: 8.0, 5: 8.0, 4: None}
+    assert "unboundedfollowing" not in filled._jdf.queryExecution().toString().lower()
+
+
 def test_digest_ranks_equal_a_window(spark):
     df = spark.range(3000).withColumn("h", F.sha2(F.col("id").cast("string"), 256))
     got = {r.id: r.rank for r in split.bucketed_rank(df, "h").collect()}

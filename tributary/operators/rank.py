@@ -89,10 +89,9 @@ def running_sums(df: DataFrame, order: list[Column], columns: dict[str, str]) ->
 def carry(df: DataFrame, order: list[Column], columns: list[str], forward: bool = True) -> DataFrame:
     """Nulls of `columns` replaced by the last value above (forward) or the next below, in a total order over all rows."""
     dealt = by_range(df, order)
-    pick = F.last if forward else F.first
-    place = Window.partitionBy(PART).orderBy(*order)
-    frame = place.rowsBetween(Window.unboundedPreceding, 0) if forward else place.rowsBetween(0, Window.unboundedFollowing)
-    local = dealt.withColumns({f"__{c}": pick(c, ignorenulls=True).over(frame) for c in columns})
+    # backward, too, the frame grows from row to row: one that ends at the last row would be read anew for every row
+    frame = Window.partitionBy(PART).orderBy(*[o if forward else o.desc() for o in order]).rowsBetween(Window.unboundedPreceding, 0)
+    local = dealt.withColumns({f"__{c}": F.last(c, ignorenulls=True).over(frame) for c in columns})
     # of each part the value that leaves it, found among its own rows by their order
     best = F.max_by if forward else F.min_by
     key = F.struct(*[o for o in order])
