@@ -282,6 +282,19 @@ def test_a_hot_key_is_dealt_out(spark):
     assert len(blocks) == 4 and max(blocks) < sum(blocks) / 2
 
 
+def test_copies_of_a_dealt_key_grow_with_its_rows(spark):
+    """Blocks of one row would copy every row for each of its partners; block pairs are bounded over all hot keys, and the join stays whole."""
+    both = lambda n, name: spark.range(n).select((F.col("id") % 3).alias("k"), F.col("id").alias(name))
+    for times in (1, 4):
+        left, right = both(900 * times, "a"), both(300 * times, "b")
+        hot = link.hot_keys(left, right, "k", 1).collect()
+        copies = sum(300 * times * h.right_blocks + 100 * times * h.left_blocks for h in hot)
+        assert len(hot) == 3 and copies <= 1200 * times * (1 + link.BLOCK_PAIRS**0.5) and sum(h.left_blocks * h.right_blocks for h in hot) < 1.5 * link.BLOCK_PAIRS
+    want = sorted(map(tuple, left.join(right, "k").filter("a < 30").collect()))
+    assert sorted(map(tuple, link.link_dealt(left, right, "k", 1).filter("a < 30").collect())) == want
+    assert link.link_dealt(left, right, "k", 1).count() == 3 * 1200 * 400
+
+
 # ---- distances
 
 

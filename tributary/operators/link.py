@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tributary.functions.columns import base_name, filled_pattern, strip_affixes
@@ -175,27 +175,32 @@ def inner_link(tables: list[DataFrame], key: str) -> DataFrame:
 
 #: Pairs of rows that one task makes of a key, and hot keys that are dealt out, the hottest first, as their table is broadcast.
 PAIRS_A_TASK, HOT_KEYS = 4_000_000, 100_000
+#: Pairs of blocks that all pairs of the hot keys are dealt to, about. A row is copied for every block it meets; past that number blocks grow instead of copies, so that these grow no faster than the rows.
+BLOCK_PAIRS = 1_000
 
 
-def hot_keys(left: DataFrame, right: DataFrame, key: str, pairs_a_task: int = PAIRS_A_TASK) -> DataFrame:
+def hot_keys(left: DataFrame, right: DataFrame, key: str, pairs_a_task: int = PAIRS_A_TASK, block_pairs: int = BLOCK_PAIRS) -> DataFrame:
     """key, left_blocks, right_blocks: keys that would give more pairs than that, and into how many blocks the rows of either side are cut.
 
-    Blocks of either side hold about as many rows, so no pair of blocks gives more pairs than that.
+    Blocks of either side hold about as many rows, so no pair of blocks gives more than pairs_a_task pairs or, where that is more, its share of all pairs of the hot keys in block_pairs.
+    Rows are copied (1 + sqrt(block_pairs)) times at most, over all: with p pairs a pair of blocks, n x m pairs of a key need n + m + 2 x n x m / sqrt(p) copies.
     """
     n, m = (df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias(name)) for df, name in ((left, "n"), (right, "m")))
     both = n.join(m, key).withColumn("pairs", F.col("n").cast("double") * F.col("m")).filter(F.col("pairs") > pairs_a_task)
-    blocks = lambda c: F.greatest(F.ceil(F.col(c) / float(pairs_a_task) ** 0.5), F.lit(1)).cast("int")
-    return both.orderBy(F.desc("pairs"), key).limit(HOT_KEYS).select(key, blocks("n").alias("left_blocks"), blocks("m").alias("right_blocks"))
+    hottest = both.orderBy(F.desc("pairs"), key).limit(HOT_KEYS)  # few enough for a window over all of them
+    side = F.sqrt(F.greatest(F.lit(float(pairs_a_task)), F.sum("pairs").over(Window.partitionBy(F.lit(0))) / block_pairs))
+    blocks = lambda c: F.greatest(F.ceil(F.col(c) / side), F.lit(1)).cast("int")
+    return hottest.select(key, blocks("n").alias("left_blocks"), blocks("m").alias("right_blocks"))
 
 
-def link_dealt(left: DataFrame, right: DataFrame, key: str, pairs_a_task: int = PAIRS_A_TASK) -> DataFrame:
+def link_dealt(left: DataFrame, right: DataFrame, key: str, pairs_a_task: int = PAIRS_A_TASK, block_pairs: int = BLOCK_PAIRS) -> DataFrame:
     """Inner equi-join whose hot keys are dealt out block against block.
 
     Keys are counted on both sides first. A row of a hot key goes to one block of its side, by a hash of its columns, and meets every block of the other side: (block, block) is
     part of the join key, so the pairs of one key are made by many tasks, each pair once. Rows of other keys are in block 0 and stay as they are. Equal rows share a block.
     Beyond HOT_KEYS hot keys the coolest of them aren't cut, and still join.
     """
-    hot = F.broadcast(saved(hot_keys(left, right, key, pairs_a_task)))
+    hot = F.broadcast(saved(hot_keys(left, right, key, pairs_a_task, block_pairs)))
     both = ("left_blocks", "right_blocks")
 
     def side(df: DataFrame, own: str, other: str, own_at: str, other_at: str) -> DataFrame:
