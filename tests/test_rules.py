@@ -201,6 +201,19 @@ def test_scores_equal_the_sum_of_the_trees(spark):
         assert r.label == truth[r.id].y and r.score == pytest.approx(1 / (1 + np.exp(-2 * margin)))
 
 
+def test_training_rows_come_in_parts_of_bounded_size(spark, monkeypatch):
+    from tributary.operators import model
+
+    seen = []
+    monkeypatch.setattr(model, "CELLS_A_PART", 3000, raising=False)
+    monkeypatch.setattr(model.GBTClassifier, "fit", lambda self, df: seen.append([len(p) for p in df.select("__label").rdd.glom().collect()]))
+    rows = lambda n, parts: spark.range(0, n, 1, parts).select(F.col("id").cast("double").alias("a"), F.rand(1).alias("b"), (F.col("id") % 2).alias("y"))
+    for df in (rows(6000, 1), rows(6000, 1).union(rows(0, 40)), rows(1200, 4)):
+        model.gbt_baseline(df, ["a", "b"], "y")
+    assert all(sum(sizes) == 6000 and len(sizes) == 12 and max(sizes) <= 510 for sizes in seen[:2])
+    assert seen[2] == [300] * 4
+
+
 def test_settings_of_the_session_stay(spark, tmp_path):
     (tmp_path / "x.csv").write_text("a,b\n1,2\n3\n")
     before = spark.conf.get("spark.sql.csv.parser.columnPruning.enabled")
