@@ -76,3 +76,14 @@ def test_words_of_a_very_long_text_are_held_in_stretches():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert len(ids) >= 2_400_000 and peak < 60 << 20
+
+
+def test_words_that_come_again_are_held_once():
+    """A million words of two hundred texts, a few of them distinct, would take some 90 MB as objects of their own."""
+    codec, texts = sentencepiece_codec.Codec(load(MODEL_PATH)), ["the sea was calm " * 1250] * 200
+    want = codec.encode_batch(texts[:1])[0].tolist()
+    tracemalloc.start()
+    found = codec.encode_batch(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert all(x.tolist() == want for x in found) and peak < 45 << 20

@@ -30,17 +30,17 @@ from pyspark.sql import functions as F
 
 from tributary.llm.advance import Forward
 from tributary.llm.pieces import MARK, MODEL_PATH, UNKNOWN, Pieces, load, portions, words
-from tributary.llm.shared import kept, shared_value, small_batches
+from tributary.llm.shared import kept, shared_value, small_batches, trimmed
 
 LONG, PART, SECTION = 48, 1024, 1 << 20
 #: Bytes of words and their encodings that a worker keeps, in two generations, and what an entry takes besides its characters.
-KNOWN_BYTES, ENTRY_BYTES = 64_000_000, 230
+KNOWN_BYTES, ENTRY_BYTES = 48_000_000, 230
 #: Arrow batches that are encoded at once.
-BATCHES = 4
+BATCHES = 2
 #: Words, and their characters, that advance together at most.
 TOGETHER, TOGETHER_CHARS = 20_000, 1_000_000
 #: Characters of texts that are cut into words at once.
-TEXT_CHARS = 8_000_000
+TEXT_CHARS = 4_000_000
 
 
 def _packed(ids: list[int]) -> bytes:
@@ -128,10 +128,11 @@ class Codec:
         return [None if not x else x[0] if len(x) == 1 else np.concatenate(x) for x in made]
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [words(t) for t in texts]
+        seen: dict[str, str] = {}
+        split = [list(map(seen.setdefault, some := words(t), some)) for t in texts]  # a word that comes again is the first one's object
         if self.held > KNOWN_BYTES // 2:  # words that are met again are carried over from the generation before
             self.old, self.known, self.held = self.known, {}, 0
-        new = set().union(*split).difference(self.known)
+        new = set(seen).difference(self.known)
         again = {w: self.old[w] for w in new if w in self.old}
         self.known |= again
         self.held += sum(len(w) + len(ids) for w, ids in again.items()) + ENTRY_BYTES * len(again)
@@ -162,6 +163,8 @@ def encode_documents(docs: DataFrame, model_path: str = MODEL_PATH) -> DataFrame
                 ids = list(islice(all_ids, len(batch)))
                 back = [None if x is None else codec.pieces.decode(x.tolist()) for x in ids]
                 yield pd.DataFrame({"ids": ids, "n_pieces": [0 if x is None else len(x) for x in ids], "decoded": pd.Series(back, dtype=object)})
+            some = batch = all_ids = ids = back = None
+            trimmed()  # else what the batches took stays with the worker beside what the next ones take
 
     others = F.struct(*[c for c in docs.columns if c.lower() not in {"ids", "n_pieces", "decoded"}])
     return docs.select(others.alias("others"), encoded("text").alias("made")).select("others.*", "made.*")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tributary.plans.lineage import new_folder, saved, shared_folder
 
 __all__ = [
-    "HOT_SHARE", "SPACES", "SPACE_CLASS", "WORD", "documents", "few", "forget", "join_many", "kept", "let", "one_of_each", "saved", "shared_folder", "shared_value", "small_batches", "stripped", "written",
+    "HOT_SHARE", "SPACES", "SPACE_CLASS", "WORD", "documents", "few", "forget", "join_many", "kept", "let", "one_of_each", "saved", "shared_folder", "shared_value", "small_batches", "stripped", "trimmed", "written",
 ]
 
 #: A word is a run of anything but these white-space characters.
@@ -62,10 +62,15 @@ def forget() -> None:
     if _store():
         _store().clear()
         gc.collect()
-        if sys.platform == "linux":
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # what is free goes back to the machine; not every C library has this
-            if trim is not None:
-                trim(0)
+        trimmed()
+
+
+def trimmed() -> None:
+    """Give memory that is free back to the machine; not every C library has this."""
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
 
 
 def _bytes(text: str) -> int:
